@@ -14,6 +14,7 @@ from postlens.functions.scoring import topic_score
 from postlens.functions.text import lower_words, word_counts
 from postlens.operators.dictionaries import Words, drop_stopwords, with_effective_words
 
+CARRIED = ("request_id", "post_id", "user_id", "created_at", "impact")
 VARIANTS = ("ln_impact_plus_1", "ln_impact")
 
 
@@ -48,11 +49,13 @@ def post_words(posts: DataFrame, stop: Words = (), words: str | None = None) ->
     Occurrences are counted inside the row, so nothing is shuffled.
     """
     listed = F.col(words) if words else lower_words(F.col("text"))
-    carried = [c for c in ("request_id", "post_id", "user_id", "created_at", "impact") if c in posts.columns]
-    listed_posts = posts.select(*carried, listed.alias("words"))
-    exploded = listed_posts.select(
-        *carried, F.size("words").alias("num_words"), F.inline(word_counts(F.col("words")))
+    carried = [c for c in CARRIED if c in posts.columns]
+    # Counted in a projection of its own: next to the generator, the array of all words
+    # would be copied into every row it makes.
+    counted = posts.select(*carried, listed.alias("words")).select(
+        *carried, F.size("words").alias("num_words"), word_counts(F.col("words")).alias("counts")
     )
+    exploded = counted.select(*carried, "num_words", F.inline("counts"))
     return drop_stopwords(exploded, stop)
 
 
@@ -86,11 +89,3 @@ def scored_words(weights: DataFrame, posts_in_range: Column) -> DataFrame:
     """Add ``score``, rounded so that the order of summation cannot change a ranking."""
     score = topic_score(posts_in_range, F.col("posts"), F.col("weight"))
     return weights.withColumn("score", F.round(score, 9))
-
-
-BEST_WORDS = (F.desc, "score"), (F.asc, "word")
-BEST_POSTS = (F.desc, "impact"), (F.desc, "post_id")
-
-
-def order_by(*keys) -> list[Column]:
-    return [direction(name) for direction, name in keys]
