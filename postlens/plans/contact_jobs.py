@@ -15,7 +15,7 @@ from postlens.operators.contacts import (
 )
 from postlens.operators.nesting import contacts_to_json, nest_contacts
 from postlens.sources.readers import read_posts, read_table
-from postlens.sources.sinks import table_path, write_jdbc, write_table
+from postlens.sources.sinks import cluster, table_path, write_jdbc, write_table
 from postlens.sources.staging import stage
 
 
@@ -48,12 +48,8 @@ def run_contact_serving(
 ) -> None:
     """The flat table ``contact_fact``, clustered by user for point lookups."""
     facts = contact_fact(read_table(spark, scored_path), read_table(spark, profiles_path))
-    write_table(
-        facts,
-        table_path(output_path, "contact_fact", suffix),
-        cluster_by=["user1_id", "user2_id", "created_at"],
-        spread_by=["text"],
-    )
+    clustered = cluster(facts, ["user1_id", "user2_id", "created_at"], ["text"])
+    write_table(clustered, table_path(output_path, "contact_fact", suffix))
 
 
 def export_contacts(

@@ -11,16 +11,20 @@ from postlens.operators.clean import clean_topic_posts, dedupe_posts
 from postlens.operators.dictionaries import Words, as_literals, with_censored_text
 from postlens.operators.topics import post_words, with_impact
 from postlens.sources.readers import read_posts, read_table, read_words
-from postlens.sources.sinks import table_path, write_jdbc, write_table
+from postlens.sources.sinks import cluster, table_path, write_jdbc, write_table
 
 SCORED_POST = ["post_id", "user_id", "created_at", "text", "censored_text", "impact"]
-LOOKUP_ORDER = ["user_id", "created_at"]
+
+
+def score_posts(posts: DataFrame, stop: Words, censor: Words) -> DataFrame:
+    """``post_id, user_id, created_at, text, censored_text, impact`` of cleaned posts."""
+    listed = posts.withColumn("words", lower_words(F.col("text")))
+    return with_censored_text(with_impact(listed, stop, "words"), censor).select(*SCORED_POST)
 
 
 def scored_posts(raw: DataFrame, stop: Words, censor: Words) -> DataFrame:
-    """``post_id, user_id, created_at, text, censored_text, impact`` from raw posts."""
-    posts = dedupe_posts(clean_topic_posts(raw)).withColumn("words", lower_words(F.col("text")))
-    return with_censored_text(with_impact(posts, stop, "words"), censor).select(*SCORED_POST)
+    """The scored posts from raw ones, without writing anything."""
+    return score_posts(dedupe_posts(clean_topic_posts(raw)), stop, censor)
 
 
 def run_topic_etl(
@@ -34,16 +38,18 @@ def run_topic_etl(
 ) -> None:
     """Posts to the tables ``scored_posts`` and ``post_words``.
 
-    Both are clustered by user and time, the two ranges that queries ask for. The word
-    rows are made from the finished posts, so queries need not cut texts again.
+    Both are clustered by user and time, the two ranges that queries ask for. Posts are
+    clustered before their texts are worked on; the word rows are made from the finished
+    posts in stored order, so they are clustered already and nothing is shuffled.
     """
     stop = as_literals(read_words(spark, stopwords_path))
     censor = as_literals(read_words(spark, censor_path, obscured=censor_obscured))
     posts_path = table_path(output_path, "scored_posts", suffix)
-    posts = scored_posts(read_posts(spark, input_path), stop, censor)
-    write_table(posts, posts_path, LOOKUP_ORDER, ["post_id"])
+    cleaned = dedupe_posts(clean_topic_posts(read_posts(spark, input_path)))
+    clustered = cluster(cleaned, ["user_id", "created_at"], ["post_id"])
+    write_table(score_posts(clustered, stop, censor), posts_path)
     words = post_words(read_table(spark, posts_path), stop)
-    write_table(words, table_path(output_path, "post_words", suffix), LOOKUP_ORDER, ["post_id", "word"])
+    write_table(words, table_path(output_path, "post_words", suffix))
 
 
 def export_topics(
