@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from postlens.functions.text import lower_words
+from postlens.operators import contacts as contact_ops
 from postlens.operators.clean import clean_contact_posts
-from postlens.operators.contacts import latest_profile, profiles_seen, score_contacts
-from postlens.operators.contacts import contact_fact as make_contact_fact
 from postlens.operators.topics import with_impact
 
 STOP = (
@@ -48,9 +47,9 @@ def _time_text() -> Column:
 def _event_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event with a document as its text: documents are used in turn."""
     docs = documents(spark, sf_dir)
-    count = table(spark, sf_dir, "documents").agg(F.count("*").alias("n")).scalar()
     events = table(spark, sf_dir, "events").withColumn("k", _k())
-    return events.withColumn("doc_id", F.col("event_id") % count).join(docs, "doc_id")
+    rows = table(spark, sf_dir, "documents").count()
+    return events.withColumn("doc_id", F.col("event_id") % F.lit(rows)).join(docs, "doc_id")
 
 
 def raw_event_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,12 +163,29 @@ def contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_contact_posts(raw_event_posts(spark, sf_dir))
 
 
-def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return latest_profile(profiles_seen(contacts(spark, sf_dir)))
+def profiles(of_contacts: DataFrame) -> DataFrame:
+    return contact_ops.latest_profile(contact_ops.profiles_seen(of_contacts))
 
 
-def contact_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return make_contact_fact(score_contacts(contacts(spark, sf_dir)), profiles(spark, sf_dir))
+def heavy_users(of_contacts: DataFrame, key: str) -> DataFrame:
+    return contact_ops.heavy_users(contact_ops.pair_weight(of_contacts), key)
+
+
+def contact_fact(of_contacts: DataFrame) -> DataFrame:
+    return contact_ops.contact_fact(
+        contact_ops.score_contacts(of_contacts),
+        profiles(of_contacts),
+        heavy_users(of_contacts, "user2_id"),
+    )
+
+
+def contact_fact_of_user(of_contacts: DataFrame, user_id: int) -> DataFrame:
+    """The fact table made from the contacts of one user only: the filter goes down to the
+    scan, and the weights of the user's pairs need no other contacts."""
+    own = contact_ops.of_user(of_contacts, user_id)
+    return contact_ops.contact_fact(
+        contact_ops.score_contacts(own), profiles(of_contacts), heavy_users(own, "user2_id")
+    )
 
 
 def contact_requests(spark: SparkSession, sf_dir: str) -> DataFrame:

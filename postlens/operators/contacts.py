@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from postlens.functions.scoring import contact_weight, intimacy
 from postlens.operators.skew import heavy_keys, salted_join
@@ -16,6 +16,16 @@ def _with_pair(df: DataFrame) -> DataFrame:
     )
 
 
+def _two_rows(df: DataFrame, names: list[str], first: list, second: list) -> DataFrame:
+    """Two rows named ``names`` from every row, in one scan."""
+
+    def row(values: list) -> Column:
+        columns = [F.col(v) if isinstance(v, str) else v for v in values]
+        return F.struct(*[c.alias(n) for n, c in zip(names, columns)])
+
+    return df.select(F.inline(F.array(row(first), row(second))))
+
+
 def replies(contacts: DataFrame) -> DataFrame:
     return contacts.where("kind = 'reply'")
 
@@ -35,18 +45,12 @@ def pair_weight(contacts: DataFrame) -> DataFrame:
 
 def pair_scores(weights: DataFrame) -> DataFrame:
     """``[user1_id, user2_id, intimacy_score]`` in both directions."""
-    scored = weights.withColumn("s", intimacy(F.col("weight")))
-    return scored.select(
-        F.inline(
-            F.array(
-                F.struct(
-                    F.col("user_lo").alias("user1_id"),
-                    F.col("user_hi").alias("user2_id"),
-                    F.col("s").alias("intimacy_score"),
-                ),
-                F.struct("user_hi", "user_lo", "s"),
-            )
-        )
+    score = intimacy(F.col("weight"))
+    return _two_rows(
+        weights,
+        ["user1_id", "user2_id", "intimacy_score"],
+        ["user_lo", "user_hi", score],
+        ["user_hi", "user_lo", score],
     )
 
 
@@ -79,20 +83,11 @@ def profiles_seen(contacts: DataFrame) -> DataFrame:
 
     The author and the re-shared author come from one scan; a reply target shows none.
     """
-    seen = contacts.select(
-        F.inline(
-            F.array(
-                F.struct(
-                    F.col("user1_id").alias("id"), "screen_name", "description", "created_at"
-                ),
-                F.struct(
-                    "reshared_user_id",
-                    "reshared_screen_name",
-                    "reshared_description",
-                    "created_at",
-                ),
-            )
-        )
+    seen = _two_rows(
+        contacts,
+        ["id", "screen_name", "description", "created_at"],
+        ["user1_id", "screen_name", "description", "created_at"],
+        ["reshared_user_id", "reshared_screen_name", "reshared_description", "created_at"],
     )
     return seen.where(
         "id is not null and ((screen_name is not null and screen_name <> '') "
@@ -118,32 +113,41 @@ def latest_profile(seen: DataFrame) -> DataFrame:
 def mirror_contacts(scored: DataFrame) -> DataFrame:
     """Every contact under both of its users, from one scan."""
     rest = [c for c in scored.columns if c not in ("user1_id", "user2_id")]
-    return scored.select(
-        F.inline(
-            F.array(
-                F.struct("user1_id", "user2_id", *rest), F.struct("user2_id", "user1_id", *rest)
-            )
-        )
-    )
+    names = ["user1_id", "user2_id", *rest]
+    return _two_rows(scored, names, names, ["user2_id", "user1_id", *rest])
 
 
-def attach_profiles(mirrored: DataFrame, profiles: DataFrame) -> DataFrame:
-    """Add name and description of the counterpart; both stay null where unknown."""
+def heavy_users(weights: DataFrame, key: str) -> DataFrame:
+    """The users with the most contacts, from the pair weights, for a join on ``key``."""
+    per_user = _two_rows(weights, [key, "rows"], ["user_lo", "weight"], ["user_hi", "weight"])
+    return heavy_keys(per_user.groupBy(key).agg(F.sum("rows").alias("rows")), [key], "rows")
+
+
+def attach_profiles(
+    mirrored: DataFrame, profiles: DataFrame, heavy: DataFrame | None = None
+) -> DataFrame:
+    """Add name and description of the counterpart; both stay null where unknown.
+
+    ``heavy`` names the counterparts to cut into slices (see ``heavy_users``).
+    """
     known = profiles.select(
         F.col("id").alias("user2_id"),
         F.col("screen_name").alias("user2_screen_name"),
         F.col("description").alias("user2_desc"),
     )
-    counts = mirrored.groupBy("user2_id").agg(F.count("*").alias("n"))
-    heavy = heavy_keys(counts, ["user2_id"], "n")
+    if heavy is None:
+        counts = mirrored.groupBy("user2_id").agg(F.count("*").alias("n"))
+        heavy = heavy_keys(counts, ["user2_id"], "n")
     return salted_join(mirrored, known, ["user2_id"], heavy, ["user1_id", "text"], "left").select(
         *mirrored.columns, "user2_screen_name", "user2_desc"
     )
 
 
-def contact_fact(scored: DataFrame, profiles: DataFrame) -> DataFrame:
+def contact_fact(
+    scored: DataFrame, profiles: DataFrame, heavy: DataFrame | None = None
+) -> DataFrame:
     """The serving table, flat: one row per user, counterpart and text."""
-    return attach_profiles(mirror_contacts(scored), profiles)
+    return attach_profiles(mirror_contacts(scored), profiles, heavy)
 
 
 def of_user(contacts: DataFrame, user_id: int) -> DataFrame:

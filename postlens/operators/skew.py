@@ -6,23 +6,24 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# A key is heavy when it holds more than 1/SHARE of all rows. There are fewer than SHARE
-# such keys in any table, which is what makes their list safe to broadcast.
+# A key that holds more than 1/SHARE of all rows is among the SHARE largest keys. Their list
+# never grows with the data, which is what makes it safe to broadcast.
 SHARE = 1000
 RANK_SLICES = 64
 
 
 def heavy_keys(counts: DataFrame, keys: Sequence[str], rows: str, share: int = SHARE) -> DataFrame:
-    """``[*keys, slices]``: the heavy keys and into how many slices each is cut.
+    """``[*keys, slices]``: the keys worth cutting, at most ``share`` of them.
 
-    ``counts`` holds one row per key. A slice holds about 1/share of the rows, so the
-    slices of all heavy keys together number less than 2 * share.
+    ``counts`` holds one row per key and comes from an aggregation that is merged before it
+    is shuffled. Slices are in proportion to the rows of the largest keys; all slices
+    together number less than 2 * share.
     """
-    total = counts.agg(F.sum(rows).alias("total")).scalar()
-    part = F.col(rows) * share
-    return counts.where(part > total).select(
-        *keys, F.ceil(part / total).cast("int").alias("slices")
-    )
+    largest = counts.select(*keys, F.col(rows).alias("rows")).orderBy(F.desc("rows")).limit(share)
+    # One task, over at most ``share`` rows.
+    total = F.sum("rows").over(Window.partitionBy())
+    slices = F.ceil(F.col("rows") * share / total).cast("int")
+    return largest.withColumn("slices", slices).where("slices > 1").drop("rows")
 
 
 def salted_join(

@@ -63,21 +63,23 @@ def valid_contact_requests(requests: DataFrame) -> DataFrame:
     ).where("user_id is not null and phrase <> '' and n > 0")
 
 
-def contact_requests(requests: DataFrame, facts: DataFrame) -> DataFrame:
+def contact_requests(
+    requests: DataFrame, facts: DataFrame, heavy: DataFrame | None = None
+) -> DataFrame:
     """Ranked contacts for every request of a table.
 
     Requests for the same user and phrase share one computation with the largest n. The
     user with very many texts is cut into slices for the join, and contacts are reduced to
-    their counts before any ranking.
+    their counts before any ranking. ``heavy`` names such users, ``[user_id, slices]``; they
+    are counted from the facts where it is not given.
     """
     valid = valid_contact_requests(requests)
     asked = valid.groupBy("user_id", "phrase").agg(F.max("n").alias("n_max"))
-    counts = facts.groupBy("user1_id").agg(F.count("*").alias("n"))
-    heavy = heavy_keys(counts.withColumnRenamed("user1_id", "user_id"), ["user_id"], "n")
-    pairs = salted_join(
-        facts.withColumnRenamed("user1_id", "user_id"), asked, ["user_id"], heavy,
-        ["user2_id", "text"],
-    )
+    by_user = facts.withColumnRenamed("user1_id", "user_id")
+    if heavy is None:
+        counts = by_user.groupBy("user_id").agg(F.count("*").alias("n"))
+        heavy = heavy_keys(counts, ["user_id"], "n")
+    pairs = salted_join(by_user, asked, ["user_id"], heavy, ["user2_id", "text"])
     by = ("user_id", "phrase", "n_max")
     per_contact = _hits_per_contact(pairs, F.col("phrase"), by)
     ranked = top_per_group(

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from postlens.functions.arguments import whole_number_column
 from postlens.functions.text import lower_words
 from postlens.operators.dictionaries import Words, drop_stopwords, with_censored_text
-from postlens.operators.skew import heavy_keys, salted_join, top_per_group
+from postlens.operators.skew import top_per_group
 from postlens.operators.topics import post_words, scored_words, word_weight
 from postlens.plans.topic_query import best_posts_first, best_words_first, with_shown_word
 
@@ -44,7 +44,9 @@ def match_requests(requests: DataFrame, posts: DataFrame) -> DataFrame:
 
     A request picks a cell size to fit its ranges and so lies in one to four cells, however
     wide it is. A post lies in one cell of each size in use; there are few sizes, at most
-    17 x 17. Requests and posts meet by cell, and the exact ranges are checked then.
+    17 x 17. Requests and posts meet by cell, and the exact ranges are checked then. Request
+    tables of usual size are broadcast by the planner; beyond that, adaptive execution cuts
+    the partition of a crowded cell, as nothing after the join relies on its partitioning.
     """
     valid = valid_topic_requests(requests).withColumns(
         {"u_level": _level("uid_lo", "uid_hi"), "t_level": _level("t_lo", "t_hi")}
@@ -58,9 +60,7 @@ def match_requests(requests: DataFrame, posts: DataFrame) -> DataFrame:
         .withColumns({"u_cell": _cell("user_id", "u_level"), "t_cell": _cell("created_at", "t_level")})
         .drop("size")
     )
-    counts = placed.groupBy(*CELL).agg(F.count("*").alias("n"))
-    matched = salted_join(placed, valid, CELL, heavy_keys(counts, CELL, "n"), ["post_id"])
-    return matched.where(
+    return placed.join(valid, CELL).where(
         "user_id between uid_lo and uid_hi and created_at between t_lo and t_hi"
     ).drop(*CELL, "uid_lo", "uid_hi", "t_lo", "t_hi")
 
@@ -76,10 +76,7 @@ def _per_request(matched: DataFrame) -> DataFrame:
 def _top_words(matched: DataFrame, stop: Words) -> DataFrame:
     per_request = _per_request(matched)
     weights = word_weight(post_words(matched, words="words"), by=("request_id",))
-    heavy = heavy_keys(per_request, ["request_id"], "n_posts")
-    known = salted_join(
-        drop_stopwords(weights, stop), per_request, ["request_id"], heavy, ["word"]
-    )
+    known = drop_stopwords(weights, stop).join(per_request, "request_id")
     scored = scored_words(known, F.col("n_posts"))
     return top_per_group(scored, ["request_id"], best_words_first(), F.col("n1"), ["word"])
 
@@ -109,11 +106,7 @@ def request_posts(
         .groupBy("request_id", block.alias("block"))
         .agg(F.collect_list("word").alias("top_words"))
     )
-    heavy = heavy_keys(_per_request(matched), ["request_id"], "n_posts")
-    pairs = salted_join(
-        matched.select("request_id", "n2", "post_id", "impact", "words"),
-        top, ["request_id"], heavy, ["post_id"],
-    )
+    pairs = matched.select("request_id", "n2", "post_id", "impact", "words").join(top, "request_id")
     chosen = (
         pairs.where(F.arrays_overlap("words", "top_words"))
         .groupBy("request_id", "post_id")
