@@ -144,10 +144,10 @@ REQUESTS = f"""
 requests as (
   select * from (
     select s_suppkey as request_id, s_suppkey as uid_lo,
-           case when s_acctbal < 0 then s_suppkey - 1 else s_suppkey + s_nationkey end as uid_hi,
-           1704067200 + s_nationkey * 86400 as t_lo,
+           case when s_acctbal < 0 then s_suppkey - 1 else s_suppkey + s_nationkey * 4 end as uid_hi,
+           1704067200 + s_nationkey * 3600 as t_lo,
            case when s_acctbal > 9000 then 4611686018427387904
-                else 1704067200 + s_nationkey * 86400 + cast(floor(s_acctbal) as bigint) * 100 end as t_hi,
+                else 1704067200 + s_nationkey * 3600 + cast(floor(s_acctbal) as bigint) * 100 end as t_hi,
            5 + s_nationkey as n1, s_nationkey as n2
     from supplier) where n1 > 0 and n2 >= 0 and uid_lo <= uid_hi and t_lo <= t_hi),
 matched as (

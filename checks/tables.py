@@ -207,11 +207,11 @@ def contact_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 def topic_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One request per supplier: ranges of different widths, some of them reversed."""
     key, balance = F.col("s_suppkey"), F.col("s_acctbal")
-    start = F.lit(1704067200) + F.col("s_nationkey") * 86400
+    start = F.lit(1704067200) + F.col("s_nationkey") * 3600
     return table(spark, sf_dir, "supplier").select(
         key.alias("request_id"),
         key.alias("uid_lo"),
-        F.when(balance < 0, key - 1).otherwise(key + F.col("s_nationkey")).alias("uid_hi"),
+        F.when(balance < 0, key - 1).otherwise(key + F.col("s_nationkey") * 4).alias("uid_hi"),
         start.cast("bigint").alias("t_lo"),
         F.when(balance > 9000, F.lit(2**62))
         .otherwise((start + F.floor(balance) * 100).cast("bigint"))
