@@ -28,6 +28,16 @@ def as_literals(words: Words, limit: int = MAX_LITERALS) -> Words:
     return distinct if len(found) > limit else sorted(r["word"] for r in found)
 
 
+def explode_column(df: DataFrame, array: str, item: str) -> DataFrame:
+    """One row per item of a column without null items.
+
+    The outer form with a filter on the items: for the inner form the optimizer adds a
+    filter on the array, and pushed down that would cut every text a second time.
+    """
+    rest = [c for c in df.columns if c != array]
+    return df.select(*rest, F.explode_outer(array).alias(item)).where(F.col(item).isNotNull())
+
+
 def drop_stopwords(df: DataFrame, stop: Words) -> DataFrame:
     """Rows whose lower-cased ``word`` is not a stop word."""
     if isinstance(stop, DataFrame):
@@ -41,7 +51,7 @@ def with_effective_words(posts: DataFrame, stop: Words, words: str | None = None
     listed = F.col(words) if words else lower_words(F.col("text"))
     if not isinstance(stop, DataFrame):
         return posts.withColumn("effective_words", effective_words(listed, stop))
-    exploded = posts.select("post_id", F.explode(listed).alias("word"))
+    exploded = explode_column(posts.select("post_id", listed.alias("words")), "words", "word")
     counts = drop_stopwords(exploded, stop).groupBy("post_id").agg(
         F.count("*").alias("effective_words")
     )
@@ -52,7 +62,10 @@ def with_censored_text(posts: DataFrame, censor: Words) -> DataFrame:
     """Add ``censored_text``: the text with the listed words masked."""
     if not isinstance(censor, DataFrame):
         return posts.withColumn("censored_text", censor_text(F.col("text"), censor))
-    segments = posts.select("post_id", F.posexplode(text_segments(F.col("text"))).alias("pos", "seg"))
+    cut = posts.select("post_id", text_segments(F.col("text")).alias("segments"))
+    segments = cut.select("post_id", F.posexplode_outer("segments").alias("pos", "seg")).where(
+        "seg is not null"
+    )
     listed = censor.select(F.lower("word").alias("word")).distinct().withColumn("hit", F.lit(True))
     shown = segments.join(listed, F.lower("seg") == F.col("word"), "left").select(
         "post_id",

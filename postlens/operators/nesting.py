@@ -87,12 +87,14 @@ def flatten_json_contacts(decoded: DataFrame) -> DataFrame:
     contact = F.arrays_zip(
         "user2_ids", "texts", "created_ats", "intimacy_scores", "user2_descs", "user2_screen_names"
     )
-    per_contact = decoded.select("user1_id", F.inline(contact))
+    per_contact = decoded.select("user1_id", F.inline_outer(contact)).where("user2_ids is not null")
     return per_contact.select(
         "user1_id",
         F.col("user2_ids").alias("user2_id"),
         F.col("user2_screen_names").alias("user2_screen_name"),
         F.col("user2_descs").alias("user2_desc"),
         F.col("intimacy_scores").alias("intimacy_score"),
-        F.inline(F.arrays_zip(F.col("texts").alias("text"), F.col("created_ats").alias("created_at"))),
-    )
+        F.inline_outer(
+            F.arrays_zip(F.col("texts").alias("text"), F.col("created_ats").alias("created_at"))
+        ),
+    ).where("text is not null")

@@ -11,8 +11,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from postlens.functions.posts import impact_score
 from postlens.functions.scoring import topic_score
-from postlens.functions.text import lower_words, word_counts
-from postlens.operators.dictionaries import Words, drop_stopwords, with_effective_words
+from postlens.functions.text import extract_words, lower_words, word_counts
+from postlens.operators.dictionaries import (
+    Words,
+    drop_stopwords,
+    explode_column,
+    with_effective_words,
+)
 
 CARRIED = ("request_id", "post_id", "user_id", "created_at", "impact")
 VARIANTS = ("ln_impact_plus_1", "ln_impact")
@@ -40,7 +45,8 @@ def posts_in_range(
 
 def explode_words(posts: DataFrame) -> DataFrame:
     """``[post_id, word]``: one row per occurrence, in lower case."""
-    return posts.select("post_id", F.explode(lower_words(F.col("text"))).alias("word"))
+    listed = posts.select("post_id", extract_words(F.col("text")).alias("words"))
+    return explode_column(listed, "words", "word").withColumn("word", F.lower("word"))
 
 
 def post_words(posts: DataFrame, stop: Words = (), words: str | None = None) -> DataFrame:
@@ -55,7 +61,8 @@ def post_words(posts: DataFrame, stop: Words = (), words: str | None = None) ->
     counted = posts.select(*carried, listed.alias("words")).select(
         *carried, F.size("words").alias("num_words"), word_counts(F.col("words")).alias("counts")
     )
-    exploded = counted.select(*carried, "num_words", F.inline("counts"))
+    # The outer form for the reason given in explode_column.
+    exploded = counted.select(*carried, "num_words", F.inline_outer("counts")).where("word is not null")
     return drop_stopwords(exploded, stop)
 
 

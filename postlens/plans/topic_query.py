@@ -24,7 +24,7 @@ def best_words_first():
 
 
 def best_posts_first():
-    return [F.desc("impact"), F.desc("post_id")]
+    return [F.desc_nulls_last("impact"), F.desc("post_id")]
 
 
 def with_shown_word(top: DataFrame, censor: Words) -> DataFrame:
@@ -102,13 +102,18 @@ def topic_posts(
     chosen = posts_in_range(posts, *span)
     if words_table is None and n_words <= MAX_LITERALS:
         # At most MAX_LITERALS words: one array, tested where the posts are read.
+        # A post without one gets no impact and is dropped after the ranking: a filter
+        # would be pushed down, away from the words that were cut already.
         top_array = top.agg(F.collect_list("word").alias("words")).scalar()
-        chosen = _with_words(chosen).where(F.arrays_overlap("words", top_array))
+        hit = F.arrays_overlap("words", top_array)
+        chosen = _with_words(chosen).withColumn("impact", F.when(hit, F.col("impact")))
     else:
         rows = post_words(chosen) if words_table is None else posts_in_range(words_table, *span)
         ids = rows.join(top, "word", "left_semi").select("post_id").distinct()
         chosen = chosen.join(ids, "post_id", "left_semi")
-    ranked = top_rows(chosen.select("post_id", "impact", "text"), best_posts_first(), n_posts)
+    ranked = top_rows(chosen.select("post_id", "impact", "text"), best_posts_first(), n_posts).where(
+        "impact is not null"
+    )
     return with_censored_text(ranked, censor).select(
         "rank", "post_id", "impact", F.col("censored_text").alias("text")
     )
