@@ -137,8 +137,15 @@ def contact_requests(spark, sf):
     return _rounded_score(ranked)
 
 
+def _nested(spark, sf):
+    all_contacts = t.contacts(spark, sf)
+    return nesting.nest_contacts(
+        t.contact_fact(all_contacts), t.heavy_users(all_contacts, "user1_id")
+    )
+
+
 def contact_nested(spark, sf):
-    nested = nesting.nest_contacts(t.contact_fact(t.contacts(spark, sf)))
+    nested = _nested(spark, sf)
     contact = nested.select("user1_id", F.inline("contacts"))
     return contact.groupBy("user1_id").agg(
         F.count_distinct("user2_id").alias("n_contacts"),
@@ -148,7 +155,7 @@ def contact_nested(spark, sf):
 
 
 def contact_json_roundtrip(spark, sf):
-    encoded = nesting.contacts_to_json(nesting.nest_contacts(t.contact_fact(t.contacts(spark, sf))))
+    encoded = nesting.contacts_to_json(_nested(spark, sf))
     rows = nesting.flatten_json_contacts(nesting.contacts_from_json(encoded))
     return rows.groupBy("user1_id", "user2_id").agg(
         F.count("*").alias("n_texts"),

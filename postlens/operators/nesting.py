@@ -24,12 +24,15 @@ JSON_COLUMNS = {
 }
 
 
-def nest_contacts(facts: DataFrame, bytes_per_row: int = BYTES_PER_ROW) -> DataFrame:
+def nest_contacts(
+    facts: DataFrame, heavy: DataFrame | None = None, bytes_per_row: int = BYTES_PER_ROW
+) -> DataFrame:
     """``[user1_id, part, contacts]`` with the texts of a user nested by counterpart.
 
     A user whose texts take up to ``bytes_per_row`` has one row, part 0. Above that the
     texts are spread over as many parts as needed, so no row grows without bound and no
-    text is lost.
+    text is lost. ``heavy`` names the users to cut into slices for that, ``[user1_id,
+    slices]``; they are found in the facts where it is not given.
     """
     size = F.sum(F.octet_length("text") + BYTES_PER_TEXT).alias("size")
     counts = facts.groupBy("user1_id").agg(size)
@@ -37,9 +40,9 @@ def nest_contacts(facts: DataFrame, bytes_per_row: int = BYTES_PER_ROW) -> DataF
         "user1_id", F.ceil(F.col("size") / bytes_per_row).alias("parts")
     )
     content = ["user2_id", "text", "created_at"]
-    placed = salted_join(
-        facts, large, ["user1_id"], heavy_keys(counts, ["user1_id"], "size"), content, "left"
-    ).withColumn(
+    if heavy is None:
+        heavy = heavy_keys(counts, ["user1_id"], "size")
+    placed = salted_join(facts, large, ["user1_id"], heavy, content, "left").withColumn(
         "part",
         F.when(F.col("parts").isNull(), F.lit(0)).otherwise(
             F.pmod(F.xxhash64(*content, F.lit("part")), F.col("parts"))

@@ -19,7 +19,7 @@ from postlens.operators.dictionaries import (
     with_effective_words,
 )
 
-CARRIED = ("request_id", "post_id", "user_id", "created_at", "impact")
+CARRIED = ("post_id", "user_id", "created_at", "impact")
 VARIANTS = ("ln_impact_plus_1", "ln_impact")
 
 
@@ -49,21 +49,30 @@ def explode_words(posts: DataFrame) -> DataFrame:
     return explode_column(listed, "words", "word").withColumn("word", F.lower("word"))
 
 
-def post_words(posts: DataFrame, stop: Words = (), words: str | None = None) -> DataFrame:
-    """One row per post and distinct word, stop words left out.
+def count_words(posts: DataFrame, words: str | None = None) -> DataFrame:
+    """Posts with ``num_words`` and ``counts``, each distinct word with its occurrences.
 
-    Occurrences are counted inside the row, so nothing is shuffled.
+    ``words`` names a column of lower-cased words, if there is one. Everything is counted
+    inside the row, so nothing is shuffled. It is a projection of its own: next to a
+    generator, the array of all words would be copied into every row it makes.
     """
-    listed = F.col(words) if words else lower_words(F.col("text"))
     carried = [c for c in CARRIED if c in posts.columns]
-    # Counted in a projection of its own: next to the generator, the array of all words
-    # would be copied into every row it makes.
-    counted = posts.select(*carried, listed.alias("words")).select(
+    listed = F.col(words) if words else lower_words(F.col("text"))
+    return posts.select(*carried, listed.alias("words")).select(
         *carried, F.size("words").alias("num_words"), word_counts(F.col("words")).alias("counts")
     )
+
+
+def explode_counts(counted: DataFrame) -> DataFrame:
+    """One row per post and distinct word, with ``word`` and ``cnt``."""
+    rest = [c for c in counted.columns if c != "counts"]
     # The outer form for the reason given in explode_column.
-    exploded = counted.select(*carried, "num_words", F.inline_outer("counts")).where("word is not null")
-    return drop_stopwords(exploded, stop)
+    return counted.select(*rest, F.inline_outer("counts")).where("word is not null")
+
+
+def post_words(posts: DataFrame, stop: Words = (), words: str | None = None) -> DataFrame:
+    """The word rows of posts, stop words left out."""
+    return drop_stopwords(explode_counts(count_words(posts, words)), stop)
 
 
 def _post_weight(variant: str) -> Column:

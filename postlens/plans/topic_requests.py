@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from postlens.functions.arguments import whole_number_column
-from postlens.functions.text import lower_words
 from postlens.operators.dictionaries import Words, drop_stopwords, with_censored_text
 from postlens.operators.skew import top_per_group
-from postlens.operators.topics import post_words, scored_words, word_weight
+from postlens.operators.topics import count_words, explode_counts, scored_words, word_weight
 from postlens.plans.topic_query import best_posts_first, best_words_first, with_shown_word
 
 CELL = ["u_level", "t_level", "u_cell", "t_cell"]
@@ -65,8 +64,9 @@ def match_requests(requests: DataFrame, posts: DataFrame) -> DataFrame:
     ).drop(*CELL, "uid_lo", "uid_hi", "t_lo", "t_hi")
 
 
-def _with_words(posts: DataFrame) -> DataFrame:
-    return posts if "words" in posts.columns else posts.withColumn("words", lower_words(F.col("text")))
+def _counted(posts: DataFrame) -> DataFrame:
+    """Posts with their words counted: once per post, however many requests they match."""
+    return count_words(posts, "words" if "words" in posts.columns else None)
 
 
 def _per_request(matched: DataFrame) -> DataFrame:
@@ -75,7 +75,7 @@ def _per_request(matched: DataFrame) -> DataFrame:
 
 def _top_words(matched: DataFrame, stop: Words) -> DataFrame:
     per_request = _per_request(matched)
-    weights = word_weight(post_words(matched, words="words"), by=("request_id",))
+    weights = word_weight(explode_counts(matched), by=("request_id",))
     known = drop_stopwords(weights, stop).join(per_request, "request_id")
     scored = scored_words(known, F.col("n_posts"))
     return top_per_group(scored, ["request_id"], best_words_first(), F.col("n1"), ["word"])
@@ -85,7 +85,7 @@ def request_words(
     requests: DataFrame, posts: DataFrame, stop: Words = (), censor: Words = ()
 ) -> DataFrame:
     """``[request_id, rank, word, shown_word, posts, score]`` for every request."""
-    top = _top_words(match_requests(requests, _with_words(posts)), stop)
+    top = _top_words(match_requests(requests, _counted(posts)), stop)
     return with_shown_word(top, censor).select(
         "request_id", "rank", "word", "shown_word", "posts", F.round("score", 6).alias("score")
     )
@@ -99,16 +99,16 @@ def request_posts(
     The top words of a request travel to its posts as arrays of bounded length, so posts
     are tested whole instead of being exploded and joined again.
     """
-    matched = match_requests(requests, _with_words(posts))
+    matched = match_requests(requests, _counted(posts))
     block = F.floor((F.col("rank") - 1) / WORDS_PER_ARRAY)
     top = (
         _top_words(matched, stop)
         .groupBy("request_id", block.alias("block"))
         .agg(F.collect_list("word").alias("top_words"))
     )
-    pairs = matched.select("request_id", "n2", "post_id", "impact", "words").join(top, "request_id")
+    pairs = matched.select("request_id", "n2", "post_id", "impact", "counts").join(top, "request_id")
     chosen = (
-        pairs.where(F.arrays_overlap("words", "top_words"))
+        pairs.where(F.arrays_overlap("counts.word", "top_words"))
         .groupBy("request_id", "post_id")
         .agg(F.max("impact").alias("impact"), F.max("n2").alias("n2"))
     )
