@@ -26,14 +26,6 @@ def _two_rows(df: DataFrame, names: list[str], first: list, second: list) -> Dat
     return df.select(F.inline(F.array(row(first), row(second))))
 
 
-def replies(contacts: DataFrame) -> DataFrame:
-    return contacts.where("kind = 'reply'")
-
-
-def reshares(contacts: DataFrame) -> DataFrame:
-    return contacts.where("kind = 'reshare'")
-
-
 def pair_weight(contacts: DataFrame) -> DataFrame:
     """``[user_lo, user_hi, weight]``: weighted contacts of every unordered pair."""
     return (

@@ -32,7 +32,7 @@ def with_shown_word(top: DataFrame, censor: Words) -> DataFrame:
     word = F.col("word")
     if isinstance(censor, DataFrame):
         mask = F.col("mask") if "mask" in censor.columns else mask_word(F.col("word"))
-        masks = censor.select("word", mask.alias("shown_word")).distinct()
+        masks = censor.groupBy("word").agg(F.max(mask).alias("shown_word"))
         return top.join(masks, "word", "left").withColumn(
             "shown_word", F.coalesce("shown_word", "word")
         )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from postlens.functions.text import mask_word, rot13
+from postlens.functions.text import rot13
 from postlens.sources.schema import RAW_POST
 
 
@@ -30,11 +30,6 @@ def read_censor(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def censor_from_words(words: DataFrame) -> DataFrame:
-    """Censor dictionary ``[word, mask]`` for a plain word list."""
-    return words.select("word", mask_word(F.col("word")).alias("mask"))
-
-
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """A table written by one of the jobs."""
     return spark.read.parquet(path)
