@@ -39,9 +39,7 @@ def _k() -> Column:
 
 
 def _time_text() -> Column:
-    return F.concat(
-        F.date_format("ts", "EEE MMM dd HH:mm:ss"), F.lit(" +0000 "), F.date_format("ts", "yyyy")
-    )
+    return F.date_format("ts", "EEE MMM dd HH:mm:ss '+0000' yyyy")
 
 
 def _event_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,7 +64,7 @@ def raw_event_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("user_id").cast("string").alias("id_str"),
         F.when(F.col("k") < 90, F.concat_ws("_", F.lit("user"), "user_id", "k")).alias("screen_name"),
         F.when(F.col("k") < 95, F.col("lang")).alias("description"),
-        _time_text().alias("created_at"),
+        F.lit(None).cast("string").alias("created_at"),
         F.col("n_chars").alias("followers_count"),
     )
     reshared = F.struct(
@@ -74,7 +72,7 @@ def raw_event_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
         other.cast("string").alias("id_str"),
         F.concat_ws("_", F.lit("user"), other, "event_type").alias("screen_name"),
         F.lit(None).cast("string").alias("description"),
-        _time_text().alias("created_at"),
+        F.lit(None).cast("string").alias("created_at"),
     )
     hashtags = F.array(F.struct(F.col("event_type").alias("text")))
     return _event_documents(spark, sf_dir).select(
@@ -111,7 +109,7 @@ def raw_document_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("k") >= 5, F.col("user_id").cast("string")).otherwise("unknown").alias("id_str"),
         F.concat_ws("_", F.lit("user"), "user_id").alias("screen_name"),
         F.col("source").alias("description"),
-        _time_text().alias("created_at"),
+        F.lit(None).cast("string").alias("created_at"),
         F.when(F.col("value") >= 3, F.col("n_chars")).alias("followers_count"),
     )
     no_user = F.struct(

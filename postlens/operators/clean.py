@@ -42,8 +42,7 @@ def flatten_posts(raw: DataFrame) -> DataFrame:
 def require_fields(posts: DataFrame) -> DataFrame:
     """Keep posts that have an id, an author, a text and a time."""
     return posts.where(
-        "post_id is not null and user_id is not null "
-        "and text is not null and text <> '' and created_at is not null and created_at <> ''"
+        "post_id is not null and user_id is not null and text <> '' and created_at <> ''"
     )
 
 
@@ -97,7 +96,8 @@ def clean_contact_posts(raw: DataFrame) -> DataFrame:
     ``post_id, user1_id, user2_id, kind, text, created_at`` and the two profiles seen.
     """
     posts = lang_in(require_fields(flatten_posts(raw)), CONTACT_LANGS).where("has_hashtag")
-    contacts = drop_self_contacts(classify_contact(parse_times(posts)))
+    # Times are parsed last: it is the dearest test, and most posts are no contacts.
+    contacts = parse_times(drop_self_contacts(classify_contact(posts)))
     return contacts.select(
         "post_id",
         "user1_id",
