@@ -102,7 +102,10 @@ def latest_profile(spark, sf):
 
 
 def contact_serving(spark, sf):
-    return _rounded(t.contact_fact(t.contacts(spark, sf)))
+    all_contacts = t.contacts(spark, sf)
+    scored_contacts = contacts.score_contacts(all_contacts)
+    heavy = t.heavy_users(all_contacts, "user2_id")
+    return _rounded(contacts.contact_fact(scored_contacts, t.profiles(all_contacts), heavy))
 
 
 def _facts_of_user(spark, sf):
@@ -138,10 +141,7 @@ def contact_requests(spark, sf):
 
 
 def _nested(spark, sf):
-    all_contacts = t.contacts(spark, sf)
-    return nesting.nest_contacts(
-        t.contact_fact(all_contacts), t.heavy_users(all_contacts, "user1_id")
-    )
+    return nesting.nest_contacts(t.contact_fact(t.contacts(spark, sf)))
 
 
 def contact_nested(spark, sf):

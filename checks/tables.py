@@ -170,20 +170,16 @@ def heavy_users(of_contacts: DataFrame, key: str) -> DataFrame:
 
 
 def contact_fact(of_contacts: DataFrame) -> DataFrame:
-    return contact_ops.contact_fact(
-        contact_ops.score_contacts(of_contacts),
-        profiles(of_contacts),
-        heavy_users(of_contacts, "user2_id"),
-    )
+    scored = contact_ops.score_contacts(of_contacts)
+    return contact_ops.contact_fact(scored, profiles(of_contacts))
 
 
 def contact_fact_of_user(of_contacts: DataFrame, user_id: int) -> DataFrame:
     """The fact table made from the contacts of one user only: the filter goes down to the
     scan, and the weights of the user's pairs need no other contacts."""
     own = contact_ops.of_user(of_contacts, user_id)
-    return contact_ops.contact_fact(
-        contact_ops.score_contacts(own), profiles(of_contacts), heavy_users(own, "user2_id")
-    )
+    scored = contact_ops.score_contacts(own, cut_heavy=False)
+    return contact_ops.contact_fact(scored, profiles(of_contacts))
 
 
 def contact_requests(spark: SparkSession, sf_dir: str) -> DataFrame:

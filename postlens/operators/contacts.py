@@ -53,21 +53,18 @@ def dedupe_contacts(contacts: DataFrame) -> DataFrame:
     )
 
 
-def score_contacts(contacts: DataFrame) -> DataFrame:
+def score_contacts(contacts: DataFrame, cut_heavy: bool = True) -> DataFrame:
     """``[user1_id, user2_id, text, created_at, intimacy_score]``.
 
     The weight of a pair counts every post, the texts are listed once. Weights serve as
-    row counts to find the heavy pairs: a contact adds 1 or 2.
+    row counts to find the heavy pairs: a contact adds 1 or 2. ``cut_heavy=False`` spares
+    that where few contacts come in, such as those of one user.
     """
     weights = pair_weight(contacts)
     scores = weights.select(*PAIR, intimacy(F.col("weight")).alias("intimacy_score"))
-    return salted_join(
-        _with_pair(dedupe_contacts(contacts)),
-        scores,
-        PAIR,
-        heavy_keys(weights, PAIR, "weight"),
-        spread_by=["text"],
-    ).select("user1_id", "user2_id", "text", "created_at", "intimacy_score")
+    texts = _with_pair(dedupe_contacts(contacts))
+    heavy = heavy_keys(weights, PAIR, "weight") if cut_heavy else None
+    return salted_join(texts, scores, PAIR, heavy, spread_by=["text"]).select("user1_id", "user2_id", "text", "created_at", "intimacy_score")
 
 
 def profiles_seen(contacts: DataFrame) -> DataFrame:
@@ -120,16 +117,13 @@ def attach_profiles(
 ) -> DataFrame:
     """Add name and description of the counterpart; both stay null where unknown.
 
-    ``heavy`` names the counterparts to cut into slices (see ``heavy_users``).
+    ``heavy`` names the counterparts to cut into slices, ``[user2_id, slices]``.
     """
     known = profiles.select(
         F.col("id").alias("user2_id"),
         F.col("screen_name").alias("user2_screen_name"),
         F.col("description").alias("user2_desc"),
     )
-    if heavy is None:
-        counts = mirrored.groupBy("user2_id").agg(F.count("*").alias("n"))
-        heavy = heavy_keys(counts, ["user2_id"], "n")
     return salted_join(mirrored, known, ["user2_id"], heavy, ["user1_id", "text"], "left").select(
         *mirrored.columns, "user2_screen_name", "user2_desc"
     )

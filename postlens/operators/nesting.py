@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from postlens.operators.skew import heavy_keys, salted_join
+from postlens.operators.skew import salted_join
 
 BYTES_PER_ROW = 8 * 1024 * 1024
 BYTES_PER_TEXT = 32  # what a text takes besides its characters
@@ -31,8 +31,8 @@ def nest_contacts(
 
     A user whose texts take up to ``bytes_per_row`` has one row, part 0. Above that the
     texts are spread over as many parts as needed, so no row grows without bound and no
-    text is lost. ``heavy`` names the users to cut into slices for that, ``[user1_id,
-    slices]``; they are found in the facts where it is not given.
+    text is lost. ``heavy`` names the users to cut into slices while the parts are
+    assigned, ``[user1_id, slices]``.
     """
     size = F.sum(F.octet_length("text") + BYTES_PER_TEXT).alias("size")
     counts = facts.groupBy("user1_id").agg(size)
@@ -40,8 +40,6 @@ def nest_contacts(
         "user1_id", F.ceil(F.col("size") / bytes_per_row).alias("parts")
     )
     content = ["user2_id", "text", "created_at"]
-    if heavy is None:
-        heavy = heavy_keys(counts, ["user1_id"], "size")
     placed = salted_join(facts, large, ["user1_id"], heavy, content, "left").withColumn(
         "part",
         F.when(F.col("parts").isNull(), F.lit(0)).otherwise(

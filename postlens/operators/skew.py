@@ -30,7 +30,7 @@ def salted_join(
     facts: DataFrame,
     lookup: DataFrame,
     keys: Sequence[str],
-    heavy: DataFrame,
+    heavy: DataFrame | None,
     spread_by: Sequence[str | Column],
     how: str = "inner",
 ) -> DataFrame:
@@ -39,8 +39,14 @@ def salted_join(
     Facts of a heavy key are spread over its slices by the hash of ``spread_by``; the
     lookup rows of that key are repeated once per slice. All other keys join as usual,
     and a lookup that is small enough is broadcast by the planner.
+
+    Without ``heavy`` it is a plain join, and adaptive execution cuts the partition of a
+    heavy key while it runs. It can do so only if the next step does not rely on the
+    partitioning of the join: a grouping by the same keys needs ``heavy``.
     """
     keys = list(keys)
+    if heavy is None:
+        return facts.join(lookup, keys, how)
     heavy = F.broadcast(heavy)
     slice_of = F.when(
         F.col("slices").isNull(), F.lit(0)

@@ -4,16 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from postlens.operators.clean import clean_contact_posts, dedupe_posts
 from postlens.operators.contacts import (
     contact_fact,
     latest_profile,
+    mirror_contacts,
     profiles_seen,
     score_contacts,
 )
 from postlens.operators.nesting import contacts_to_json, nest_contacts
+from postlens.operators.skew import heavy_keys
 from postlens.sources.readers import read_posts, read_table
 from postlens.sources.sinks import cluster, table_path, write_jdbc, write_table
 from postlens.sources.staging import stage
@@ -43,11 +45,17 @@ def run_contact_etl(
     write_table(score_contacts(contacts), table_path(output_path, "contact_scored", suffix))
 
 
+def _heavy(contacts: DataFrame, key: str) -> DataFrame:
+    return heavy_keys(contacts.groupBy(key).agg(F.count("*").alias("n")), [key], "n")
+
+
 def run_contact_serving(
     spark: SparkSession, profiles_path: str, scored_path: str, output_path: str, suffix: str | None = None
 ) -> None:
     """The flat table ``contact_fact``, clustered by user for point lookups."""
-    facts = contact_fact(read_table(spark, scored_path), read_table(spark, profiles_path))
+    scored = read_table(spark, scored_path)
+    heavy = _heavy(mirror_contacts(scored), "user2_id")
+    facts = contact_fact(scored, read_table(spark, profiles_path), heavy)
     clustered = cluster(facts, ["user1_id", "user2_id", "created_at"], ["text"])
     write_table(clustered, table_path(output_path, "contact_fact", suffix))
 
@@ -59,7 +67,7 @@ def export_contacts(
 
     ``text_type`` is the store's type for long text, such as ``clob`` or ``mediumtext``.
     """
-    encoded = contacts_to_json(nest_contacts(facts))
+    encoded = contacts_to_json(nest_contacts(facts, _heavy(facts, "user1_id")))
     keys = ("user1_id", "part")
     types = ", ".join(["user1_id bigint", "part bigint"] + [
         f"{c} {text_type}" for c in encoded.columns if c not in keys
