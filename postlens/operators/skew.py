@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 # A key that holds more than 1/SHARE of all rows is among the SHARE largest keys. Their list
 # never grows with the data, which is what makes it safe to broadcast.
 SHARE = 1000
-RANK_SLICES = 64
 
 
 def heavy_keys(counts: DataFrame, keys: Sequence[str], rows: str, share: int = SHARE) -> DataFrame:
@@ -68,12 +67,14 @@ def top_per_group(
     """The first ``n`` rows of every group with their rank; ``n`` may differ by group.
 
     A first ranking inside each of the group's slices drops the rows that cannot be among
-    the first n, so no task ever ranks a whole group. The result is exact.
+    the first n, so no task ever ranks a whole group. The result is exact. There are as many
+    slices as shuffle partitions: one group may then occupy all tasks.
     """
+    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     inside = Window.partitionBy(*group, "slice").orderBy(*order)
     across = Window.partitionBy(*group).orderBy(*order)
     return (
-        df.withColumn("slice", F.pmod(F.xxhash64(*spread_by), F.lit(RANK_SLICES)))
+        df.withColumn("slice", F.pmod(F.xxhash64(*spread_by), F.lit(slices)))
         .withColumn(rank, F.row_number().over(inside))
         .where(F.col(rank) <= n)
         .withColumn(rank, F.row_number().over(across))

@@ -22,7 +22,8 @@ def stage(df: DataFrame, name: str, fallback: str | None = None) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
     Later steps start from the files: they read just the columns they need, and a lost
-    executor costs a re-read instead of the whole lineage.
+    executor costs a re-read instead of the whole lineage. The files stay in the folder, under
+    a name of their own, until the folder is cleared.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark, fallback)}/{name}-{uuid.uuid4().hex}"

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from postlens.functions.text import lower_words
 from postlens.operators import clean, contacts, topics
-from postlens.plans import topic_query
+from postlens.plans import contact_query, topic_query
 from postlens.sources.schema import RAW_POST
 
 
@@ -51,3 +51,15 @@ def test_pair_weights_take_one_shuffle(spark):
     posts = spark.createDataFrame([], "user1_id long, user2_id long, kind string")
     plan = plan_of(contacts.pair_weight(posts))
     assert plan.count("Exchange") == 1 and "partial_sum" in plan
+
+
+def test_contacts_of_a_heavy_user_are_counted_before_they_meet(spark):
+    facts = spark.createDataFrame(
+        [], "user1_id long, user2_id long, text string, created_at long, intimacy_score double, "
+        "user2_screen_name string, user2_desc string",
+    )
+    requests = spark.createDataFrame([], "request_id long, user_id string, phrase string, n string")
+    plan = plan_of(contact_query.contact_requests(requests, facts))
+    # The join is on user and slice, so it does not stand in for the shuffle of the counts.
+    assert "partial_sum(hits" in plan
+    assert [line for line in plan.splitlines() if "Join [user_id#" in line and "slice#" in line]
