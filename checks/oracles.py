@@ -106,6 +106,11 @@ facts as (
   from both_ways b left join profiles p on p.id = b.user2_id)
 """
 
+SHOWN_FACT = (
+    "user1_id, user2_id, text, created_at, round(intimacy_score, 6) as intimacy_score, "
+    "coalesce(user2_screen_name, '<null>') as user2_screen_name, coalesce(user2_desc, '<null>') as user2_desc"
+)
+
 # English documents as clean posts, their words and impact.
 TOPICS = f"""
 posts as (
@@ -193,12 +198,14 @@ payloads as (
 
 ORACLES: dict[str, str] = {
     "post_flatten": f"""with {RAW_DOCUMENTS}
-        select post_id, user_id, created_at, text, lang, followers_count, reshare_count, favorite_count, screen_name,
-               description, cast(null as bigint) as reshared_user_id, true as has_hashtag from flat""",
+        select post_id, coalesce(user_id, -1) as user_id, created_at, coalesce(text, '<null>') as text, lang,
+               coalesce(followers_count, -1) as followers_count, coalesce(reshare_count, -1) as reshare_count,
+               favorite_count, screen_name, description, true as has_hashtag from flat""",
     "post_clean": f"with {RAW_DOCUMENTS} select * from valid",
     "post_time_parse": f"""with {RAW_DOCUMENTS}
         select post_id, created_at as time_text,
-               cast(epoch(try_strptime(created_at, '%a %b %d %H:%M:%S +0000 %Y')) as bigint) as created_at from flat""",
+               coalesce(cast(epoch(try_strptime(created_at, '%a %b %d %H:%M:%S +0000 %Y')) as bigint), -1) as created_at
+        from flat""",
     "post_lang_filter": f"with {RAW_DOCUMENTS} select post_id, lang, created_at from flat where lang in {LANGS}",
     "post_dedupe": f"with {RAW_DOCUMENTS} select * from deduped",
     "contact_classify": f"with {CONTACTS} select post_id, user1_id, user2_id, kind from classified",
@@ -214,11 +221,13 @@ ORACLES: dict[str, str] = {
         union all select user_hi, user_lo, round(1 + ln(1 + weight), 6) from weights""",
     "contact_scored": f"""with {CONTACTS}
         select user1_id, user2_id, text, created_at, round(intimacy_score, 6) as intimacy_score from scored""",
-    "latest_profile": f"with {CONTACTS} select * from profiles",
+    "latest_profile": f"""with {CONTACTS}
+        select id, coalesce(screen_name, '<null>') as screen_name, coalesce(description, '<null>') as description
+        from profiles""",
     "contact_serving": f"""with {CONTACTS}
-        select * replace (round(intimacy_score, 6) as intimacy_score) from facts""",
+        select {SHOWN_FACT} from facts""",
     "contact_lookup": f"""with {CONTACTS}
-        select * replace (round(intimacy_score, 6) as intimacy_score) from facts where user1_id = 8""",
+        select {SHOWN_FACT} from facts where user1_id = 8""",
     "phrase_count": f"select doc_id, {hits('text', chr(39) + 'the' + chr(39))} as hits from documents",
     "contact_rank": f"""with {CONTACTS},
         counted as (select *, {hits('text', chr(39) + 'the' + chr(39))} as hits from facts where user1_id = 8),

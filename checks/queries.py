@@ -30,11 +30,17 @@ USER, PHRASE, TOP = 8, "the", 10
 N_WORDS, N_POSTS = 20, 10
 
 
+def _shown_nulls(df):
+    """Nulls as values: engines hand them to pandas in different ways."""
+    return df.fillna(-1).fillna("<null>")
+
+
 def post_flatten(spark, sf):
-    return clean.flatten_posts(t.raw_document_posts(spark, sf)).select(
+    flat = clean.flatten_posts(t.raw_document_posts(spark, sf))
+    return _shown_nulls(flat.select(
         "post_id", "user_id", "created_at", "text", "lang", "followers_count", "reshare_count",
-        "favorite_count", "screen_name", "description", "reshared_user_id", "has_hashtag",
-    )
+        "favorite_count", "screen_name", "description", "has_hashtag",
+    ))
 
 
 def post_clean(spark, sf):
@@ -47,11 +53,11 @@ def post_clean(spark, sf):
 
 
 def post_time_parse(spark, sf):
-    return t.raw_document_posts(spark, sf).select(
+    return _shown_nulls(t.raw_document_posts(spark, sf).select(
         F.col("id").alias("post_id"),
         F.col("created_at").alias("time_text"),
         parse_post_time(F.col("created_at")).alias("created_at"),
-    )
+    ))
 
 
 def post_lang_filter(spark, sf):
@@ -90,7 +96,7 @@ def pair_scores(spark, sf):
 
 
 def _rounded(facts):
-    return facts.withColumn("intimacy_score", F.round("intimacy_score", 6))
+    return _shown_nulls(facts.withColumn("intimacy_score", F.round("intimacy_score", 6)))
 
 
 def contact_scored(spark, sf):
@@ -98,7 +104,7 @@ def contact_scored(spark, sf):
 
 
 def latest_profile(spark, sf):
-    return t.profiles(t.contacts(spark, sf))
+    return _shown_nulls(t.profiles(t.contacts(spark, sf)))
 
 
 def contact_serving(spark, sf):

@@ -106,9 +106,12 @@ def request_posts(
         .groupBy("request_id", block.alias("block"))
         .agg(F.collect_list("word").alias("top_words"))
     )
-    pairs = matched.select("request_id", "n2", "post_id", "impact", "counts").join(top, "request_id")
+    distinct_words = F.col("counts.word").alias("distinct_words")
+    pairs = matched.select("request_id", "n2", "post_id", "impact", distinct_words).join(
+        top, "request_id"
+    )
     chosen = (
-        pairs.where(F.arrays_overlap("counts.word", "top_words"))
+        pairs.where(F.arrays_overlap("distinct_words", "top_words"))
         .groupBy("request_id", "post_id")
         .agg(F.max("impact").alias("impact"), F.max("n2").alias("n2"))
     )
