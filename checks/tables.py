@@ -83,7 +83,9 @@ def raw_event_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(is_reply, F.col("k")).alias("in_reply_to_user_id"),
         F.col("k").alias("retweet_count"),
         other.alias("favorite_count"),
-        F.struct(F.when(F.col("value") < 2, F.slice(hashtags, 1, 0)).otherwise(hashtags).alias("hashtags")).alias("entities"),
+        F.struct(
+            F.when(F.col("value") < 2, F.slice(hashtags, 1, 0)).otherwise(hashtags).alias("hashtags")
+        ).alias("entities"),
         author.alias("user"),
         F.when(is_reshare, F.struct(F.col("event_id").alias("id"), reshared.alias("user"))).alias("retweeted_status"),
     )

@@ -64,7 +64,9 @@ def score_contacts(contacts: DataFrame, cut_heavy: bool = True) -> DataFrame:
     scores = weights.select(*PAIR, intimacy(F.col("weight")).alias("intimacy_score"))
     texts = _with_pair(dedupe_contacts(contacts))
     heavy = heavy_keys(weights, PAIR, "weight") if cut_heavy else None
-    return salted_join(texts, scores, PAIR, heavy, spread_by=["text"]).select("user1_id", "user2_id", "text", "created_at", "intimacy_score")
+    return salted_join(texts, scores, PAIR, heavy, spread_by=["text"]).select(
+        "user1_id", "user2_id", "text", "created_at", "intimacy_score"
+    )
 
 
 def profiles_seen(contacts: DataFrame) -> DataFrame:

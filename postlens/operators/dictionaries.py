@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 from postlens.functions.posts import effective_words
 from postlens.functions.text import censor_text, lower_words, mask_word, text_segments
 
-MAX_LITERALS = 10_000
+MAX_LITERALS = 2_000
 
 Words = Collection[str] | DataFrame
 

@@ -16,7 +16,8 @@ def heavy_keys(counts: DataFrame, keys: Sequence[str], rows: str, share: int = S
 
     ``counts`` holds one row per key and comes from an aggregation that is merged before it
     is shuffled. Slices are in proportion to the rows of the largest keys; all slices
-    together number less than 2 * share.
+    together number less than 2 * share. Keys tied at the limit are not above the mean, get
+    one slice and drop out, so that the list is the same each time it is computed.
     """
     largest = counts.select(*keys, F.col(rows).alias("rows")).orderBy(F.desc("rows")).limit(share)
     # One task, over at most ``share`` rows.
