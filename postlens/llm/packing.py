@@ -33,18 +33,28 @@ POPULATION = 4
 GENERATIONS = 6
 FULL_SHARE = 0.985  # bins filled less than this are taken apart after the first level
 
-_SPACES = re.compile(r"[ \n\r\t]+")
 _MAX_CACHED = 300_000
+# Words that need no normalisation but lower case, with punctuation after them.
+_PLAIN_WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:]*)")
 
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
+def _byte_symbols() -> dict[int, str]:
+    """The table by which byte-level tokenizers write bytes: printable ones as themselves, the
+    others as the characters from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + n) for n, b in enumerate(hidden)}
+
+
 class WordEncoder:
     """Token ids of a text as little-endian unsigned 32-bit integers, word by word.
 
     Right for tokenizers that drop white space and never join across it: then the ids of a
-    text are those of its words in order, and frequent words are looked up. Words beyond the
-    bound of the table are encoded anew each time.
+    text are those of its words in order, and frequent words are looked up. Plain words go to
+    the tokenizer's model directly, if that gives the same ids on a trial; all others go
+    through the whole tokenizer. With ``by_word=False`` whole texts do.
     """
 
     def __init__(self, path: str | None = None, by_word: bool = True):
@@ -56,26 +66,50 @@ class WordEncoder:
 
             path = public_tokenizers.path(TOKENIZER)
         self.tokenizer = Tokenizer.from_file(str(path))
+        self.model = self.tokenizer.model
         self.by_word = by_word
         self.known: dict[str, bytes] = {"": b""}
+        self.runs: dict[str, bytes] = {"": b""}
+        self.symbols = str.maketrans({chr(b): s for b, s in _byte_symbols().items()})
+        trial = ["the", "Überall", "naïve", "tiontionhethereré", "ß", "Q"]
+        self.direct = all(self._run(w.lower()) == self._encode([w])[0] for w in trial)
+        self.runs = {"": b""}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        got = self.tokenizer.encode_batch(texts, add_special_tokens=False)
+        got = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.asarray(e.ids, dtype="<u4").tobytes() for e in got]
 
+    def _run(self, run: str) -> bytes:
+        """Ids of a run of lower-case letters."""
+        ids = self.runs.get(run)
+        if ids is None:
+            symbols = run.encode().decode("latin-1").translate(self.symbols)
+            ids = np.asarray([t.id for t in self.model.tokenize(symbols)], dtype="<u4").tobytes()
+            if len(self.runs) < _MAX_CACHED:
+                self.runs[run] = ids
+        return ids
+
+    def _word(self, word: str) -> bytes:
+        plain = _PLAIN_WORD.fullmatch(word) if self.direct else None
+        if plain:
+            end = plain.group(2)
+            ids = self._run(plain.group(1).lower())
+            if end:
+                if end not in self.known:
+                    self.known[end] = self._encode([end])[0]
+                ids += self.known[end]
+        else:
+            ids = self._encode([word])[0]
+        if len(self.known) < _MAX_CACHED:
+            self.known[word] = ids
+        return ids
+
     def ids(self, text: str) -> bytes:
         if not self.by_word:
             return self._encode([text])[0]
-        words = _SPACES.split(text)
-        known = self.known
-        missing = list(set(words).difference(known))
-        if missing:
-            fresh = dict(zip(missing, self._encode(missing)))
-            if len(known) + len(fresh) <= _MAX_CACHED:
-                known.update(fresh)
-            else:
-                return b"".join([known[w] if w in known else fresh[w] for w in words])
-        return b"".join([known[w] for w in words])
+        words = text.replace("\n", " ").replace("\r", " ").replace("\t", " ").split(" ")
+        known, word_ids = self.known, self._word
+        return b"".join([known[w] if w in known else word_ids(w) for w in words])
 
 
 def token_pieces(
