@@ -1,7 +1,7 @@
 """Queries of this subpackage and the SQL that must give the same rows."""
 
-from postlens.llm import decontaminate, lang_id, lm_score, packing, toxicity, url_rules, warc
+from postlens.llm import decontaminate, embedding_dedup, jaccard_join, lang_id, lm_score, packing, toxicity, url_rules, warc
 
-MODULES = (decontaminate, lang_id, lm_score, packing, toxicity, url_rules, warc)
+MODULES = (decontaminate, embedding_dedup, jaccard_join, lang_id, lm_score, packing, toxicity, url_rules, warc)
 QUERIES = {name: query for m in MODULES for name, query in m.QUERIES.items()}
 ORACLES = {name: sql for m in MODULES for name, sql in m.ORACLES.items()}
