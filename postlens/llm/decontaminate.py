@@ -155,37 +155,45 @@ def find_leaks(docs: DataFrame, items: DataFrame, chars_per_error: int = CHARS_P
     rows = docs.select(F.col("doc_id").cast("long").alias("id_"), F.col("text").alias("text_"))
     found = None
     for block in _blocks(items):
-        def run(batches: Iterator[pd.DataFrame], block=block) -> Iterator[pd.DataFrame]:
-            index = ItemIndex(block, chars_per_error)
-            for batch in batches:
-                out = []
-                for doc_id, text in zip(batch["id_"].astype(object).where(batch["id_"].notna(), None), batch["text_"]):
-                    least: dict[int, tuple] = {}
-                    for leak in index.leaks(normalise(text if isinstance(text, str) else None)):
-                        least[leak[0]] = min(leak, least.get(leak[0], leak), key=lambda x: x[1:])
-                    out += [(doc_id, *leak) for leak in least.values()]
-                frame = pd.DataFrame(out, columns=["doc_id", "item_id", "distance", "start", "stop"])
-                frame["doc_id"] = frame["doc_id"].astype("Int64")
-                yield frame
-
-        part = rows.mapInPandas(run, LEAK_SCHEMA)
+        part = rows.mapInPandas(_find_in_block(block, chars_per_error), LEAK_SCHEMA)
         found = part if found is None else found.unionByName(part)
     return docs.sparkSession.createDataFrame([], LEAK_SCHEMA) if found is None else found
 
 
+def _find_in_block(block: list[tuple[int, str]], chars_per_error: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        index = ItemIndex(block, chars_per_error)
+        for batch in batches:
+            out = []
+            for doc_id, text in zip(batch["id_"].astype(object).where(batch["id_"].notna(), None), batch["text_"]):
+                least: dict[int, tuple] = {}
+                for leak in index.leaks(normalise(text if isinstance(text, str) else None)):
+                    least[leak[0]] = min(leak, least.get(leak[0], leak), key=lambda x: x[1:])
+                out += [(doc_id, *leak) for leak in least.values()]
+            frame = pd.DataFrame(out, columns=["doc_id", "item_id", "distance", "start", "stop"])
+            frame["doc_id"] = frame["doc_id"].astype("Int64")
+            yield frame
+
+    return run
+
+
 def decontaminate(docs: DataFrame, items: DataFrame, chars_per_error: int = CHARS_PER_ERROR) -> DataFrame:
     """The documents, with all their columns, that hold no item. Texts are searched in place."""
     kept = docs
     for block in _blocks(items):
-        def clean(batches: Iterator[pd.Series], block=block) -> Iterator[pd.Series]:
-            index = ItemIndex(block, chars_per_error)
-            for texts in batches:
-                yield pd.Series([not index.leaks(normalise(t if isinstance(t, str) else None)) for t in texts], dtype=bool)
-
-        kept = kept.where(F.pandas_udf(clean, "boolean")(F.col("text").cast("string")))
+        kept = kept.where(F.pandas_udf(_holds_no_item(block, chars_per_error), "boolean")(F.col("text").cast("string")))
     return kept
 
 
+def _holds_no_item(block: list[tuple[int, str]], chars_per_error: int):
+    def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        index = ItemIndex(block, chars_per_error)
+        for texts in batches:
+            yield pd.Series([not index.leaks(normalise(t if isinstance(t, str) else None)) for t in texts], dtype=bool)
+
+    return clean
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every (document, benchmark item) pair that leaks."""
     return find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))

@@ -173,6 +173,20 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     return out.withColumnRenamed("id_", "doc_id")
 
 
+def accepted(docs: DataFrame, model: Model) -> DataFrame:
+    """The documents, with all their columns, that the model does not reject."""
+
+    def keep(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            out: list[bool] = []
+            for at in range(0, len(texts), 256):
+                part = [t if isinstance(t, str) else None for t in texts.iloc[at : at + 256]]
+                out += [not rejected for _, _, rejected in model.predict(part)]
+            yield pd.Series(out, dtype=bool)
+
+    return docs.where(F.pandas_udf(keep, "boolean")(F.col("text").cast("string")))
+
+
 def op4_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document; learned from documents outside the held-out fold."""
     docs = read_table(spark, sf_dir, "documents")
