@@ -16,29 +16,33 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> _U(31))
 
 
+class _Hashes(dict):
+    """Hashes of words; the first ones seen are kept, up to a bound."""
+
+    def __missing__(self, word: bytes) -> int:
+        h = xxhash.xxh3_64_intdigest(word)
+        if len(self) < _MAX_SEEN:
+            self[word] = h
+        return h
+
+
+_HASHES = _Hashes()  # one table for all tasks of a worker
+
+
+def word_hashes(text: str | None) -> list[int]:
+    """Hashes of the words between ASCII white space, A-Z lower-cased."""
+    return list(map(_HASHES.__getitem__, (text or "").encode("utf-8", "replace").lower().split()))
+
+
 class Shingler:
     """Shingle sets of texts: A-Z lower-cased, words between ASCII white space."""
 
     def __init__(self, words: int = 3):
         self.words = words
-        self.seen: dict[bytes, int] = {}
-
-    def word_hashes(self, text: str | None) -> np.ndarray:
-        words = (text or "").encode("utf-8", "replace").lower().split()
-        seen = self.seen
-        try:
-            found = [seen[w] for w in words]
-        except KeyError:
-            if len(seen) > _MAX_SEEN:
-                seen.clear()
-            for w in set(words).difference(seen):
-                seen[w] = xxhash.xxh3_64_intdigest(w)
-            found = [seen[w] for w in words]
-        return np.array(found, dtype=np.uint64)
 
     def set_of(self, text: str | None) -> np.ndarray:
         """Distinct shingles, sorted. Fewer words than a shingle has are one shingle together."""
-        h = self.word_hashes(text)
+        h = np.array(word_hashes(text), dtype=np.uint64)
         if not len(h):
             return h
         size = min(self.words, len(h))
