@@ -196,6 +196,7 @@ payloads as (
   from customer)
 """
 
+# Fixed values below: the URL and word patterns restate the rules of the texts.
 ORACLES: dict[str, str] = {
     "post_flatten": f"""with {RAW_DOCUMENTS}
         select post_id, coalesce(user_id, -1) as user_id, created_at, coalesce(text, '<null>') as text, lang,
@@ -284,9 +285,37 @@ ORACLES: dict[str, str] = {
     "topic_requests_posts": f"with {TOPICS}, {REQUESTS} select * from request_posts",
     "rot13_decode": """select doc_id, translate(text, 'abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ',
         'nopqrstuvwxyzabcdefghijklmNOPQRSTUVWXYZABCDEFGHIJKLM') as decoded from documents""",
+    "post_json_lines": f"""with {RAW_DOCUMENTS}
+        select post_id, coalesce(text, '<null>') as text, coalesce(reshare_count, -1) as retweet_count
+        from flat where coalesce(reshare_count, 0) not in (7, 8)""",
+    "word_lines": """select lower(translate(c_name, 'abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'nopqrstuvwxyzabcdefghijklmNOPQRSTUVWXYZABCDEFGHIJKLM')) as word from customer where c_nationkey > 0""",
+    "censor_lines": "select lower(c_name) as word, lower(c_mktsegment) as mask from customer where c_nationkey > 0",
+    "post_words": f"""with {TOPICS}
+        select w.post_id, w.word, w.cnt, s.num_words from word_rows w join sizes s using (post_id)""",
     "frame_payload": f"select c_custkey, array_to_string({FRAME}, ',') as payload from customer",
     "audit_payloads": f"""with {AUDIT}
         select source, count(*) filter (first_bad is null) as good, count(*) filter (first_bad is not null) as bad
         from payloads group by 1""",
     "quarantine_payloads": f"with {AUDIT} select c_custkey, source, cast(first_bad as bigint) as first_bad from payloads where first_bad is not null",
 }
+
+# The same rows by other routes: dictionaries as tables, words as a stored table.
+for _route, _key in (
+    ("censor_text_by_table", "censor_text"),
+    ("scored_posts_by_tables", "scored_posts"),
+    ("word_weight_by_table", "word_weight"),
+    ("topic_words_stored", "topic_words"),
+    ("topic_posts_stored", "topic_posts"),
+):
+    ORACLES[_route] = ORACLES[_key]
+
+ORACLES["contact_report"] = f"""
+    select string_agg(screen_name || chr(9) || description || chr(9) || text, chr(10) order by rank) as report
+    from ({ORACLES['contact_rank']})"""
+ORACLES["topic_report"] = f"""
+    select (select string_agg(shown_word || ':' || cast(cast(round(cast(score as decimal(38,6)), 2) as decimal(38,2)) as varchar),
+                              chr(9) order by rank) from ({ORACLES['topic_words']}))
+           || chr(10)
+           || (select string_agg(least(impact, 2147483647) || chr(9) || post_id || chr(9) || text, chr(10) order by rank)
+               from ({ORACLES['topic_posts']})) as report"""

@@ -17,10 +17,11 @@ from postlens.functions.text import (
     strip_urls,
 )
 from postlens.operators import clean, contacts, nesting, payloads, topics
-from postlens.operators.dictionaries import drop_stopwords
+from postlens.operators.dictionaries import drop_stopwords, with_censored_text
 from postlens.plans import contact_query, reports, topic_query, topic_requests
 from postlens.plans.contact_jobs import contact_tables
 from postlens.plans.topic_jobs import scored_posts
+from postlens.sources import readers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -114,6 +115,34 @@ def contact_serving(spark, sf):
     return _rounded(contacts.contact_fact(scored_contacts, t.profiles(all_contacts), heavy))
 
 
+def json_lines(spark, sf):
+    """Raw posts as JSON text and back; some lines are cut short, some hold a word for a number."""
+    raw = t.raw_document_posts(spark, sf)
+    line = F.to_json(F.struct(*raw.columns))
+    value = F.when(F.col("retweet_count") == 7, F.substring(line, 1, 60)).when(
+        F.col("retweet_count") == 8, F.regexp_replace(line, '"favorite_count":[0-9]+', '"favorite_count":"many"')
+    ).otherwise(line)
+    posts = readers.parse_posts(raw.select(value.alias("value")))
+    return _shown_nulls(posts.select(F.col("id").alias("post_id"), "text", "retweet_count"))
+
+
+def word_lines(spark, sf):
+    lines = t.table(spark, sf, "customer").select(F.when(F.col("c_nationkey") > 0, F.col("c_name")).otherwise("").alias("value"))
+    return readers.parse_words(lines, obscured=True)
+
+
+def censor_lines(spark, sf):
+    name, mask = F.col("c_name"), F.when(F.col("c_nationkey") > 0, F.col("c_mktsegment")).otherwise("")
+    lines = t.table(spark, sf, "customer").select(F.concat_ws(",", name, mask).alias("value"))
+    return readers.parse_censor(lines)
+
+
+def _word_table(spark, words):
+    """A dictionary table in mixed case, with a copy, an empty word and a null."""
+    listed = ", ".join(f"'{w.upper()}', '{w}'" for w in words)
+    return spark.sql(f"select explode(array({listed}, '', null)) as word")
+
+
 def _facts_of_user(spark, sf):
     return t.contact_fact_of_user(t.contacts(spark, sf), USER)
 
@@ -151,8 +180,7 @@ def _nested(spark, sf):
 
 
 def contact_nested(spark, sf):
-    nested = _nested(spark, sf)
-    contact = nested.select("user1_id", F.inline("contacts"))
+    contact = _nested(spark, sf).select("user1_id", F.inline("contacts"))
     return contact.groupBy("user1_id").agg(
         F.count_distinct("user2_id").alias("n_contacts"),
         F.sum(F.size("posts")).alias("n_texts"),
@@ -178,7 +206,7 @@ def post_range_scan(spark, sf):
 
 
 def stripped_urls(spark, sf):
-    pages = t.spread(t.table(spark, sf, "pages"), "page_id")
+    pages = t.table(spark, sf, "pages")
     text = F.concat_ws(" ", F.lit("at"), "url", "html")
     return pages.select("page_id", strip_urls(text).alias("text"))
 
@@ -263,6 +291,43 @@ def requested_posts(spark, sf):
     return ranked.withColumn("rank", F.col("rank").cast("bigint"))
 
 
+def censored_by_table(spark, sf):
+    censored = with_censored_text(t.documents(spark, sf).select("doc_id", "text"), _word_table(spark, t.CENSOR))
+    return censored.select("doc_id", "censored_text")
+
+
+def scored_by_tables(spark, sf):
+    return scored_posts(t.raw_document_posts(spark, sf), _word_table(spark, t.STOP), _word_table(spark, t.CENSOR))
+
+
+def word_weight_by_table(spark, sf):
+    weights = topics.word_weight(topics.post_words(t.impact_posts(spark, sf), words="words"))
+    kept = drop_stopwords(weights, _word_table(spark, t.STOP))
+    return kept.withColumn("weight", F.round("weight", 6))
+
+
+def _stored_words(spark, sf):
+    return topics.post_words(t.impact_posts(spark, sf), t.STOP, "words")
+
+
+def post_words(spark, sf):
+    return _stored_words(spark, sf).select("post_id", "word", F.col("cnt").cast("bigint"), F.col("num_words").cast("bigint"))
+
+
+def topic_words_stored(spark, sf):
+    words = topic_query.topic_words(
+        t.impact_posts(spark, sf), *EVERYTHING, N_WORDS, (), t.CENSOR, words_table=_stored_words(spark, sf)
+    )
+    return words.withColumn("rank", F.col("rank").cast("bigint"))
+
+
+def topic_posts_stored(spark, sf):
+    chosen = topic_query.topic_posts(
+        t.impact_posts(spark, sf), *EVERYTHING, N_WORDS, N_POSTS, (), t.CENSOR, words_table=_stored_words(spark, sf)
+    )
+    return chosen.withColumn("rank", F.col("rank").cast("bigint"))
+
+
 def rot13_decode(spark, sf):
     return t.documents(spark, sf).select("doc_id", rot13(F.col("text")).alias("decoded"))
 
@@ -347,6 +412,15 @@ QUERIES: dict[str, Query] = {
     "rot13_decode": rot13_decode,
     "contact_report": contact_report,
     "topic_report": topic_report,
+    "post_json_lines": json_lines,
+    "word_lines": word_lines,
+    "censor_lines": censor_lines,
+    "censor_text_by_table": censored_by_table,
+    "scored_posts_by_tables": scored_by_tables,
+    "word_weight_by_table": word_weight_by_table,
+    "post_words": post_words,
+    "topic_words_stored": topic_words_stored,
+    "topic_posts_stored": topic_posts_stored,
     "frame_payload": framed_payload,
     "audit_payloads": audit_payloads,
     "quarantine_payloads": quarantined_payloads,

@@ -20,18 +20,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread a table that is stored in fewer files than there are cores.
-
-    Such a file is read by one task, which would then do all the text work too. Larger
-    tables come in many files and are left as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if len(df.inputFiles()) < cores else df
-
-
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents"), "doc_id")
+    return table(spark, sf_dir, "documents")
 
 
 def _k() -> Column:

@@ -25,7 +25,7 @@ def whole_number(value: object, bounds: tuple[int, int] = LONG) -> int | None:
 def whole_number_column(value: Column, to: str) -> Column:
     """The same for a column of a request table: null where it is not a number."""
     text = value.cast("string")
-    return F.when(text.rlike("^[+-]?[0-9]+$"), text.try_cast(to))
+    return F.when(text.rlike(r"^[+-]?[0-9]+\z"), text.try_cast(to))
 
 
 def contact_arguments(user_id: object, phrase: object, n: object) -> tuple[int, str, int] | None:

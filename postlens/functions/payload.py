@@ -29,7 +29,8 @@ def frame_payload(text: Column) -> Column:
 def first_bad_position(payload: Column) -> Column:
     """Index of the first character whose parity bit is wrong or missing; null if none.
 
-    Characters are counted from 0 and up to the stored length.
+    Characters are counted from 0 and up to the stored length. A payload that is null, or has
+    no length, is bad at position 0.
     """
     length = F.get(payload, F.lit(0))
 
@@ -38,7 +39,7 @@ def first_bad_position(payload: Column) -> Column:
         return stored.isNull() | (parity(F.get(payload, 2 * i + 1)) != stored)
 
     positions = F.sequence(F.lit(0), length - 1)
-    return F.when(length > 0, F.get(F.filter(positions, is_bad), F.lit(0)))
+    return F.when(length.isNull(), F.lit(0)).when(length > 0, F.get(F.filter(positions, is_bad), F.lit(0)))
 
 
 def payload_text(payload: Column) -> Column:

@@ -1,31 +1,28 @@
 """Stop words and censored words applied to posts.
 
-A dictionary is a collection of words or a table ``[word]``. Tables are fetched up to
-``MAX_LITERALS`` words and then act as a hash set inside the expressions. A longer table
-stays a table, and the same result comes from exploded words and a join.
+A dictionary is a collection of words or a table ``[word]``. Both mean the same: lower-cased
+words, without nulls, empty ones and copies. A collection becomes a set of literals inside the
+expressions, a table is joined, whatever its size. Only the distinct words of distinct texts
+take part in a join, so rows may share an id, and a word that stands often counts once a text.
 """
 
 from __future__ import annotations
 
 from collections.abc import Collection
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from postlens.functions.posts import effective_words
-from postlens.functions.text import censor_text, lower_words, mask_word, text_segments
-
-MAX_LITERALS = 2_000
+from postlens.functions.text import TOKEN, censor_text, lower_words, mask_word, text_segments, word_counts
 
 Words = Collection[str] | DataFrame
 
 
-def as_literals(words: Words, limit: int = MAX_LITERALS) -> Words:
-    """A collection where the table has at most ``limit`` words, else the table."""
-    if not isinstance(words, DataFrame):
-        return words
-    distinct = words.select(F.lower("word").alias("word")).where("word <> ''").distinct()
-    found = distinct.limit(limit + 1).collect()
-    return distinct if len(found) > limit else sorted(r["word"] for r in found)
+def normal_words(words: Words) -> Words:
+    """The words in lower case, each once, without nulls and empty ones."""
+    if isinstance(words, DataFrame):
+        return words.select(F.lower("word").alias("word")).where("word <> ''").distinct()
+    return sorted({w.lower() for w in words if w})
 
 
 def explode_column(df: DataFrame, array: str, item: str) -> DataFrame:
@@ -40,44 +37,47 @@ def explode_column(df: DataFrame, array: str, item: str) -> DataFrame:
 
 def drop_stopwords(df: DataFrame, stop: Words) -> DataFrame:
     """Rows whose lower-cased ``word`` is not a stop word."""
+    stop = normal_words(stop)
     if isinstance(stop, DataFrame):
-        listed = stop.select(F.lower("word").alias("stop_word"))
+        listed = stop.withColumnRenamed("word", "stop_word")
         return df.join(listed, F.lower(df["word"]) == F.col("stop_word"), "left_anti")
     return df.where(~F.lower("word").isin(*stop)) if stop else df
 
 
+def _text_key(column: str) -> Column:
+    return F.struct(F.xxhash64(F.lit(1), column), F.xxhash64(F.lit(2), column))
+
+
 def with_effective_words(posts: DataFrame, stop: Words, words: str | None = None) -> DataFrame:
     """Add ``effective_words``; ``words`` names a column of lower-cased words, if there is one."""
     listed = F.col(words) if words else lower_words(F.col("text"))
     if not isinstance(stop, DataFrame):
-        return posts.withColumn("effective_words", effective_words(listed, stop))
-    exploded = explode_column(posts.select("post_id", listed.alias("words")), "words", "word")
-    counts = drop_stopwords(exploded, stop).groupBy("post_id").agg(
-        F.count("*").alias("effective_words")
-    )
-    return posts.join(counts, "post_id", "left").fillna(0, ["effective_words"])
+        return posts.withColumn("effective_words", effective_words(listed, normal_words(stop)))
+    keyed = posts.withColumn("text_key", _text_key("text"))
+    cut = keyed.select("text_key", listed.alias("words"))
+    counted = cut.select("text_key", F.inline_outer(word_counts(F.col("words")))).where("word is not null")
+    stops = counted.join(normal_words(stop), "word", "left_semi")
+    # Texts that come more than once are counted once: their words are the same.
+    per_text = stops.dropDuplicates(["text_key", "word"]).groupBy("text_key").agg(F.sum("cnt").alias("stopped"))
+    size = F.size(listed).cast("bigint")
+    return keyed.join(per_text, "text_key", "left").withColumn(
+        "effective_words", size - F.coalesce("stopped", F.lit(0))
+    ).select(*posts.columns, "effective_words")
 
 
 def with_censored_text(posts: DataFrame, censor: Words) -> DataFrame:
     """Add ``censored_text``: the text with the listed words masked."""
-    if not isinstance(censor, DataFrame):
-        return posts.withColumn("censored_text", censor_text(F.col("text"), censor))
-    cut = posts.select("post_id", text_segments(F.col("text")).alias("segments"))
-    segments = cut.select("post_id", F.posexplode_outer("segments").alias("pos", "seg")).where(
-        "seg is not null"
-    )
-    listed = censor.select(F.lower("word").alias("word")).distinct().withColumn("hit", F.lit(True))
-    shown = segments.join(listed, F.lower("seg") == F.col("word"), "left").select(
-        "post_id",
-        "pos",
-        F.when(F.col("hit"), mask_word(F.col("seg"))).otherwise(F.col("seg")).alias("seg"),
-    )
-    # Grouped by post: a group is the segments of one text.
-    joined = shown.groupBy("post_id").agg(
-        F.array_join(F.sort_array(F.collect_list(F.struct("pos", "seg")))["seg"], "").alias(
-            "censored_text"
-        )
-    )
-    return posts.join(joined, "post_id", "left").withColumn(
-        "censored_text", F.coalesce("censored_text", "text")
+    censor_words = normal_words(censor)
+    if not isinstance(censor_words, DataFrame):
+        return posts.withColumn("censored_text", censor_text(F.col("text"), censor_words))
+    keyed = posts.withColumn("text_key", _text_key("text"))
+    tokens = F.array_distinct(F.transform(F.regexp_extract_all("text", F.lit(TOKEN), F.lit(0)), F.lower))
+    words = explode_column(keyed.select("text_key", tokens.alias("tokens")), "tokens", "word")
+    # The listed words of a text: as many as it has distinct words at most.
+    found = words.join(censor_words, "word", "left_semi").groupBy("text_key").agg(F.collect_set("word").alias("listed"))
+    masked = F.transform(
+        text_segments(F.col("text")),
+        lambda seg: F.when(F.array_contains("listed", F.lower(seg)), mask_word(seg)).otherwise(seg),
     )
+    shown = F.when(F.col("listed").isNull(), F.col("text")).otherwise(F.array_join(masked, ""))
+    return keyed.join(found, "text_key", "left").select(*posts.columns, shown.alias("censored_text"))

@@ -4,11 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from postlens.operators.skew import salted_join
-
-BYTES_PER_ROW = 8 * 1024 * 1024
-BYTES_PER_TEXT = 32  # what a text takes besides its characters
+KEYS = ("user1_id", "user2_id", "month")
 
+# The columns of the stored format.
 IDS = "array<bigint>"
 NAMES = "array<string>"
 SCORES = "array<double>"
@@ -24,37 +22,18 @@ JSON_COLUMNS = {
 }
 
 
-def nest_contacts(
-    facts: DataFrame, heavy: DataFrame | None = None, bytes_per_row: int = BYTES_PER_ROW
-) -> DataFrame:
-    """``[user1_id, part, contacts]`` with the texts of a user nested by counterpart.
+def nest_contacts(facts: DataFrame) -> DataFrame:
+    """``[user1_id, user2_id, month, contacts]``: the texts of a user with one counterpart in one
+    calendar month (UTC), nested.
 
-    A user whose texts take up to ``bytes_per_row`` has one row, part 0. Above that the
-    texts are spread over as many parts as needed, so no row grows without bound and no
-    text is lost. ``heavy`` names the users to cut into slices while the parts are
-    assigned, ``[user1_id, slices]``.
+    The key is the same for every user, however many texts there are, and needs no look at
+    sizes beforehand. ``contacts`` holds the one counterpart of the row, with its texts.
     """
-    size = F.sum(F.octet_length("text") + BYTES_PER_TEXT).alias("size")
-    counts = facts.groupBy("user1_id").agg(size)
-    large = counts.where(F.col("size") > bytes_per_row).select(
-        "user1_id", F.ceil(F.col("size") / bytes_per_row).alias("parts")
-    )
-    content = ["user2_id", "text", "created_at"]
-    placed = salted_join(facts, large, ["user1_id"], heavy, content, "left").withColumn(
-        "part",
-        F.when(F.col("parts").isNull(), F.lit(0)).otherwise(
-            F.pmod(F.xxhash64(*content, F.lit("part")), F.col("parts"))
-        ),
-    )
+    month = F.date_format(F.timestamp_seconds("created_at"), "yyyy-MM").alias("month")
     counterpart = ["user2_id", "user2_screen_name", "user2_desc", "intimacy_score"]
-    by_counterpart = (
-        placed.repartition("user1_id", "part")
-        .groupBy("user1_id", "part", *counterpart)
-        .agg(F.sort_array(F.collect_list(F.struct("created_at", "text"))).alias("posts"))
-    )
-    return by_counterpart.groupBy("user1_id", "part").agg(
-        F.sort_array(F.collect_list(F.struct(*counterpart, "posts"))).alias("contacts")
-    )
+    posts = F.sort_array(F.collect_list(F.struct("created_at", "text"))).alias("posts")
+    by_month = facts.groupBy("user1_id", *counterpart, month).agg(posts)
+    return by_month.select(*KEYS, F.array(F.struct(*counterpart, "posts")).alias("contacts"))
 
 
 def contacts_to_json(nested: DataFrame) -> DataFrame:
@@ -70,15 +49,14 @@ def contacts_to_json(nested: DataFrame) -> DataFrame:
         "user2_screen_names": names,
     }
     return nested.select(
-        "user1_id", "part", *[F.to_json(c).alias(name) for name, c in columns.items()]
+        *KEYS, *[F.to_json(c).alias(name) for name, c in columns.items()]
     )
 
 
 def contacts_from_json(encoded: DataFrame) -> DataFrame:
     """The arrays read back from their JSON text."""
     return encoded.select(
-        "user1_id",
-        "part",
+        *KEYS,
         *[F.from_json(c, schema).alias(c) for c, schema in JSON_COLUMNS.items()],
     )
 

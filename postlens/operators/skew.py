@@ -6,19 +6,24 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# A key that holds more than 1/SHARE of all rows is among the SHARE largest keys. Their list
-# never grows with the data, which is what makes it safe to broadcast.
-SHARE = 1000
+# Slices of an even size, for each shuffle partition.
+SLICES_PER_PARTITION = 10
 
 
-def heavy_keys(counts: DataFrame, keys: Sequence[str], rows: str, share: int = SHARE) -> DataFrame:
+def heavy_keys(counts: DataFrame, keys: Sequence[str], rows: str, share: int | None = None) -> DataFrame:
     """``[*keys, slices]``: the keys worth cutting, at most ``share`` of them.
 
+    A key with more than 1/share of all rows is among the ``share`` largest. By default there
+    are ``SLICES_PER_PARTITION`` times as many as shuffle partitions, so that a slice is a small
+    part of a partition on any cluster; the list grows with the cluster and not with the data.
+
     ``counts`` holds one row per key and comes from an aggregation that is merged before it
     is shuffled. Slices are in proportion to the rows of the largest keys; all slices
     together number less than 2 * share. Keys tied at the limit are not above the mean, get
     one slice and drop out, so that the list is the same each time it is computed.
     """
+    if share is None:
+        share = SLICES_PER_PARTITION * int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     largest = counts.select(*keys, F.col(rows).alias("rows")).orderBy(F.desc("rows")).limit(share)
     # One task, over at most ``share`` rows.
     total = F.sum("rows").over(Window.partitionBy())

@@ -20,6 +20,7 @@ from postlens.operators.dictionaries import (
 )
 
 CARRIED = ("post_id", "user_id", "created_at", "impact")
+ADDEND = "decimal(24,12)"
 VARIANTS = ("ln_impact_plus_1", "ln_impact")
 
 
@@ -88,9 +89,10 @@ def word_weight(
     Word rows are distinct per post already, so the post count is a plain count and both
     values are merged before the shuffle: a common word costs one row per task.
     """
-    share = F.col("cnt") / F.col("num_words")
+    # Decimals add up to the same sum in any order, however large it is.
+    addend = (F.col("cnt") / F.col("num_words") * _post_weight(variant)).cast(ADDEND)
     return words.groupBy(*by, "word").agg(
-        F.count("*").alias("posts"), F.sum(share * _post_weight(variant)).alias("weight")
+        F.count("*").alias("posts"), F.sum(addend).cast("double").alias("weight")
     )
 
 
@@ -102,6 +104,6 @@ def usable_posts(posts: DataFrame, variant: str) -> DataFrame:
 
 
 def scored_words(weights: DataFrame, posts_in_range: Column) -> DataFrame:
-    """Add ``score``, rounded so that the order of summation cannot change a ranking."""
+    """Add ``score``, to 9 places."""
     score = topic_score(posts_in_range, F.col("posts"), F.col("weight"))
     return weights.withColumn("score", F.round(score, 9))

@@ -14,7 +14,7 @@ from postlens.operators.contacts import (
     profiles_seen,
     score_contacts,
 )
-from postlens.operators.nesting import contacts_to_json, nest_contacts
+from postlens.operators.nesting import KEYS, contacts_to_json, nest_contacts
 from postlens.operators.skew import heavy_keys
 from postlens.sources.readers import read_posts, read_table
 from postlens.sources.sinks import cluster, table_path, write_jdbc, write_table
@@ -50,12 +50,16 @@ def _heavy(contacts: DataFrame, key: str) -> DataFrame:
 
 
 def run_contact_serving(
-    spark: SparkSession, profiles_path: str, scored_path: str, output_path: str, suffix: str | None = None
+    spark: SparkSession, profiles_path: str, scored_path: str, output_path: str, suffix: str | None = None,
+    staging_folder: str | None = None,
 ) -> None:
-    """The flat table ``contact_fact``, clustered by user for point lookups."""
+    """The flat table ``contact_fact``, clustered by user for point lookups.
+
+    The joined rows are staged first: finding the ranges reads their keys, not the join again.
+    """
     scored = read_table(spark, scored_path)
     heavy = _heavy(mirror_contacts(scored), "user2_id")
-    facts = contact_fact(scored, read_table(spark, profiles_path), heavy)
+    facts = stage(contact_fact(scored, read_table(spark, profiles_path), heavy), "contact-fact", staging_folder)
     clustered = cluster(facts, ["user1_id", "user2_id", "created_at"], ["text"])
     write_table(clustered, table_path(output_path, "contact_fact", suffix))
 
@@ -67,9 +71,8 @@ def export_contacts(
 
     ``text_type`` is the store's type for long text, such as ``clob`` or ``mediumtext``.
     """
-    encoded = contacts_to_json(nest_contacts(facts, _heavy(facts, "user1_id")))
-    keys = ("user1_id", "part")
-    types = ", ".join(["user1_id bigint", "part bigint"] + [
-        f"{c} {text_type}" for c in encoded.columns if c not in keys
+    encoded = contacts_to_json(nest_contacts(facts))
+    types = ", ".join(["user1_id bigint", "user2_id bigint", "month varchar(7)"] + [
+        f"{c} {text_type}" for c in encoded.columns if c not in KEYS
     ])
     write_jdbc(encoded, url, table, properties, types, **options)

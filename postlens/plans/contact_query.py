@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from postlens.functions.arguments import contact_arguments, whole_number_column
 from postlens.functions.scoring import contact_score
@@ -17,28 +17,38 @@ def _best_first() -> list[Column]:
 
 
 def _hits_per_contact(facts: DataFrame, phrase: str | Column, by: tuple[str, ...] = ()) -> DataFrame:
-    """Phrase hits and score of every counterpart, with the text to show for it.
-
-    The text has the most hits; then the latest counts, then the greatest text.
-    """
+    """``[*by, user2_id, phrase_hits, score]``: numbers only, so no text is shuffled."""
     hits = phrase_count(F.col("text"), phrase).alias("hits")
-    counted = facts.select(*by, "user2_id", "user2_screen_name", "user2_desc", "intimacy_score",
-                           hits, "created_at", "text")
+    counted = facts.select(*by, "user2_id", "intimacy_score", hits)
     per_contact = counted.groupBy(*by, "user2_id").agg(
-        F.max("user2_screen_name").alias("screen_name"),
-        F.max("user2_desc").alias("description"),
-        F.max("intimacy_score").alias("intimacy_score"),
-        F.sum("hits").alias("phrase_hits"),
-        F.max(F.struct("hits", "created_at", "text")).alias("best"),
+        F.max("intimacy_score").alias("intimacy_score"), F.sum("hits").alias("phrase_hits")
+    )
+    score = contact_score(F.col("intimacy_score"), F.col("phrase_hits")).alias("score")
+    return per_contact.select(*by, "user2_id", "phrase_hits", score)
+
+
+def _with_shown_text(ranked: DataFrame, facts: DataFrame, phrase: str | Column, by: tuple[str, ...] = ()) -> DataFrame:
+    """Add screen_name, description and text to ranked contacts, from their facts alone.
+
+    The text has the most hits; then the latest counts, then the greatest text. Each task
+    keeps one row per contact before the shuffle.
+    """
+    hits = phrase_count(F.col("text"), phrase)
+    best_first = Window.partitionBy(*by, "user2_id").orderBy(
+        F.desc("hits"), F.desc("created_at"), F.desc("text"), F.desc("screen_name"), F.desc("description")
     )
-    return per_contact.select(
-        *by,
-        "user2_id",
-        F.coalesce("screen_name", F.lit("")).alias("screen_name"),
-        F.coalesce("description", F.lit("")).alias("description"),
-        F.col("best.text").alias("text"),
-        "phrase_hits",
-        contact_score(F.col("intimacy_score"), F.col("phrase_hits")).alias("score"),
+    keys = [c for c in by if c in facts.columns]
+    return (
+        facts.select(
+            *keys, "user2_id", "created_at", "text",
+            F.coalesce("user2_screen_name", F.lit("")).alias("screen_name"),
+            F.coalesce("user2_desc", F.lit("")).alias("description"),
+        )
+        .join(ranked, [*keys, "user2_id"])
+        .withColumn("hits", hits)
+        .withColumn("best", F.row_number().over(best_first))
+        .where("best = 1")
+        .drop("hits", "created_at", "best")
     )
 
 
@@ -48,9 +58,11 @@ def contact_rank(facts: DataFrame, user_id: object, phrase: object, n: object) -
     if arguments is None:
         return facts.sparkSession.createDataFrame([], CONTACT_RANKING)
     user, literal, count = arguments
-    per_contact = _hits_per_contact(contacts_of(facts, user), literal)
-    ranked = top_rows(per_contact, _best_first(), count)
-    return ranked.select("rank", *[c for c in ranked.columns if c != "rank"])
+    own = contacts_of(facts, user)
+    ranked = top_rows(_hits_per_contact(own, literal), _best_first(), count)
+    return _with_shown_text(ranked, own, literal).select(
+        "rank", "user2_id", "screen_name", "description", "text", "phrase_hits", "score"
+    )
 
 
 def valid_contact_requests(requests: DataFrame) -> DataFrame:
@@ -85,6 +97,7 @@ def contact_requests(
     ranked = top_per_group(
         per_contact, ["user_id", "phrase"], _best_first(), F.col("n_max"), ["user2_id"]
     )
-    return valid.join(ranked.drop("n_max"), ["user_id", "phrase"]).where("rank <= n").select(
+    shown = _with_shown_text(ranked.drop("n_max"), by_user, F.col("phrase"), ("user_id", "phrase"))
+    return valid.join(shown, ["user_id", "phrase"]).where("rank <= n").select(
         "request_id", "rank", "user2_id", "screen_name", "description", "text", "phrase_hits", "score"
     )

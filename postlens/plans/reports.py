@@ -24,8 +24,12 @@ def format_contacts(ranked: DataFrame, *by: str) -> DataFrame:
 
 
 def word_line(words: DataFrame, *by: str) -> DataFrame:
-    """``[*by, line]``: ``word:score`` with two decimals, tab-separated."""
-    entry = F.format_string("%s:%.2f", "shown_word", "score")
+    """``[*by, line]``: ``word:score`` with two decimals, tab-separated.
+
+    Scores have 6 places; as decimals they are rounded half up wherever that is done.
+    """
+    shown = F.round(F.col("score").cast("decimal(38,6)"), 2).cast("decimal(38,2)").cast("string")
+    entry = F.concat_ws(":", "shown_word", shown)
     return words.groupBy(*by).agg(_in_rank_order(entry, "\t").alias("line"))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from postlens.functions.text import lower_words
 from postlens.operators.clean import clean_topic_posts, dedupe_posts
-from postlens.operators.dictionaries import Words, as_literals, with_censored_text
+from postlens.operators.dictionaries import Words, with_censored_text
 from postlens.operators.topics import post_words, with_impact
 from postlens.sources.readers import read_posts, read_table, read_words
 from postlens.sources.sinks import cluster, table_path, write_jdbc, write_table
@@ -42,8 +42,8 @@ def run_topic_etl(
     clustered before their texts are worked on; the word rows are made from the finished
     posts in stored order, so they are clustered already and nothing is shuffled.
     """
-    stop = as_literals(read_words(spark, stopwords_path))
-    censor = as_literals(read_words(spark, censor_path, obscured=censor_obscured))
+    stop = read_words(spark, stopwords_path)
+    censor = read_words(spark, censor_path, obscured=censor_obscured)
     posts_path = table_path(output_path, "scored_posts", suffix)
     cleaned = dedupe_posts(clean_topic_posts(read_posts(spark, input_path)))
     clustered = cluster(cleaned, ["user_id", "created_at"], ["post_id"])

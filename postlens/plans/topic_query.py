@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from postlens.functions.arguments import topic_arguments
 from postlens.functions.text import lower_words, mask_word
-from postlens.operators.dictionaries import MAX_LITERALS, Words, drop_stopwords, with_censored_text
+from postlens.operators.dictionaries import Words, drop_stopwords, normal_words, with_censored_text
 from postlens.operators.skew import top_rows
 from postlens.operators.topics import (
     VARIANTS,
@@ -31,11 +31,14 @@ def with_shown_word(top: DataFrame, censor: Words) -> DataFrame:
     """Add ``shown_word``: the mask where the whole word is in the dictionary."""
     word = F.col("word")
     if isinstance(censor, DataFrame):
-        mask = F.col("mask") if "mask" in censor.columns else mask_word(F.col("word"))
-        masks = censor.groupBy("word").agg(F.max(mask).alias("shown_word"))
+        listed = F.lower("word").alias("word")
+        mask = F.col("mask") if "mask" in censor.columns else mask_word(F.lower("word"))
+        masks = censor.select(listed, mask.alias("mask")).where("word <> ''")
+        masks = masks.groupBy("word").agg(F.max("mask").alias("shown_word"))
         return top.join(masks, "word", "left").withColumn(
             "shown_word", F.coalesce("shown_word", "word")
         )
+    censor = normal_words(censor)
     listed = word.isin(*censor) if censor else F.lit(False)
     return top.withColumn("shown_word", F.when(listed, mask_word(word)).otherwise(word))
 
@@ -100,20 +103,14 @@ def topic_posts(
     span, n_words, n_posts = arguments[:4], arguments[4], arguments[5]
     top = topic_words(posts, *span, n_words, stop, words_table=words_table).select("word")
     chosen = posts_in_range(posts, *span)
-    if words_table is None and n_words <= MAX_LITERALS:
-        # At most MAX_LITERALS words: one array, tested where the posts are read.
-        # A post without one gets no impact and is dropped after the ranking: a filter
-        # would be pushed down, away from the words that were cut already.
-        top_array = top.agg(F.collect_list("word").alias("words")).scalar()
-        hit = F.arrays_overlap("words", top_array)
-        chosen = _with_words(chosen).withColumn("impact", F.when(hit, F.col("impact")))
+    if words_table is None:
+        rows = post_words(_with_words(chosen), words="words")
     else:
-        rows = post_words(chosen) if words_table is None else posts_in_range(words_table, *span)
-        ids = rows.join(top, "word", "left_semi").select("post_id").distinct()
-        chosen = chosen.join(ids, "post_id", "left_semi")
-    ranked = top_rows(chosen.select("post_id", "impact", "text"), best_posts_first(), n_posts).where(
-        "impact is not null"
-    )
+        rows = posts_in_range(words_table, *span)
+    # Ranked on ids; then the texts of the winners alone are fetched.
+    hits = rows.join(top, "word", "left_semi").groupBy("post_id").agg(F.max("impact").alias("impact"))
+    ranked = top_rows(hits, best_posts_first(), n_posts)
+    ranked = ranked.join(chosen.select("post_id", "text"), "post_id")
     return with_censored_text(ranked, censor).select(
         "rank", "post_id", "impact", F.col("censored_text").alias("text")
     )

@@ -39,7 +39,9 @@ def _cell(value: str, level: str) -> Column:
 
 
 def match_requests(requests: DataFrame, posts: DataFrame) -> DataFrame:
-    """Posts of every valid request, one row per request and post.
+    """``[request_id, n1, n2, post_id, impact]``: posts of every valid request, a row each.
+
+    Only ids, times and impacts of posts go through the grid; post ids are unique.
 
     A request picks a cell size to fit its ranges and so lies in one to four cells, however
     wide it is. A post lies in one cell of each size in use; there are few sizes, at most
@@ -54,28 +56,30 @@ def match_requests(requests: DataFrame, posts: DataFrame) -> DataFrame:
         valid = valid.withColumn(name, F.explode(F.sequence(_cell(lo, level), _cell(hi, level))))
     sizes = valid.agg(F.collect_set(F.struct("u_level", "t_level")).alias("sizes")).scalar()
     placed = (
-        posts.withColumn("size", F.explode(sizes))
+        posts.select("post_id", "user_id", "created_at", "impact").withColumn("size", F.explode(sizes))
         .withColumns({"u_level": F.col("size.u_level"), "t_level": F.col("size.t_level")})
         .withColumns({"u_cell": _cell("user_id", "u_level"), "t_cell": _cell("created_at", "t_level")})
         .drop("size")
     )
     return placed.join(valid, CELL).where(
         "user_id between uid_lo and uid_hi and created_at between t_lo and t_hi"
-    ).drop(*CELL, "uid_lo", "uid_hi", "t_lo", "t_hi")
+    ).select("request_id", "n1", "n2", "post_id", "impact")
 
 
 def _counted(posts: DataFrame) -> DataFrame:
-    """Posts with their words counted: once per post, however many requests they match."""
-    return count_words(posts, "words" if "words" in posts.columns else None)
+    """``[post_id, num_words, counts]``: words counted once per post, whatever requests it matches."""
+    counted = count_words(posts, "words" if "words" in posts.columns else None)
+    return counted.select("post_id", "num_words", "counts")
 
 
 def _per_request(matched: DataFrame) -> DataFrame:
     return matched.groupBy("request_id", "n1", "n2").agg(F.count("*").alias("n_posts"))
 
 
-def _top_words(matched: DataFrame, stop: Words) -> DataFrame:
+def _top_words(matched: DataFrame, counted: DataFrame, stop: Words) -> DataFrame:
     per_request = _per_request(matched)
-    weights = word_weight(explode_counts(matched), by=("request_id",))
+    with_words = matched.join(counted, "post_id")
+    weights = word_weight(explode_counts(with_words), by=("request_id",))
     known = drop_stopwords(weights, stop).join(per_request, "request_id")
     scored = scored_words(known, F.col("n_posts"))
     return top_per_group(scored, ["request_id"], best_words_first(), F.col("n1"), ["word"])
@@ -85,7 +89,7 @@ def request_words(
     requests: DataFrame, posts: DataFrame, stop: Words = (), censor: Words = ()
 ) -> DataFrame:
     """``[request_id, rank, word, shown_word, posts, score]`` for every request."""
-    top = _top_words(match_requests(requests, _counted(posts)), stop)
+    top = _top_words(match_requests(requests, posts), _counted(posts), stop)
     return with_shown_word(top, censor).select(
         "request_id", "rank", "word", "shown_word", "posts", F.round("score", 6).alias("score")
     )
@@ -99,17 +103,15 @@ def request_posts(
     The top words of a request travel to its posts as arrays of bounded length, so posts
     are tested whole instead of being exploded and joined again.
     """
-    matched = match_requests(requests, _counted(posts))
+    matched, counted = match_requests(requests, posts), _counted(posts)
     block = F.floor((F.col("rank") - 1) / WORDS_PER_ARRAY)
     top = (
-        _top_words(matched, stop)
+        _top_words(matched, counted, stop)
         .groupBy("request_id", block.alias("block"))
         .agg(F.collect_list("word").alias("top_words"))
     )
     distinct_words = F.col("counts.word").alias("distinct_words")
-    pairs = matched.select("request_id", "n2", "post_id", "impact", distinct_words).join(
-        top, "request_id"
-    )
+    pairs = matched.join(counted.select("post_id", distinct_words), "post_id").join(top, "request_id")
     chosen = (
         pairs.where(F.arrays_overlap("distinct_words", "top_words"))
         .groupBy("request_id", "post_id")

@@ -8,9 +8,35 @@ from postlens.functions.text import rot13
 from postlens.sources.schema import RAW_POST
 
 
+def parse_posts(lines: DataFrame) -> DataFrame:
+    """Posts from a table ``[value]`` of JSON texts, one object each; malformed ones are dropped.
+
+    A line is malformed if any field of the schema does not parse. That is decided on the whole
+    line, whatever columns are read afterwards.
+    """
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "malformed"}
+    post = F.from_json("value", f"{RAW_POST}, malformed string", options)
+    parsed = lines.where("trim(value) <> ''").select(post.alias("post"))
+    return parsed.where("post is not null and post.malformed is null").select("post.*").drop("malformed")
+
+
 def read_posts(spark: SparkSession, path: str) -> DataFrame:
     """Posts from JSON lines, one object per line; malformed lines are dropped."""
-    return spark.read.schema(RAW_POST).option("mode", "DROPMALFORMED").json(path)
+    return parse_posts(spark.read.text(path))
+
+
+def parse_words(lines: DataFrame, obscured: bool = False) -> DataFrame:
+    """``[word]`` in lower case from a table ``[value]``, one word per line, empty ones skipped."""
+    word = rot13(F.col("value")) if obscured else F.col("value")
+    return lines.where("value <> ''").select(F.lower(word).alias("word"))
+
+
+def parse_censor(lines: DataFrame) -> DataFrame:
+    """``[word, mask]`` in lower case from a table ``[value]`` of ``word,mask`` lines."""
+    row = F.from_csv("value", "word string, mask string", {"quote": ""}).alias("row")
+    return lines.select(row).where("row.word is not null and row.mask is not null").select(
+        F.lower("row.word").alias("word"), F.lower("row.mask").alias("mask")
+    )
 
 
 def read_words(spark: SparkSession, path: str, obscured: bool = False) -> DataFrame:
@@ -18,16 +44,12 @@ def read_words(spark: SparkSession, path: str, obscured: bool = False) -> DataFr
 
     ``obscured`` lists are stored rotated by 13 letters.
     """
-    word = rot13(F.col("value")) if obscured else F.col("value")
-    return spark.read.text(path).where("value <> ''").select(F.lower(word).alias("word"))
+    return parse_words(spark.read.text(path), obscured)
 
 
 def read_censor(spark: SparkSession, path: str) -> DataFrame:
     """Censor dictionary ``[word, mask]`` from ``word,mask`` lines, lower-cased."""
-    lines = spark.read.schema("word string, mask string").option("quote", "").csv(path)
-    return lines.where("word is not null and mask is not null").select(
-        F.lower("word").alias("word"), F.lower("mask").alias("mask")
-    )
+    return parse_censor(spark.read.text(path))
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:

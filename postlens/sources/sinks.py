@@ -41,13 +41,14 @@ def write_jdbc(
 
     The table is dropped and created again with ``column_types``; ``keep_table`` empties
     it instead, which keeps keys and indexes declared beforehand. ``connections`` bounds
-    how many tasks write at once. Each partition is one transaction, so a partition that
+    how many tasks write at once, without narrowing
+    the stage that makes the rows: they are dealt out anew. Each partition is one transaction, so a partition that
     is written again after a lost executor is rolled back or, if the loss fell between
     commit and report, refused by the primary key of a kept table. User, password and
     driver come from the caller in ``properties``.
     """
     writer = (
-        df.write.mode("overwrite")
+        df.repartition(connections).write.mode("overwrite")
         .option("numPartitions", connections)
         .option("batchsize", batch_size)
         .option("truncate", str(keep_table).lower())

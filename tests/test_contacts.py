@@ -132,23 +132,19 @@ def test_request_tables_agree_with_single_requests(spark):
 
 def test_nesting_keeps_every_text(spark):
     data, facts = make_facts(spark)
-    for limit, single in ((10**9, True), (600, False)):
-        nested = nesting.nest_contacts(facts, bytes_per_row=limit)
-        per_user = {r[0]: r[1] for r in nested.groupBy("user1_id").count().collect()}
-        assert (set(per_user.values()) == {1}) is single
-        decoded = nesting.contacts_from_json(nesting.contacts_to_json(nested))
-        flat = nesting.flatten_json_contacts(decoded)
-        got = sorted((r["user1_id"], r["user2_id"], r["text"], r["created_at"], r["user2_desc"]) for r in flat.collect())
-        assert got == sorted((d[0], d[1], d[2], d[3], "") for d in data)
-
-
-def test_nested_rows_are_bounded(spark):
-    _, facts = make_facts(spark, rows=3000)
-    nested = nesting.nest_contacts(facts, bytes_per_row=4000)
-    sizes = nested.select(
-        F.aggregate("contacts", F.lit(0), lambda a, x: a + F.aggregate(x["posts"], F.lit(0), lambda b, p: b + F.length(p["text"]) + 32)).alias("s")
-    )
-    assert sizes.agg(F.max("s")).first()[0] < 3 * 4000
+    facts = facts.withColumn("created_at", F.col("created_at") * 86400)
+    nested = nesting.nest_contacts(facts)
+    assert nested.groupBy("user1_id", "user2_id", "month").count().where("count > 1").count() == 0
+    assert sorted({r["month"] for r in nested.collect()}) == ["1970-01", "1970-02"]
+    flat = nesting.flatten_json_contacts(nesting.contacts_from_json(nesting.contacts_to_json(nested)))
+    got = sorted((r["user1_id"], r["user2_id"], r["text"], r["created_at"], r["user2_desc"]) for r in flat.collect())
+    assert got == sorted((d[0], d[1], d[2], d[3] * 86400, "") for d in data)
+
+
+def test_nesting_reads_the_facts_once(spark):
+    _, facts = make_facts(spark, rows=10)
+    plan = nesting.nest_contacts(facts)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
 
 
 def test_heavy_keys_are_few_and_the_join_is_whole(spark):

@@ -114,6 +114,10 @@ class Recorder:
         self.options[key] = value
         return self
 
+    def repartition(self, n):
+        self.options["repartition"] = n
+        return self
+
     def jdbc(self, url, table, properties):
         self.calls.append((url, table, properties))
 
@@ -127,7 +131,7 @@ def test_jdbc_settings():
     write_jdbc(df, "jdbc:x", "t", {"user": "u"}, "a bigint", connections=4)
     assert df.calls == [("jdbc:x", "t", {"user": "u"})]
     assert df.options == {
-        "mode": "overwrite", "numPartitions": 4, "batchsize": 5000, "truncate": "false",
+        "repartition": 4, "mode": "overwrite", "numPartitions": 4, "batchsize": 5000, "truncate": "false",
         "createTableColumnTypes": "a bigint",
     }
     kept = Recorder()

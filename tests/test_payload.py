@@ -26,8 +26,8 @@ def test_framing_turns_back(spark):
 
 def test_audit(spark):
     good, flipped, short = [2, 84, 1, 101, 0], [2, 84, 1, 101, 1], [2, 84, 1]
-    rows = [(1, "a", good), (2, "a", flipped), (3, "b", short), (4, "b", [-1]), (5, "b", [0])]
+    rows = [(1, "a", good), (2, "a", flipped), (3, "b", short), (4, "b", [-1]), (5, "b", [0]), (6, "c", None), (7, "c", [])]
     df = spark.createDataFrame(rows, "id int, source string, payload array<int>")
-    assert {r[0]: (r[1], r[2]) for r in audit_payloads(df).collect()} == {"a": (1, 1), "b": (2, 1)}
-    assert sorted((r["id"], r["first_bad"]) for r in quarantine_payloads(df).collect()) == [(2, 1), (3, 1)]
-    assert [r[0] for r in df.orderBy("id").select(payload_text(F.col("payload"))).collect()] == ["Te", None, None, "", ""]
+    assert {r[0]: (r[1], r[2]) for r in audit_payloads(df).collect()} == {"a": (1, 1), "b": (2, 1), "c": (0, 2)}
+    assert sorted((r["id"], r["first_bad"]) for r in quarantine_payloads(df).collect()) == [(2, 1), (3, 1), (6, 0), (7, 0)]
+    assert [r[0] for r in df.orderBy("id").select(payload_text(F.col("payload"))).collect()] == ["Te", None, None, "", "", None, None]

@@ -12,9 +12,9 @@ STOP = ["is", "please", "give", "me", "another"]
 CENSOR = ["darn"]
 ALL = (0, 10**12, 0, 10**12)
 POSTS = [
-    (1, "cloud computing is awesome 233", 19),
-    (2, "please give me me m-o-r-e cloud'computing", 53),
-    (3, "another tweet, cloud darn http://t.co/x awesome", 3),
+    (1, "rain gauges is quiet 1809", 19),
+    (2, "please give me me s-l-o-w rain'gauges", 53),
+    (3, "another walk, rain darn http://t.co/x quiet", 3),
 ]
 
 
@@ -43,8 +43,8 @@ def ranking(df):
 def test_topic_words(posts):
     got = q.topic_words(posts, *ALL, 6, STOP, CENSOR).orderBy("rank").collect()
     assert [(x["shown_word"], x["score"]) for x in got] == [
-        ("computing", 0.822787), ("cloud'computing", 0.730391), ("m-o-r-e", 0.730391),
-        ("awesome", 0.416085), ("cloud", 0.416085), ("d**n", 0.3046),
+        ("gauges", 0.822787), ("rain'gauges", 0.730391), ("s-l-o-w", 0.730391),
+        ("quiet", 0.416085), ("rain", 0.416085), ("d**n", 0.3046),
     ]
     assert [x["rank"] for x in got] == [1, 2, 3, 4, 5, 6]
 
@@ -54,7 +54,7 @@ def test_topic_posts(posts):
     assert [(x["post_id"], x["impact"]) for x in got] == [(2, 53), (1, 19)]
     got = q.topic_posts(posts, *ALL, 6, 5, STOP, CENSOR).orderBy("rank").collect()
     assert [x["post_id"] for x in got] == [2, 1, 3]
-    assert got[2]["text"] == "another tweet, cloud d**n http://t.co/x awesome"
+    assert got[2]["text"] == "another walk, rain d**n http://t.co/x quiet"
     assert q.topic_posts(posts, *ALL, 6, 0, STOP, CENSOR).count() == 0
 
 
@@ -67,8 +67,8 @@ def test_equal_impacts_put_the_higher_id_first(spark):
 
 def test_topic_report(posts):
     text = reports.topic_report(posts, *ALL, 2, 1, stop=STOP, censor=CENSOR).first()[0]
-    assert text == "computing:0.82\tcloud'computing:0.73\n53\t2\tplease give me me m-o-r-e cloud'computing"
-    assert reports.topic_report(posts, *ALL, 1, 0, stop=STOP).first()[0] == "computing:0.82\n"
+    assert text == "gauges:0.82\train'gauges:0.73\n53\t2\tplease give me me s-l-o-w rain'gauges"
+    assert reports.topic_report(posts, *ALL, 1, 0, stop=STOP).first()[0] == "gauges:0.82\n"
     assert reports.topic_report(posts, 900, 901, 0, 1, 2, 2).first()[0] == ""
     assert reports.topic_report(posts, 2, 1, 0, 1, 2, 2).first()[0] == ""
 
@@ -109,13 +109,6 @@ def test_stored_words_and_texts_give_the_same_answer(many):
     assert sorted(from_words) == sorted(q.topic_posts(many, *span, 3, 9, STOP).collect())
 
 
-def test_very_many_words_take_the_join(many):
-    span = (0, 40, 0, 5000)
-    by_array = q.topic_posts(many, *span, 1000, 50, STOP).collect()
-    by_join = q.topic_posts(many, *span, dictionaries.MAX_LITERALS + 1, 50, STOP).collect()
-    assert sorted(by_array) == sorted(by_join)
-
-
 def test_the_other_variant_leaves_out_posts_without_impact(many):
     rows = [(i, t, m - 1) for i, _, _, t, m in make_posts() if m > 0]
     want = [(w, n, round(s, 6)) for w, n, s in plain.topic_words(rows, STOP, 10)]
@@ -124,11 +117,34 @@ def test_the_other_variant_leaves_out_posts_without_impact(many):
         q.topic_words(many, *ALL, 10, variant="ln")
 
 
-def test_small_dictionaries_become_literals(spark):
-    words = spark.createDataFrame([("A",), ("b",), ("b",), ("",)], "word string")
-    assert dictionaries.as_literals(words) == ["a", "b"]
-    assert dictionaries.as_literals(words, limit=1).count() == 2
-    assert dictionaries.as_literals(["x"]) == ["x"]
+def test_tables_and_collections_mean_the_same(spark):
+    words = ["Darn", "darn", "", None, "iS"]
+    table = spark.createDataFrame([(w,) for w in words], "word string")
+    assert dictionaries.normal_words(words) == ["darn", "is"]
+    assert sorted(r[0] for r in dictionaries.normal_words(table).collect()) == ["darn", "is"]
+    # Rows may share an id, and texts may repeat.
+    rows = [(1, "ab Danny x"), (1, "darn DARN it is"), (2, "darn DARN it is"), (3, None), (3, ""), (4, "d-darn")]
+    posts = spark.createDataFrame(rows, "post_id long, text string")
+    key = lambda r: tuple(str(x) for x in r)
+    for step in (dictionaries.with_censored_text, dictionaries.with_effective_words):
+        assert sorted(step(posts, table).collect(), key=key) == sorted(step(posts, words).collect(), key=key)
+    top = spark.createDataFrame([("darn",), ("is",), ("ok",)], "word string")
+    assert sorted(q.with_shown_word(top, table).collect()) == sorted(q.with_shown_word(top, words).collect())
+    assert [r[0] for r in dictionaries.drop_stopwords(top, table).collect()] == ["ok"]
+
+
+def test_scores_do_not_depend_on_the_order_of_addition(spark):
+    rows = spark.range(4000).selectExpr(
+        "concat('w', id % 3) as word", "cast(1 + id % 5 as int) as cnt", "7 as num_words",
+        "cast(pow(10, 1 + id % 17) as bigint) as impact", "id",
+    )
+    rows = rows.unionByName(rows.withColumn("cnt", F.col("cnt") + 10**9))
+    results = []
+    for n in (1, 7, 16):
+        weights = topics.word_weight(rows.repartition(n, F.xxhash64("id", F.lit(n))))
+        results.append(sorted((r["word"], r["weight"]) for r in weights.collect()))
+    assert results[0] == results[1] == results[2]
+    assert min(w for _, w in results[0]) > 1e8
 
 
 def test_large_dictionaries_give_the_same_scores(spark, many):
