@@ -3,8 +3,8 @@
 A passage of ``LENGTH`` bytes that also starts earlier is removed, wherever it lies. Equal
 windows of that length hold the same least 16-gram (their anchor), so windows are dealt into
 shards by anchor, neighbouring windows around one anchor together as one string. Equal strings
-are merged before they travel. Strings whose anchor occurs in other strings too are sorted in
-their shard, all suffixes of it, by external induced sorting; windows next to each other in
+are merged before they travel. Strings that agree with others around the anchor are sorted in
+their shard, all suffixes of them, by external induced sorting; windows next to each other in
 that order that share ``LENGTH`` bytes are the same passage.
 """
 
@@ -68,15 +68,16 @@ class Strings:
         self.hot, self.length = hot, length
         self.forth, self.back = _powers(CHUNK + 2 * length)
 
-    def cut(self, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Anchor, hash of the content, first window and number of windows of each string."""
+    def cut(self, data: bytes) -> tuple[np.ndarray, ...]:
+        """Of each string: anchor with what lies left of it, what lies right of it, hash of the
+        content, first window, number of windows."""
         out = []
         windows = len(data) - self.length + 1
         for at in range(0, max(0, windows), CHUNK):
             part = np.frombuffer(data, np.uint8, min(len(data) - at, CHUNK + self.length - 1), at)
             out.append(self._cut(part, at))
         if not out:
-            return np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+            return tuple(np.zeros(0, kind) for kind in (np.uint64, np.uint32, np.uint64, np.int64, np.int64))
         return tuple(np.concatenate(x) for x in zip(*out))
 
     def _cut(self, part: np.ndarray, base: int):
@@ -91,8 +92,16 @@ class Strings:
         count = np.diff(np.r_[new, len(anchors)])
         # Content: the 16-grams of the string, weighed by their place in it.
         total = np.r_[_U(0), np.cumsum(h * self.forth[: len(h)])]
-        content = mix((total[new + count + self.length - GRAM] - total[new]) * self.back[new] + count.astype(np.uint64))
-        return anchors[new] >> _U(PLACE_BITS), content, new + base, count
+        grams = lambda start, n: mix((total[start + n] - total[start]) * self.back[start] + np.asarray(n).astype(np.uint64))
+        content = grams(new, count + self.length - GRAM)
+        # Two strings that hold the same window agree on so many grams left or right of the
+        # anchor; a side that does not lie in the string is 0, so equal strings agree on both.
+        chosen = anchors[new]
+        at, side = (chosen & _U((1 << PLACE_BITS) - 1)).astype(np.int64), (self.length - GRAM) // 2
+        left = np.where(at - side >= new, grams(np.maximum(at - side, 0), side + 1) >> _U(64 - PLACE_BITS) | _U(1), _U(0))
+        fits = at + side + GRAM < new + count + self.length
+        right = np.where(fits, grams(np.minimum(at, len(h) - side - 1), side + 1) >> _U(32) | _U(1), _U(0))
+        return chosen >> _U(PLACE_BITS) << _U(PLACE_BITS) | left, right.astype(np.uint32), content, new + base, count
 
 
 def hot_grams(texts: DataFrame) -> np.ndarray:
@@ -149,7 +158,7 @@ def _by(key: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
             yield int(key[members[0]]), members
 
 
-_ENTRY = (np.int64, np.int64, np.uint64, np.uint64, np.int32, np.int32, np.int32)
+_ENTRY = (np.int64, np.int64, np.uint64, np.uint32, np.uint64, np.int32, np.int32, np.uint8)
 _FOUND = (np.int64, np.int64, np.int32, np.int32, np.int32)
 
 
@@ -173,17 +182,17 @@ def string_segments(texts: DataFrame, hot: np.ndarray, length: int, segments: in
 
         def flush() -> pd.DataFrame:
             doc_id, doc_u = np.array([d[0] for d in docs], np.int64), np.array([d[1] for d in docs], np.int64)
-            anchor, content, start, count = (np.concatenate(x) for x in zip(*held))
+            anchor, right, content, start, count = (np.concatenate(x) for x in zip(*held))
             owner = np.repeat(np.arange(len(held)), [len(x[0]) for x in held])
             by, first = _merge_equal(doc_id, doc_u, anchor, content, owner, start, count)
             rows = []
             keep = by[first]
-            for segment, at in _by((anchor[keep] % _U(segments)).astype(np.int64)):
+            for segment, at in _by(((anchor[keep] >> _U(PLACE_BITS)) % _U(segments)).astype(np.int64)):
                 at = keep[at]
                 own, place = np.unique(owner[at], return_inverse=True)
                 rows.append((segment, 0, _pack(
-                    doc_id[own], doc_u[own], anchor[at], content[at], place.astype(np.int32),
-                    start[at].astype(np.int32), count[at].astype(np.int32))))
+                    doc_id[own], doc_u[own], anchor[at], right[at], content[at], place.astype(np.int32),
+                    start[at].astype(np.int32), count[at].astype(np.uint8))))
             again = by[~first]
             for segment, at in _by((doc_u[owner[again]] % segments).astype(np.int64)):
                 at = again[at]
@@ -218,6 +227,12 @@ def string_segments(texts: DataFrame, hot: np.ndarray, length: int, segments: in
     return texts.select("id_", "u_", "data_").mapInPandas(run, "segment int, kind int, blob binary")
 
 
+def _repeated(values: np.ndarray) -> np.ndarray:
+    """Which values stand more than once."""
+    _, place, n = np.unique(values, return_inverse=True, return_counts=True)
+    return n[place] > 1
+
+
 def _decide(frame: pd.DataFrame) -> pd.DataFrame:
     """Strings of a segment: repeated ones, and those whose anchor has other strings as well."""
     segment = int(frame["segment"].iloc[0])
@@ -234,19 +249,19 @@ def _decide(frame: pd.DataFrame) -> pd.DataFrame:
     parts = [_unpack(b, *_ENTRY) for b in frame.loc[frame["kind"] == 0, "blob"]]
     if parts:
         shift = np.cumsum([0] + [len(p[0]) for p in parts[:-1]])
-        doc_id, doc_u, anchor, content = (np.concatenate([p[i] for p in parts]) for i in range(4))
-        owner = np.concatenate([p[4] + s for p, s in zip(parts, shift)])
-        start, count = (np.concatenate([p[i] for p in parts]) for i in (5, 6))
+        doc_id, doc_u, anchor, right, content = (np.concatenate([p[i] for p in parts]) for i in range(5))
+        owner = np.concatenate([p[5] + s for p, s in zip(parts, shift)])
+        start, count = np.concatenate([p[6] for p in parts]), np.concatenate([p[7] for p in parts]).astype(np.int32)
         # The same document may have come from several batches.
         ids, owner_of = np.unique(np.stack([doc_id, doc_u], axis=1), axis=0, return_inverse=True)
         doc_id, doc_u, owner = ids[:, 0], ids[:, 1], owner_of.reshape(-1)[owner]
         by, first = _merge_equal(doc_id, doc_u, anchor, content, owner, start, count)
         again, kept = by[~first], by[first]
         note(doc_id, doc_u, owner[again], start[again], count[again], False)
-        a = anchor[kept]
-        edge = np.r_[True, a[1:] != a[:-1], True]
-        many = ~(edge[:-1] & edge[1:])
-        asked = kept[many]
+        # Sorted are the strings that agree with another on one side of the anchor.
+        a, low = anchor[kept], _U((1 << PLACE_BITS) - 1)
+        around = mix((a | low) ^ mix(right[kept].astype(np.uint64)))
+        asked = kept[(_repeated(a) & (a & low != 0)) | (_repeated(around) & (right[kept] != 0))]
         note(doc_id, doc_u, owner[asked], start[asked], count[asked], True)
     return pd.DataFrame(out, columns=["id_", "u_", "segment", "gone", "asked"])
 
