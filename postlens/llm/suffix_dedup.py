@@ -202,7 +202,7 @@ def string_segments(texts: DataFrame, hot: np.ndarray, length: int, segments: in
             return pd.DataFrame(rows, columns=["segment", "kind", "blob"])
 
         for batch in batches:
-            for doc_id, u, data in zip(batch["id_"].fillna(NO_ID).astype(np.int64), batch["u_"], batch["data_"]):
+            for doc_id, u, data in zip(batch["id_"], batch["u_"], batch["data_"]):
                 if len(data) < length:
                     continue
                 # Of the copies of a text that this task sees, the one with the least id counts.
@@ -224,7 +224,8 @@ def string_segments(texts: DataFrame, hot: np.ndarray, length: int, segments: in
         if held:
             yield flush()
 
-    return texts.select("id_", "u_", "data_").mapInPandas(run, "segment int, kind int, blob binary")
+    known = F.coalesce("id_", F.lit(NO_ID)).alias("id_")
+    return texts.select(known, "u_", "data_").mapInPandas(run, "segment int, kind int, blob binary")
 
 
 def _repeated(values: np.ndarray) -> np.ndarray:
@@ -256,7 +257,9 @@ def _decide(frame: pd.DataFrame) -> pd.DataFrame:
         ids, owner_of = np.unique(np.stack([doc_id, doc_u], axis=1), axis=0, return_inverse=True)
         doc_id, doc_u, owner = ids[:, 0], ids[:, 1], owner_of.reshape(-1)[owner]
         by, first = _merge_equal(doc_id, doc_u, anchor, content, owner, start, count)
-        again, kept = by[~first], by[first]
+        # The same string of the same document may have come twice, from repeated rows.
+        same = np.r_[False, (owner[by][1:] == owner[by][:-1]) & (start[by][1:] == start[by][:-1])] if len(by) else first
+        again, kept = by[~first & ~same], by[first]
         note(doc_id, doc_u, owner[again], start[again], count[again], False)
         # Sorted are the strings that agree with another on one side of the anchor.
         a, low = anchor[kept], _U((1 << PLACE_BITS) - 1)
@@ -339,6 +342,24 @@ _RESULT = "id_ long, u_ long, n_bytes long, n_removed long, n_spans long, kept_s
 _COLUMNS = [c.split()[0] for c in _RESULT.split(", ")]
 
 
+_STEP = (
+    "kind int, segment int, id_ long, u_ long, rest_ string, data_ binary, gone array<binary>, places binary, "
+    "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string"
+)
+
+
+def _step(kind: int, columns: list[str], rows: list[tuple]) -> pd.DataFrame:
+    """Rows of one kind, with the columns of all kinds."""
+    frame = pd.DataFrame({c: pd.Series([r[n] for r in rows], dtype=object) for n, c in enumerate(columns)})
+    frame["kind"] = kind
+    out = pd.DataFrame(index=frame.index)
+    for column in _STEP.split(", "):
+        name, kind_of = column.split(" ")
+        values = frame[name] if name in frame else pd.Series([None] * len(frame), dtype=object)
+        out[name] = values.astype("Int64") if kind_of in ("int", "long") else values
+    return out
+
+
 def _result(doc_id, u, rest, data: bytes, blobs: list[bytes], length: int, texts: bool) -> tuple:
     covered = _covered(len(data), blobs, length) if blobs else np.zeros(len(data), bool)
     kept = np.frombuffer(data, np.uint8)[~covered].tobytes()
@@ -419,30 +440,18 @@ def dedup_passages(
                         pairs[:, 1] += length - 1  # from windows to bytes
                         strings = b"".join(data[a : a + n] + b"\xff" for a, n in pairs.tolist())
                         out.append((segment, doc_id, u, pairs.tobytes(), strings))
-            yield pd.DataFrame({"kind": 0, "result": [dict(zip(_COLUMNS, d)) for d in done]})
-            yield pd.DataFrame({"kind": 1, "waiting": [dict(zip(("id_", "u_", "rest_", "data_", "gone"), w)) for w in waiting]})
-            yield pd.DataFrame({"kind": 2, "strings": [dict(zip(("segment", "id_", "u_", "places", "data_"), s)) for s in out]})
-
-    def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in apply(batches):
-            for name in ("result", "waiting", "strings"):
-                if name not in frame:
-                    frame[name] = None
-            yield frame
-
-    schema = (
-        f"kind int, result struct<{_RESULT.replace(' long', ':long').replace(' string', ':string').replace(' binary', ':binary')}>, "
-        "waiting struct<id_:long, u_:long, rest_:string, data_:binary, gone:array<binary>>, "
-        "strings struct<segment:int, id_:long, u_:long, places:binary, data_:binary>"
-    )
-    step = staged(joined.mapInPandas(fill, schema), "passages")
+            yield _step(0, ["id_", "u_", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", "rest_"], done)
+            yield _step(1, ["id_", "u_", "rest_", "data_", "gone"], waiting)
+            yield _step(2, ["segment", "id_", "u_", "places", "data_"], out)
+
+    step = staged(joined.mapInPandas(apply, _STEP), "passages")
     folder = work_folder(spark, "sort")
     sorted_out = (
-        step.where("kind = 2").select("strings.*")
+        step.where("kind = 2").select("segment", "id_", "u_", "places", "data_")
         .groupBy("segment").applyInPandas(_sort_shard(length, folder, queue_bytes, base), "id_ long, u_ long, gone binary")
         .groupBy("id_", "u_").agg(F.collect_list("gone").alias("more"))
     )
-    waiting = step.where("kind = 1").select("waiting.*").join(sorted_out, ["id_", "u_"], "left").select("id_", "u_", "rest_", "data_", "gone", "more")
+    waiting = step.where("kind = 1").select("id_", "u_", "rest_", "data_", "gone").join(sorted_out, ["id_", "u_"], "left").select("id_", "u_", "rest_", "data_", "gone", "more")
 
     def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -451,7 +460,7 @@ def dedup_passages(
                 for doc_id, u, rest, data, gone, more in batch.itertuples(index=False)
             ], columns=_COLUMNS)
 
-    results = step.where("kind = 0").select("result.*").unionByName(waiting.mapInPandas(finish, _RESULT))
+    results = step.where("kind = 0").select(*_COLUMNS).unionByName(waiting.mapInPandas(finish, _RESULT))
     carried = F.from_json("rest_", docs.select(*carry).schema) if carry else F.lit(None)
     return results.withColumn("rest_", carried).select(
         F.when(F.col("id_") != NO_ID, F.col("id_")).alias(id_column), "n_bytes", "n_removed", "n_spans", "kept_sha256",
