@@ -271,41 +271,43 @@ def jaccard_classes(
     classes = rows.where("n > 0 and id_ is not null").groupBy("k").agg(F.min("id_").alias("class"))
     lists = staged(prefix_lists(texts, words, percent), "jaccard-lists")
     # How many of a set's prefix shingles no other set has in its prefix: these are not shared.
-    shared = lists.groupBy("k").agg(F.count("*").alias("shared"), F.max("n").alias("n"))
-    own = F.col("n") - F.floor((F.col("n") * percent + 99) / 100) + 1 - F.col("shared")
-    involved = staged(shared.select("k", own.cast("int").alias("own")), "jaccard-involved")
-    lists = staged(lists.join(involved, "k"), "jaccard-lists")
-
-    sources = classes.join(involved, "k").select(F.col("class").alias("id_"), "k")
+    shared = lists.groupBy("k").agg(F.count("*").alias("shared"), F.max("n").alias("m"))
+    own = F.col("m") - F.floor((F.col("m") * percent + 99) / 100) + 1 - F.col("shared")
+    lists = lists.join(shared.select("k", own.cast("int").alias("own")), "k")
 
     def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler = Shingler(words)
         for batch in batches:
             out = []
             for k, text in zip(batch["k"], batch["text_"]):
-                own = shingler.set_of(text)
-                if set_key(own) == k:  # rows may share an id
-                    out.append((k, own.tobytes()))
+                found = shingler.set_of(text)
+                if set_key(found) == k:  # rows may share an id
+                    out.append((k, found.tobytes()))
             yield pd.DataFrame(out, columns=["k", "shingles"])
 
-    sets = texts.join(sources, "id_").select("k", "text_").mapInPandas(fetch, "k long, shingles binary")
-    sets = staged(sets.dropDuplicates(["k"]), "jaccard-sets")
+    def links_among(pairs: DataFrame) -> DataFrame:
+        """The similar ones of some pairs. Only the sets that are in a pair are made again."""
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("k")).distinct()
+        wanted = staged(classes.join(ends, "k").select(F.col("class").alias("id_"), "k"), "jaccard-wanted")
+        sets = texts.join(wanted, "id_").select("k", "text_").mapInPandas(fetch, "k long, shingles binary")
+        return staged(_verify(pairs, staged(sets, "jaccard-sets"), percent), "jaccard-links")
 
     segments = partitions(spark)
     segment = F.pmod("token", F.lit(segments)).alias("segment")
-    led = (
+    led = staged(
         lists.select(segment, "token", "k", "n", "pos", "own").groupBy("segment")
-        .applyInPandas(_leader_pairs(percent), _PAIR).distinct()
+        .applyInPandas(_leader_pairs(percent), _PAIR).distinct(),
+        "jaccard-pairs",
     )
-    links = staged(_verify(led, sets, percent), "jaccard-links")
+    links = links_among(led)
     joined = components(links, "a", "b")
     labelled = lists.join(joined.withColumnRenamed("node", "k"), "k", "left").select(
         segment, "token", "k", "n", "pos", "own", F.coalesce("component", "k").alias("class")
     )
     rest = labelled.groupBy("segment").applyInPandas(_remaining_pairs(percent), _PAIR).distinct()
-    more = staged(_verify(rest.join(led, ["a", "b"], "left_anti"), sets, percent), "jaccard-links")
-    if not more.isEmpty():
-        joined = components(links.unionByName(more), "a", "b")
+    rest = staged(rest.join(led, ["a", "b"], "left_anti"), "jaccard-pairs")
+    if not rest.isEmpty():
+        joined = components(links.unionByName(links_among(rest)), "a", "b")
     least = joined.join(classes.withColumnRenamed("k", "node"), "node")
     of_class = least.groupBy("component").agg(F.min("class").alias("least"))
     named = least.join(of_class, "component").select(F.col("node").alias("k"), "least")
