@@ -154,7 +154,9 @@ def write_archives(rows: DataFrame, folder: str, date: str = "2000-01-01T00:00:0
         if done:
             yield pd.DataFrame(done)
 
-    return staged(rows.mapInPandas(write, "archive string, records long"), "warc-list")
+    # Ids as text, since a batch of numbers with a null becomes one of doubles.
+    exact = rows.withColumns({c: F.col(c).cast("string") for c in ("page_id", "refers_to")})
+    return staged(exact.mapInPandas(write, "archive string, records long"), "warc-list")
 
 
 def read_archive(uri: str) -> Iterator[dict]:
@@ -216,7 +218,7 @@ def read_archives(archives: DataFrame) -> DataFrame:
 def _frame(records: list[dict]) -> pd.DataFrame:
     frame = pd.DataFrame(records)
     for name in ("page_id", "refers_to", "payload_bytes"):
-        frame[name] = frame[name].astype("Int64")
+        frame[name] = pd.array([r[name] for r in records], dtype="Int64")
     return frame
 
 

@@ -49,7 +49,7 @@ def test_archives(spark, tmp_path):
     long = "x" * 150
     rows = [
         (1, "http://a/%20\r\nX: y", long), (2, None, long), (3, "u", "short"), (4, "u", "short"), (5, "u", None), (6, "ü", "é" * 70), (7, "u", "é" * 70),
-        (2, None, long), (None, "n", long), (None, None, "only"), (8, "u", "WARC/1.1\r\n\r\n" * 20), (9, "u", "y" * 300_000),
+        (2, None, long), (None, "n", long), (None, None, "only"), (8, "u", "WARC/1.1\r\n\r\n" * 20), (9, "u", "y" * 300_000), (2**62 + 1, "u", "big id"), (2**62 + 3, "u", long),
     ]
     pages = spark.createDataFrame([(*r, 1) for r in rows], "page_id long, url string, html string, payload_bytes int").repartition(3)
     archives = warc.write_archives(warc.page_records(pages), str(tmp_path))
