@@ -311,13 +311,14 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
             if x:
                 s = model.scores(x)
                 yield pd.DataFrame({
-                    "id_": batch["id_"].astype("Int64"), "score": s, "predicted": (s >= threshold).astype("int32"),
+                    "id_": batch["id_"], "score": s, "predicted": (s >= threshold).astype("int32"),
                     "context": [max(0.0, f[4], f[6]) for f in x],
                 })
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("id_"), F.col("text").alias("text_"))
-    out = rows.mapInPandas(run, "id_ long, score double, predicted int, context double")
-    return out.withColumnRenamed("id_", "doc_id")
+    # Ids as text, since a batch of numbers with a null becomes one of doubles.
+    rows = docs.select(F.col("doc_id").cast("long").cast("string").alias("id_"), F.col("text").alias("text_"))
+    out = rows.mapInPandas(run, "id_ string, score double, predicted int, context double")
+    return out.select(F.col("id_").cast("long").alias("doc_id"), "score", "predicted", "context")
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
