@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from postlens.sources.staging import shared_folder, stage
+from postlens.sources.staging import shared_folder
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
@@ -26,7 +26,20 @@ def local_default(spark: SparkSession) -> str | None:
 
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` in the shared folder and read it back: lineage ends at these files."""
-    return stage(df, name, local_default(df.sparkSession))
+    spark = df.sparkSession
+    path = work_folder(spark, name)
+    df.write.option("compression", "zstd").parquet(path)
+    out = spark.read.parquet(path)
+    out.staged_path = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more."""
+    for frame in frames:
+        spark = frame.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(frame.staged_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def work_folder(spark: SparkSession, name: str) -> str:

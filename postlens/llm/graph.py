@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from postlens.llm.common import staged
+from postlens.llm.common import discard, staged
 
 MAX_ROUNDS = 100
 
@@ -40,7 +40,8 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     )
     mark = None
     for _ in range(MAX_ROUNDS):
-        edges = staged(_small_star(_large_star(edges)), "links")
+        before, edges = edges, staged(_small_star(_large_star(edges)), "links")
+        discard(before)
         now = edges.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
         if mark == now:
             break

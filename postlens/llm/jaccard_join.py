@@ -16,7 +16,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from postlens.llm.common import bounded_sample, partitions, read_table, staged
+from postlens.llm.common import bounded_sample, discard, partitions, read_table, staged
 from postlens.llm.graph import components
 from postlens.llm.shingles import Shingler, mix, set_key
 
@@ -269,11 +269,11 @@ def jaccard_classes(
 
     rows = staged(texts.mapInPandas(describe, "id_ long, n long, k long"), "jaccard-rows")
     classes = rows.where("n > 0 and id_ is not null").groupBy("k").agg(F.min("id_").alias("class"))
-    lists = staged(prefix_lists(texts, words, percent), "jaccard-lists")
+    entries = staged(prefix_lists(texts, words, percent), "jaccard-lists")
     # How many of a set's prefix shingles no other set has in its prefix: these are not shared.
-    shared = lists.groupBy("k").agg(F.count("*").alias("shared"), F.max("n").alias("m"))
+    shared = entries.groupBy("k").agg(F.count("*").alias("shared"), F.max("n").alias("m"))
     own = F.col("m") - F.floor((F.col("m") * percent + 99) / 100) + 1 - F.col("shared")
-    lists = lists.join(shared.select("k", own.cast("int").alias("own")), "k")
+    lists = entries.join(shared.select("k", own.cast("int").alias("own")), "k")
 
     def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler = Shingler(words)
@@ -290,7 +290,10 @@ def jaccard_classes(
         ends = pairs.select(F.explode(F.array("a", "b")).alias("k")).distinct()
         wanted = staged(classes.join(ends, "k").select(F.col("class").alias("id_"), "k"), "jaccard-wanted")
         sets = texts.join(wanted, "id_").select("k", "text_").mapInPandas(fetch, "k long, shingles binary")
-        return staged(_verify(pairs, staged(sets, "jaccard-sets"), percent), "jaccard-links")
+        sets = staged(sets, "jaccard-sets")
+        found = staged(_verify(pairs, sets, percent), "jaccard-links")
+        discard(wanted, sets)
+        return found
 
     segments = partitions(spark)
     segment = F.pmod("token", F.lit(segments)).alias("segment")
@@ -308,6 +311,7 @@ def jaccard_classes(
     rest = staged(rest.join(led, ["a", "b"], "left_anti"), "jaccard-pairs")
     if not rest.isEmpty():
         joined = components(links.unionByName(links_among(rest)), "a", "b")
+    discard(entries, led, rest)
     least = joined.join(classes.withColumnRenamed("k", "node"), "node")
     of_class = least.groupBy("component").agg(F.min("class").alias("least"))
     named = least.join(of_class, "component").select(F.col("node").alias("k"), "least")
