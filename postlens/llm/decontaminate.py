@@ -23,7 +23,7 @@ _TO_SPACE = bytes(
     b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or 48 <= b <= 57 or b >= 128 else 32 for b in range(256)
 )
 
-LEAK_SCHEMA = "doc_id long, item_id long, distance int, start long, stop long"
+LEAK_SCHEMA = "doc_id string, item_id long, distance int, start long, stop long"
 
 
 def normalise(text: str | None) -> str:
@@ -144,7 +144,7 @@ def _blocks(items: DataFrame) -> Iterator[list[tuple[int, str]]]:
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, chars_per_error: int = CHARS_PER_ERROR) -> DataFrame:
-    """``LEAK_SCHEMA``: one row per document row and item that it holds within the item's budget.
+    """``[doc_id, item_id, distance, start, stop]``: one row per document row and item that it holds within the item's budget.
 
     ``distance`` is the least number of edits, ``start`` and ``stop`` the place in the
     normalised text (start as if there were no edits). Whole texts are searched; null and empty
@@ -152,12 +152,14 @@ def find_leaks(docs: DataFrame, items: DataFrame, chars_per_error: int = CHARS_P
     unchanged only. Repeated documents give repeated rows; an item repeated with other text
     counts once per text and is reported with its least distance.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("id_"), F.col("text").alias("text_"))
+    # Ids as text, since a batch of numbers with a null becomes one of doubles.
+    rows = docs.select(F.col("doc_id").cast("long").cast("string").alias("id_"), F.col("text").alias("text_"))
     found = None
     for block in _blocks(items):
         part = rows.mapInPandas(_find_in_block(block, chars_per_error), LEAK_SCHEMA)
         found = part if found is None else found.unionByName(part)
-    return docs.sparkSession.createDataFrame([], LEAK_SCHEMA) if found is None else found
+    found = docs.sparkSession.createDataFrame([], LEAK_SCHEMA) if found is None else found
+    return found.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def _find_in_block(block: list[tuple[int, str]], chars_per_error: int):
@@ -165,14 +167,12 @@ def _find_in_block(block: list[tuple[int, str]], chars_per_error: int):
         index = ItemIndex(block, chars_per_error)
         for batch in batches:
             out = []
-            for doc_id, text in zip(batch["id_"].astype(object).where(batch["id_"].notna(), None), batch["text_"]):
+            for doc_id, text in zip(batch["id_"], batch["text_"]):
                 least: dict[int, tuple] = {}
                 for leak in index.leaks(normalise(text if isinstance(text, str) else None)):
                     least[leak[0]] = min(leak, least.get(leak[0], leak), key=lambda x: x[1:])
                 out += [(doc_id, *leak) for leak in least.values()]
-            frame = pd.DataFrame(out, columns=["doc_id", "item_id", "distance", "start", "stop"])
-            frame["doc_id"] = frame["doc_id"].astype("Int64")
-            yield frame
+            yield pd.DataFrame(out, columns=["doc_id", "item_id", "distance", "start", "stop"])
 
     return run
 

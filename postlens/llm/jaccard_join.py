@@ -264,10 +264,12 @@ def jaccard_classes(
         for batch in batches:
             sets = [shingler.set_of(t if isinstance(t, str) else None) for t in batch["text_"]]
             yield pd.DataFrame({
-                "id_": batch["id_"].astype("Int64"), "n": [len(s) for s in sets], "k": [set_key(s) for s in sets],
+                "id_": batch["id_"], "n": [len(s) for s in sets], "k": [set_key(s) for s in sets],
             })
 
-    rows = staged(texts.mapInPandas(describe, "id_ long, n long, k long"), "jaccard-rows")
+    # Ids as text, since a batch of numbers with a null becomes one of doubles.
+    described = texts.withColumn("id_", F.col("id_").cast("string")).mapInPandas(describe, "id_ string, n long, k long")
+    rows = staged(described.withColumn("id_", F.col("id_").cast("long")), "jaccard-rows")
     classes = rows.where("n > 0 and id_ is not null").groupBy("k").agg(F.min("id_").alias("class"))
     entries = staged(prefix_lists(texts, words, percent), "jaccard-lists")
     # How many of a set's prefix shingles no other set has in its prefix: these are not shared.

@@ -162,15 +162,16 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
                 part = batch.iloc[at : at + 256]
                 got = model.predict([t if isinstance(t, str) else None for t in part["text_"]])
                 yield pd.DataFrame({
-                    "id_": part["id_"].astype("Int64"),
+                    "id_": part["id_"],
                     "lang_pred": [g[0] for g in got],
                     "score": [g[1] for g in got],
                     "rejected": [g[2] for g in got],
                 })
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("id_"), F.col("text").alias("text_"))
-    out = rows.mapInPandas(run, "id_ long, lang_pred string, score double, rejected boolean")
-    return out.withColumnRenamed("id_", "doc_id")
+    # Ids as text, since a batch of numbers with a null becomes one of doubles.
+    rows = docs.select(F.col("doc_id").cast("long").cast("string").alias("id_"), F.col("text").alias("text_"))
+    out = rows.mapInPandas(run, "id_ string, lang_pred string, score double, rejected boolean")
+    return out.select(F.col("id_").cast("long").alias("doc_id"), "lang_pred", "score", "rejected")
 
 
 def accepted(docs: DataFrame, model: Model) -> DataFrame:
