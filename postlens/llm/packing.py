@@ -12,9 +12,11 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -33,7 +35,8 @@ POPULATION = 4
 GENERATIONS = 6
 FULL_SHARE = 0.985  # bins filled less than this are taken apart after the first level
 
-_MAX_CACHED = 300_000
+_MAX_WORDS, _MAX_RUNS = 700_000, 300_000
+_IDS = [struct.Struct(f"<{n}I") for n in range(16)]
 # Words that need no normalisation but lower case, with punctuation after them.
 _PLAIN_WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:]*)")
 
@@ -84,8 +87,9 @@ class WordEncoder:
         ids = self.runs.get(run)
         if ids is None:
             symbols = run.encode().decode("latin-1").translate(self.symbols)
-            ids = np.asarray([t.id for t in self.model.tokenize(symbols)], dtype="<u4").tobytes()
-            if len(self.runs) < _MAX_CACHED:
+            found = [t.id for t in self.model.tokenize(symbols)]
+            ids = _IDS[len(found)].pack(*found) if len(found) < len(_IDS) else struct.pack(f"<{len(found)}I", *found)
+            if len(self.runs) < _MAX_RUNS:
                 self.runs[run] = ids
         return ids
 
@@ -100,7 +104,7 @@ class WordEncoder:
                 ids += self.known[end]
         else:
             ids = self._encode([word])[0]
-        if len(self.known) < _MAX_CACHED:
+        if len(self.known) < _MAX_WORDS:
             self.known[word] = ids
         return ids
 
@@ -112,6 +116,12 @@ class WordEncoder:
         return b"".join([known[w] if w in known else word_ids(w) for w in words])
 
 
+@lru_cache(maxsize=2)
+def _encoder(path: str | None, by_word: bool) -> WordEncoder:
+    """One encoder, with the words that it knows, for all tasks of a worker."""
+    return WordEncoder(path, by_word)
+
+
 def token_pieces(
     docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = None, end_id: int = END_ID, by_word: bool = True
 ) -> DataFrame:
@@ -122,21 +132,21 @@ def token_pieces(
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = WordEncoder(tokenizer, by_word)
+        encoder = _encoder(tokenizer, by_word)
         end = np.asarray([end_id], dtype="<u4").tobytes()
         for batch in batches:
             out: list[tuple] = []
-            for doc_id, text in zip(batch["id_"].astype(object).where(batch["id_"].notna(), None), batch["text_"]):
+            for doc_id, text in zip(batch["id_"], batch["text_"]):
                 ids = encoder.ids(text) + end if isinstance(text, str) and text else end
                 for n, at in enumerate(range(0, len(ids), 4 * capacity)):
                     piece = ids[at : at + 4 * capacity]
                     out.append((doc_id, n, at // 4, len(piece) // 4, zlib.crc32(piece)))
-            frame = pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-            frame["doc_id"] = frame["doc_id"].astype("Int64")
-            yield frame
+            yield pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("id_"), F.col("text").alias("text_"))
-    return rows.mapInPandas(run, PIECE_SCHEMA)
+    # Ids as text, since a batch of numbers with a null becomes one of doubles.
+    rows = docs.select(F.col("doc_id").cast("long").cast("string").alias("id_"), F.col("text").alias("text_"))
+    pieces = rows.mapInPandas(run, PIECE_SCHEMA.replace("doc_id long", "doc_id string"))
+    return pieces.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 # --- one shard -------------------------------------------------------------------------
