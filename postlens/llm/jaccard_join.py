@@ -197,7 +197,12 @@ def _leader_pairs(percent: int):
 
 
 def _remaining_pairs(percent: int):
-    """Pairs of different classes, list by list; blocks whose bounds exclude each other are skipped."""
+    """Pairs of different classes, list by list; blocks whose bounds exclude each other are skipped.
+
+    With each pair come the lists that it shares here, and how many it must share in all: of
+    the two prefixes one ends first in the common order, and what the sets share beyond that
+    prefix is no more than the rest of its set.
+    """
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         col = {c: frame[c].to_numpy(np.int64) for c in ("token", "k", "n", "pos", "own", "class")}
@@ -218,10 +223,17 @@ def _remaining_pairs(percent: int):
                     pick = (x < y) & (col["class"][x] != col["class"][y])
                     x, y = x[pick], y[pick]
                     keep = _possible({c: v[x] for c, v in col.items()}, {c: v[y] for c, v in col.items()}, percent)
-                    xs.append(col["k"][x[keep]])
-                    ys.append(col["k"][y[keep]])
-        none = np.zeros(0, np.int64)
-        return _pairs_frame(np.concatenate(xs) if xs else none, np.concatenate(ys) if ys else none)
+                    xs.append(x[keep])
+                    ys.append(y[keep])
+        if not xs:
+            return pd.DataFrame({"a": [], "b": [], "lists": [], "need": []}, dtype=np.int64)
+        at, other = np.concatenate(xs), np.concatenate(ys)
+        x, y, n, m = col["k"][at], col["k"][other], col["n"][at], col["n"][other]
+        rest = np.maximum(n - prefix_length(n, percent), m - prefix_length(m, percent))
+        ends = np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1)
+        pairs, first, lists = np.unique(ends, axis=0, return_index=True, return_counts=True)
+        need = (needed_overlap(n, m, percent) - rest)[first]
+        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1], "lists": lists, "need": need})
 
     return run
 
@@ -309,7 +321,11 @@ def jaccard_classes(
     labelled = lists.join(joined.withColumnRenamed("node", "k"), "k", "left").select(
         segment, "token", "k", "n", "pos", "own", F.coalesce("component", "k").alias("class")
     )
-    rest = labelled.groupBy("segment").applyInPandas(_remaining_pairs(percent), _PAIR).distinct()
+    rest = (
+        labelled.groupBy("segment").applyInPandas(_remaining_pairs(percent), f"{_PAIR}, lists long, need long")
+        .groupBy("a", "b").agg(F.sum("lists").alias("lists"), F.max("need").alias("need"))
+        .where("lists >= need").select("a", "b")
+    )
     rest = staged(rest.join(led, ["a", "b"], "left_anti"), "jaccard-pairs")
     if not rest.isEmpty():
         joined = components(links.unionByName(links_among(rest)), "a", "b")
