@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from postlens.llm.common import bounded_sample, discard, partitions, read_table, staged
 from postlens.llm.graph import components
@@ -80,7 +80,15 @@ def _prefix(shingles: np.ndarray, hot: np.ndarray, percent: int) -> np.ndarray:
     return shingles[np.argsort(mix(shingles))][:p]
 
 
-def _segment_blobs(tokens, owner, place, keys, sizes, segments: int) -> list[tuple[int, bytes]]:
+def _end_marks(last: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    """Where prefixes end in the common order, in 16 bits: a lesser mark ends earlier."""
+    late = np.zeros(len(last), bool)
+    if len(hot):
+        late = hot[np.minimum(np.searchsorted(hot, last), len(hot) - 1)] == last
+    return (late.astype(np.uint16) << np.uint16(15)) | (mix(last) >> _U(49)).astype(np.uint16)
+
+
+def _segment_blobs(tokens, owner, place, keys, sizes, marks, segments: int) -> list[tuple[int, bytes]]:
     segment = (tokens % _U(segments)).astype(np.int64)
     by = np.argsort(segment, kind="stable")
     tokens, owner, place, segment = tokens[by], owner[by], place[by], segment[by]
@@ -90,7 +98,7 @@ def _segment_blobs(tokens, owner, place, keys, sizes, segments: int) -> list[tup
         own, index = np.unique(owner[a:b], return_inverse=True)
         out.append((int(segment[a]), b"".join((
             np.array([len(own), b - a], np.int64).tobytes(), keys[own].tobytes(), sizes[own].tobytes(),
-            tokens[a:b].tobytes(), index.astype(np.int32).tobytes(), place[a:b].astype(np.int32).tobytes(),
+            tokens[a:b].tobytes(), index.astype(np.int32).tobytes(), place[a:b].astype(np.int32).tobytes(), marks[own].tobytes(),
         ))))
     return out
 
@@ -104,11 +112,12 @@ def _read_blob(blob: bytes):
     tokens = np.frombuffer(blob, np.int64, size, at)
     index = np.frombuffer(blob, np.int32, size, at + 8 * size)
     place = np.frombuffer(blob, np.int32, size, at + 12 * size)
-    return tokens, keys[index], sizes[index], place
+    marks = np.frombuffer(blob, np.uint16, n, at + 16 * size)
+    return tokens, keys[index], sizes[index], place, marks[index]
 
 
 def prefix_lists(texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """``[token, k, n, pos]``: the index lists with more than one set, a row per entry.
+    """``[token, k, n, pos, mark]``: the index lists with more than one set, a row per entry.
 
     Entries travel packed, by segments of the tokens; a task sends equal sets once.
     """
@@ -123,7 +132,10 @@ def prefix_lists(texts: DataFrame, words: int, percent: int) -> DataFrame:
             lengths = np.array([len(t) for t in tokens])
             owner = np.repeat(np.arange(len(tokens)), lengths)
             place = np.arange(len(owner)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-            blobs = _segment_blobs(np.concatenate(tokens), owner, place, np.array(keys, np.int64), np.array(sizes, np.int64), segments)
+            marks = _end_marks(np.array([t[-1] for t in tokens], np.uint64), hot)
+            blobs = _segment_blobs(
+                np.concatenate(tokens), owner, place, np.array(keys, np.int64), np.array(sizes, np.int64), marks, segments
+            )
             return pd.DataFrame(blobs, columns=["segment", "blob"])
 
         for batch in batches:
@@ -146,32 +158,41 @@ def prefix_lists(texts: DataFrame, words: int, percent: int) -> DataFrame:
 
     def lists(frame: pd.DataFrame) -> pd.DataFrame:
         parts = [_read_blob(b) for b in frame["blob"]]
-        token, k, n, place = (np.concatenate([p[i] for p in parts]) for i in range(4))
+        token, k, n, place, mark = (np.concatenate([p[i] for p in parts]) for i in range(5))
         by = np.lexsort((k, token))
-        token, k, n, place = token[by], k[by], n[by], place[by]
+        token, k, n, place, mark = token[by], k[by], n[by], place[by], mark[by]
         new = np.r_[True, (np.diff(token) != 0) | (np.diff(k) != 0)]  # equal sets of several tasks
-        token, k, n, place = token[new], k[new], n[new], place[new]
+        token, k, n, place, mark = token[new], k[new], n[new], place[new], mark[new]
         starts = np.r_[True, np.diff(token) != 0]
         length = np.diff(np.r_[np.flatnonzero(starts), len(token)])
         keep = np.repeat(length, length) > 1
-        return pd.DataFrame({"token": token[keep], "k": k[keep], "n": n[keep].astype(np.int32), "pos": place[keep]})
+        return pd.DataFrame({
+            "token": token[keep], "k": k[keep], "n": n[keep].astype(np.int32), "pos": place[keep], "mark": mark[keep].astype(np.int32),
+        })
 
     blobs = texts.where("id_ is not null and text_ is not null").select("text_").mapInPandas(index, "segment long, blob binary")
-    return blobs.groupBy("segment").applyInPandas(lists, "token long, k long, n int, pos int")
+    return blobs.groupBy("segment").applyInPandas(lists, "token long, k long, n int, pos int, mark int")
 
 
 def _possible(a: dict, b: dict, percent: int) -> np.ndarray:
     """Whether the bounds allow the pairs to be similar.
 
-    Of the shingles before the common one at most the lesser position can be shared, of those
-    after it at most the lesser rest; shingles that only one set has are never shared.
+    A prefix shingle that no other set has in its prefix may still lie beyond the prefix of the
+    other set. It is surely not shared if it stands before the common one, or anywhere in the
+    prefix that ends first. So of the shingles before the common one at most the listed ones
+    can be shared, and in the prefix that ends first this holds of those after it, too.
     """
     n, m = a["n"].astype(np.int64), b["n"].astype(np.int64)
-    rest = np.minimum(n - a["pos"], m - b["pos"])
-    most = np.minimum(np.minimum(a["pos"], b["pos"]) + rest, np.minimum(n - a["own"], m - b["own"]))
-    return most >= needed_overlap(n, m, percent)
 
+    def rest(x: dict, size: np.ndarray, first: np.ndarray) -> np.ndarray:
+        unlisted = prefix_length(size, percent) - x["pos"] - (x["listed"] - x["rank"])
+        return size - x["pos"] - np.where(first, unlisted, 0)
 
+    after = np.minimum(rest(a, n, a["mark"] < b["mark"]), rest(b, m, b["mark"] < a["mark"]))
+    return np.minimum(a["rank"], b["rank"]) + after >= needed_overlap(n, m, percent)
+
+
+_BOUNDS = ("n", "pos", "mark", "rank", "listed")
 _PAIR = "a long, b long"
 
 
@@ -182,8 +203,9 @@ def _pairs_frame(x: np.ndarray, y: np.ndarray) -> pd.DataFrame:
 
 def _leader_pairs(percent: int):
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        col = {c: frame[c].to_numpy(np.int64) for c in ("token", "k", "n", "pos", "own")}
-        by = np.lexsort((col["k"], col["own"], col["token"]))
+        col = {c: frame[c].to_numpy(np.int64) for c in ("token", "k", *_BOUNDS)}
+        own = prefix_length(col["n"], percent) - col["listed"]
+        by = np.lexsort((col["k"], own, col["token"]))
         col = {c: v[by] for c, v in col.items()}
         starts = np.r_[True, np.diff(col["token"]) != 0]
         leader = np.flatnonzero(starts)[np.cumsum(starts) - 1]
@@ -205,7 +227,7 @@ def _remaining_pairs(percent: int):
     """
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        col = {c: frame[c].to_numpy(np.int64) for c in ("token", "k", "n", "pos", "own", "class")}
+        col = {c: frame[c].to_numpy(np.int64) for c in ("token", "k", "class", *_BOUNDS)}
         by = np.lexsort((col["pos"], col["n"], col["token"]))
         col = {c: v[by] for c, v in col.items()}
         edges = np.r_[np.flatnonzero(np.r_[True, np.diff(col["token"]) != 0]), len(by)]
@@ -222,7 +244,7 @@ def _remaining_pairs(percent: int):
                     x, y = np.meshgrid(np.arange(a0, a1), np.arange(b0, b1), indexing="ij")
                     pick = (x < y) & (col["class"][x] != col["class"][y])
                     x, y = x[pick], y[pick]
-                    keep = _possible({c: v[x] for c, v in col.items()}, {c: v[y] for c, v in col.items()}, percent)
+                    keep = _possible({c: col[c][x] for c in _BOUNDS}, {c: col[c][y] for c in _BOUNDS}, percent)
                     xs.append(x[keep])
                     ys.append(y[keep])
         if not xs:
@@ -284,10 +306,11 @@ def jaccard_classes(
     rows = staged(described.withColumn("id_", F.col("id_").cast("long")), "jaccard-rows")
     classes = rows.where("n > 0 and id_ is not null").groupBy("k").agg(F.min("id_").alias("class"))
     entries = staged(prefix_lists(texts, words, percent), "jaccard-lists")
-    # How many of a set's prefix shingles no other set has in its prefix: these are not shared.
-    shared = entries.groupBy("k").agg(F.count("*").alias("shared"), F.max("n").alias("m"))
-    own = F.col("m") - F.floor((F.col("m") * percent + 99) / 100) + 1 - F.col("shared")
-    lists = entries.join(shared.select("k", own.cast("int").alias("own")), "k")
+    # Of a set's prefix: how many shingles are in a list, and how many of these come before each.
+    of_set = Window.partitionBy("k").orderBy("pos")
+    lists = entries.withColumn("rank", F.row_number().over(of_set) - 1).withColumn(
+        "listed", F.count("*").over(of_set.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).cast("int")
+    )
 
     def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler = Shingler(words)
@@ -312,14 +335,14 @@ def jaccard_classes(
     segments = partitions(spark)
     segment = F.pmod("token", F.lit(segments)).alias("segment")
     led = staged(
-        lists.select(segment, "token", "k", "n", "pos", "own").groupBy("segment")
+        lists.select(segment, "token", "k", *_BOUNDS).groupBy("segment")
         .applyInPandas(_leader_pairs(percent), _PAIR).distinct(),
         "jaccard-pairs",
     )
     links = links_among(led)
     joined = components(links, "a", "b")
     labelled = lists.join(joined.withColumnRenamed("node", "k"), "k", "left").select(
-        segment, "token", "k", "n", "pos", "own", F.coalesce("component", "k").alias("class")
+        segment, "token", "k", *_BOUNDS, F.coalesce("component", "k").alias("class")
     )
     rest = (
         labelled.groupBy("segment").applyInPandas(_remaining_pairs(percent), f"{_PAIR}, lists long, need long")

@@ -53,6 +53,28 @@ def test_classes(spark, monkeypatch, percent, words, many):
     assert got == _expected(rows, percent, words)
 
 
+@pytest.mark.parametrize("percent, words", [(90, 3), (80, 5)])
+def test_appended_and_deleted_passages(spark, monkeypatch, percent, words):
+    monkeypatch.setattr(jaccard_join, "HOT_DOCS", 3)
+    rng = random.Random(8)
+    vocabulary = [f"v{i}" for i in range(200)]
+    prose = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    page = prose(100)  # hot: many documents hold most of it
+    rows = [(i, " ".join(page + prose(rng.randint(40, 90)))) for i in range(8)]
+    doc_id = 100
+    for _ in range(120):
+        base = (page if rng.random() < 0.3 else []) + prose(rng.randint(30, 120))
+        n = round(len(base) * (100 - percent) / 100) + rng.randint(-3, 2)
+        new = [f"c{rng.randrange(10**6)}" for _ in range(n)] if rng.random() < 0.7 else prose(n)
+        changed = rng.choice([base + new, new + base, base[n:], base[:-n] if n else base])
+        rows += [(doc_id, " ".join(base)), (doc_id + 1, " ".join(changed))]
+        doc_id += 2
+    rng.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.jaccard_classes(docs, percent=percent, words=words).collect()}
+    assert got == _expected(rows, percent, words)
+
+
 def test_odd_rows(spark):
     rows = [(None, "a b c d", 1), (7, "a b c d", 2), (7, "a b c d", 3), (3, "a b c d", 4), (7, "x y z u", 5), (9, "x y z u", 6)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, k int")
