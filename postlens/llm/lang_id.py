@@ -2,8 +2,9 @@
 
 A text becomes a normalised TF-IDF vector of hashed byte 1-, 2- and 3-grams. Every language
 has several centroids, found by spherical k-means on a bounded sample of labelled documents.
-The language of the centroid with the greatest cosine is predicted; a text that is much
-farther from it than anything seen in training is marked as rejected.
+The language of the centroid with the greatest cosine is predicted. A text is rejected if it
+lies farther from it than texts of its length do that the language's centroids were made
+without; short texts lie farther away than long ones.
 """
 
 from __future__ import annotations
@@ -22,8 +23,12 @@ DIMENSIONS = 4096
 SLICES, EACH = 32, 8
 MAX_LANGUAGES = 1000
 CENTROIDS = 4
-# Rejected: a cosine below this share of the least one in the language's training sample.
-REJECT_SHARE = 0.3
+# Rejected: a cosine below REJECT_SHARE of the quantile LOW of the language's sample documents,
+# cut to LENGTHS bytes and measured with centroids of the other folds. Lengths that fewer than
+# MIN_MEASURED documents reach have the floor of the next shorter one.
+LOW, REJECT_SHARE = 0.02, 0.7
+LENGTHS = tuple(1 << i for i in range(2, 11))
+FOLDS, MIN_MEASURED = 4, 8
 UNDETERMINED = "und"
 
 _PIECE = 1 << 20
@@ -43,13 +48,17 @@ def _codes(data: np.ndarray) -> np.ndarray:
     return (codes * np.uint32(2654435761)) >> np.uint32(20)
 
 
+def _plain(text: str) -> bytes:
+    return b" " + b" ".join(text.lower().encode("utf-8", "replace").translate(_TO_SPACE).split()) + b" "
+
+
 def term_counts(texts: list[str | None]) -> np.ndarray:
     """One row of gram counts per text. Long texts are counted piece by piece."""
     counts = np.zeros((len(texts), DIMENSIONS), np.float32)
     for row, text in enumerate(texts):
         if not text:
             continue
-        plain = b" " + b" ".join(text.lower().encode("utf-8", "replace").translate(_TO_SPACE).split()) + b" "
+        plain = _plain(text)
         for at in range(0, len(plain), _PIECE):
             piece = np.frombuffer(plain[at : at + _PIECE + 2], np.uint8)
             if len(piece) > 2:
@@ -67,7 +76,7 @@ class Model:
     owner: np.ndarray  # language of each centroid
     centroids: np.ndarray
     idf: np.ndarray
-    least: np.ndarray  # cosine by language below which a text is rejected
+    floors: np.ndarray  # cosine by language and length below which a text is rejected
 
     def vectors(self, counts: np.ndarray) -> np.ndarray:
         return _normal(np.sqrt(counts) * self.idf)
@@ -76,15 +85,19 @@ class Model:
         """Language, cosine of the nearest centroid, and whether it is too far away."""
         if not self.languages:
             return [(UNDETERMINED, 0.0, True)] * len(texts)
-        cosines = self.vectors(term_counts(texts)) @ self.centroids.T
+        counts = term_counts(texts)
+        cosines = self.vectors(counts) @ self.centroids.T
         best = cosines.argmax(axis=1)
+        # Three grams start at every byte but the last ones.
+        lengths = np.log2(counts.sum(axis=1) / 3 + 1)
         out = []
-        for text, i, row in zip(texts, best, cosines):
+        for text, i, row, length in zip(texts, best, cosines, lengths):
             if not has_letter(text):
                 out.append((UNDETERMINED, 0.0, True))
             else:
                 owner, cosine = self.owner[i], float(min(1.0, max(0.0, row[i])))
-                out.append((self.languages[owner], cosine, cosine < self.least[owner]))
+                floor = np.interp(length, np.log2(LENGTHS), self.floors[owner])
+                out.append((self.languages[owner], cosine, bool(cosine < floor)))
         return out
 
 
@@ -102,21 +115,46 @@ def spherical_kmeans(rows: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return centroids
 
 
-def fit(counts: np.ndarray, labels: list[str], centroids: int = CENTROIDS) -> Model:
+def _floors(model: Model, rows: np.ndarray, heads: list[bytes], centroids: int) -> np.ndarray:
+    """Least cosine of a text that is not rejected, by length; nan where too few documents tell."""
+    folds = np.arange(len(rows)) % FOLDS
+    centers = [spherical_kmeans(rows[folds != i], centroids) if (folds != i).any() else None for i in range(FOLDS)]
+    out = np.full(len(LENGTHS), np.nan)
+    for n, length in enumerate(LENGTHS):
+        found = []
+        for i, center in enumerate(centers):
+            cut = [heads[at][:length] for at in np.flatnonzero(folds == i) if len(heads[at]) >= length]
+            if center is not None and cut:
+                vectors = model.vectors(np.stack([np.bincount(_codes(np.frombuffer(c, np.uint8)), minlength=DIMENSIONS) for c in cut]))
+                found += (vectors @ center.T).max(axis=1).tolist()
+        if len(found) >= MIN_MEASURED:
+            out[n] = REJECT_SHARE * max(0.0, np.quantile(found, LOW))
+        elif n:
+            out[n] = out[n - 1]  # shorter texts lie farther away
+    return out
+
+
+def fit(counts: np.ndarray, labels: list[str], heads: list[bytes], centroids: int = CENTROIDS) -> Model:
+    """``heads``: the first bytes, at least ``LENGTHS[-1]``, of the texts as they are counted."""
     languages = sorted(set(labels))
     number = np.array([languages.index(x) for x in labels], dtype=int)
     idf = np.log1p(len(labels) / (1.0 + (counts > 0).sum(axis=0))).astype(np.float32)
-    model = Model(languages, np.zeros(0, int), np.zeros((0, DIMENSIONS), np.float32), idf, np.zeros(len(languages)))
+    model = Model(
+        languages, np.zeros(0, int), np.zeros((0, DIMENSIONS), np.float32), idf, np.full((len(languages), len(LENGTHS)), np.nan)
+    )
     rows = model.vectors(counts)
     owner, found = [], []
     for i in range(len(languages)):
-        own = rows[number == i]
-        centers = spherical_kmeans(own, centroids)
+        own = np.flatnonzero(number == i)
+        centers = spherical_kmeans(rows[own], centroids)
         owner += [i] * len(centers)
         found.append(centers)
-        model.least[i] = REJECT_SHARE * (own @ centers.T).max(axis=1).min()
+        model.floors[i] = _floors(model, rows[own], [heads[at] for at in own], centroids)
     if found:
         model.owner, model.centroids = np.array(owner), np.concatenate(found).astype(np.float32)
+        # A language with too few documents has the floors of the least strict one.
+        known = np.where(np.isnan(model.floors), np.inf, model.floors).min(axis=0)
+        model.floors = np.where(np.isnan(model.floors), np.where(np.isinf(known), 0.0, known), model.floors)
     return model
 
 
@@ -139,14 +177,17 @@ def train(docs: DataFrame, may_learn: Column) -> Model:
         for batch in batches:
             batch = batch[[has_letter(t) for t in batch["text_"]]]
             counts = term_counts(batch["text_"].tolist()).astype(np.float32)
-            yield pd.DataFrame({"id_": batch["id_"], "lang_": batch["lang_"], "counts": [c.tobytes() for c in counts]})
+            yield pd.DataFrame({
+                "id_": batch["id_"], "lang_": batch["lang_"], "counts": [c.tobytes() for c in counts],
+                "head": [_plain(t)[: LENGTHS[-1]] for t in batch["text_"]],
+            })
 
     # At most MAX_LANGUAGES * SLICES * EACH narrow rows.
     sample = rows.join(F.broadcast(chosen), ["id_", "lang_"], "left_semi").select("id_", "lang_", "text_")
-    got = sample.mapInPandas(count, "id_ long, lang_ string, counts binary").toPandas()
+    got = sample.mapInPandas(count, "id_ long, lang_ string, counts binary, head binary").toPandas()
     got = got.sort_values(["lang_", "id_"], kind="stable")
     counts = np.array([np.frombuffer(c, np.float32) for c in got["counts"]]).reshape(-1, DIMENSIONS)
-    return fit(counts, got["lang_"].tolist())
+    return fit(counts, got["lang_"].tolist(), got["head"].tolist())
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:

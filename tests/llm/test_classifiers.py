@@ -51,6 +51,24 @@ def test_far_texts_are_rejected(spark, docs):
     assert lang_id.predict(strange, lang_id.train(empty, F.lit(True))).first()["lang_pred"] == "und"
 
 
+def test_unseen_latin_texts_are_rejected(spark):
+    words = {
+        "aa": "the of and to in is that for was with on are by this from water house people under between which there".split(),
+        "bb": "der die und das nicht ist ein zu den mit auf wasser haus leute unter zwischen welche durch auch werden".split(),
+    }
+    rng = random.Random(9)
+    prose = lambda lang, n: " ".join(rng.choices(words[lang], k=n))
+    rows = [(i, prose(lang, rng.randint(5, 80)), lang) for i in range(400) for lang in [rng.choice(["aa", "bb"])]]
+    rows += [(400, "qxz jvk", "aa"), (401, "xqj " * 30, "bb"), (402, "kk", "aa")]  # odd ones set no floor
+    model = lang_id.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True))
+    noise = lambda letters: ["".join(rng.choice(letters) for _ in range(n)) for n in (40, 200, 1000)]
+    strange = noise("bcdfghjklmnpqrstvwxz  ") + noise("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/")
+    strange += ["kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan " * n for n in (1, 5)]
+    assert all(rejected for _, _, rejected in model.predict(strange))
+    fresh = [prose(lang, n) for lang in words for n in (2, 5, 20, 80, 400) for _ in range(40)]
+    assert np.mean([rejected for _, _, rejected in model.predict(fresh)]) <= 0.02
+
+
 def test_long_texts_are_counted_in_pieces(monkeypatch):
     text = _prose(random.Random(2), "abcdef", 400)
     whole = lang_id.term_counts([text])
