@@ -129,7 +129,7 @@ def _blocks(items: DataFrame) -> Iterator[list[tuple[int, str]]]:
     """Items as (id, normalised text), in blocks of bounded size, one on the driver at a time."""
     held, size = [], 0
     rows = items.select(F.col("item_id").cast("long").alias("id_"), F.col("text").alias("text_")).where(
-        "id_ is not null and text_ is not null"
+        "text_ is not null"
     ).distinct().orderBy("id_", "text_")
     for row in rows.toLocalIterator():
         text = normalise(row["text_"])
@@ -150,7 +150,8 @@ def find_leaks(docs: DataFrame, items: DataFrame, chars_per_error: int = CHARS_P
     normalised text (start as if there were no edits). Whole texts are searched; null and empty
     texts and items match nothing; items of fewer than ``chars_per_error`` characters match
     unchanged only. Repeated documents give repeated rows; an item repeated with other text
-    counts once per text and is reported with its least distance.
+    counts once per text and is reported with its least distance. Items without an id are
+    searched like others; ``item_id`` is null for them, as if they shared an id.
     """
     # Ids as text, since a batch of numbers with a null becomes one of doubles.
     rows = docs.select(F.col("doc_id").cast("long").cast("string").alias("id_"), F.col("text").alias("text_"))
@@ -172,7 +173,9 @@ def _find_in_block(block: list[tuple[int, str]], chars_per_error: int):
                 for leak in index.leaks(normalise(text if isinstance(text, str) else None)):
                     least[leak[0]] = min(leak, least.get(leak[0], leak), key=lambda x: x[1:])
                 out += [(doc_id, *leak) for leak in least.values()]
-            yield pd.DataFrame(out, columns=["doc_id", "item_id", "distance", "start", "stop"])
+            frame = pd.DataFrame(out, columns=["doc_id", "item_id", "distance", "start", "stop"])
+            # Else numbers beside a null become doubles.
+            yield frame.assign(item_id=pd.array([x[1] for x in out], dtype="Int64"))
 
     return run
 

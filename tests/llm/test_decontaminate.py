@@ -71,3 +71,12 @@ def test_blocks_of_items_give_the_same(spark, monkeypatch):
     monkeypatch.setattr(d, "BLOCK_CHARS", 50)
     assert sorted((r["doc_id"], r["item_id"]) for r in d.find_leaks(docs, bench).collect()) == [(i, i) for i in range(6)]
     assert d.decontaminate(docs, bench).count() == 0
+
+
+def test_items_without_an_id(spark):
+    item, other = "which river is the longest of all in the south", "how many moons does the largest planet have"
+    docs = spark.createDataFrame([(1, f"so {item} and so"), (2, f"so {other}"), (3, "nothing here")], "doc_id long, text string")
+    items = spark.createDataFrame([(None, item), (2**62 + 1, other), (None, None)], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"], r["distance"]) for r in d.find_leaks(docs, items).collect()}
+    assert got == {(1, None, 0), (2, 2**62 + 1, 0)}
+    assert [r["doc_id"] for r in d.decontaminate(docs, items).collect()] == [3]
