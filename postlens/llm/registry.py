@@ -9,6 +9,7 @@ from postlens.llm import (
     lm_score,
     packing,
     periodic_runs,
+    ranked_search,
     suffix_dedup,
     toxicity,
     url_rules,
@@ -26,6 +27,7 @@ MODULES = (
     url_rules,
     toxicity,
     warc,
+    ranked_search,
     periodic_runs,
     license_scan,
 )
