@@ -26,14 +26,17 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from postlens.llm.common import LOWER, UPPER, discard, read_table, staged
 
-# A segment is closed when it has this many terms, repeats counted.
+# A segment is closed when it has this many terms, repeats counted, or documents.
 SEGMENT_TERMS = 4_000_000
+SEGMENT_DOCS = 65_535
 # Texts are cut into terms in pieces of this many bytes.
 PIECE = 1 << 22
 # Items are handed to the workers in blocks of at most this many different terms.
 BLOCK_TERMS = 40_000
 # Each term of an item is paired with this many that follow it in the order of weights.
 NEIGHBOURS = 2
+# A pair's list tells the joint impacts that so many of its documents reach.
+REACHED_BY = (1, 5, 20, 100)
 # Segments of the first search, which finds scores to start from. Results do not depend on it.
 FIRST_SEGMENTS = 16
 
@@ -46,10 +49,10 @@ _INDEX_ARROW = pa.schema([
     ("segment", pa.string()), ("term", pa.string()), ("df", pa.int64()), ("terms", pa.int64()),
     ("docs", pa.binary()), ("counts", pa.binary()),
 ])
-_LISTS = "segment string, a int, b int, docs binary, counts binary, most bigint"
+_LISTS = "segment string, a int, b int, docs binary, counts binary, reached array<bigint>"
 _LISTS_ARROW = pa.schema([
     ("segment", pa.string()), ("a", pa.int32()), ("b", pa.int32()), ("docs", pa.binary()), ("counts", pa.binary()),
-    ("most", pa.int64()),
+    ("reached", pa.list_(pa.int64())),
 ])
 _FOUND = "number int, item_id bigint, doc_id bigint, score bigint"
 _FOUND_ARROW = pa.schema([("number", pa.int32()), ("item_id", pa.int64()), ("doc_id", pa.int64()), ("score", pa.int64())])
@@ -96,13 +99,12 @@ class _Builder:
             self.held += size
 
     def batch(self, segment: str) -> pa.RecordBatch:
-        """A row for every term with its documents (as differences) and counts, one for the documents."""
+        """A row for every term with its documents and counts, one for the documents."""
         keys, counts = np.unique(np.concatenate(self.keys), return_counts=True)
-        term, docs = keys >> 32, (keys & 0xFFFFFFFF).astype(np.int32)
+        term, docs = keys >> 32, (keys & 0xFFFF).astype(np.uint16)
         bounds = np.r_[0, np.flatnonzero(np.diff(term)) + 1, len(term)]
         total = np.add.reduceat(counts, bounds[:-1])
-        gaps = np.diff(docs, prepend=np.int32(0))
-        gaps[bounds[:-1]] = docs[bounds[:-1]]
+        counts = counts.astype(np.uint16 if counts.max() < 1 << 16 else np.uint64)
         missing = np.array([i is None for i in self.ids])
         ids = np.array([0 if i is None else i for i in self.ids], np.int64)
         about = [ids.tobytes() + missing.tobytes()], [np.array(self.sizes, np.int64).tobytes()]
@@ -113,8 +115,8 @@ class _Builder:
             pa.array([*names, _DOCUMENTS]),
             pa.array(np.r_[df, len(ids)]),
             pa.array(np.r_[total, self.held]),
-            pa.concat_arrays([_binaries(gaps, bounds), pa.array(about[0], pa.binary())]),
-            pa.concat_arrays([_binaries(counts.astype(np.int32), bounds), pa.array(about[1], pa.binary())]),
+            pa.concat_arrays([_binaries(docs, bounds), pa.array(about[0], pa.binary())]),
+            pa.concat_arrays([_binaries(counts, bounds), pa.array(about[1], pa.binary())]),
         ]
         return pa.RecordBatch.from_arrays(columns, schema=_INDEX_ARROW)
 
@@ -123,8 +125,9 @@ def build_index(docs: DataFrame) -> DataFrame:
     """The documents as a stored index: one row for each segment and term.
 
     Columns ``segment, term, df, terms, docs, counts``: how many documents of the segment hold the
-    term, how often all of them, which (differences of places in the segment, 4 bytes each) and how
-    often each. The row with the empty term has the documents' ids and their numbers of terms.
+    term, how often all of them, which (places in the segment, 2 bytes each) and how often each (2
+    bytes, 8 where one of the segment's counts needs them). The row with the empty term has the
+    documents' ids and their numbers of terms.
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("id_"), F.col("text").cast("string").cast("binary").alias("text_"))
 
@@ -133,7 +136,7 @@ def build_index(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for doc_id, data in zip(batch.column(0).to_pylist(), batch.column(1)):
                 builder.add(doc_id, data.as_py())
-                if builder.held >= SEGMENT_TERMS:
+                if builder.held >= SEGMENT_TERMS or len(builder.ids) >= SEGMENT_DOCS:
                     yield builder.batch(f"{part}-{closed}")
                     builder, closed = _Builder(), closed + 1
         if builder.held:
@@ -181,27 +184,28 @@ class Segment:
 
     def __init__(self, table: pa.Table, block: Block):
         self.name = table["segment"][0].as_py()
-        columns = [table[c].to_pylist() for c in ("a", "b", "docs", "counts", "most")]
+        columns = [table[c].to_pylist() for c in ("a", "b", "docs", "counts", "reached")]
         self.docs: dict[int, np.ndarray] = {}
         self.impacts: dict[int, np.ndarray] = {}
-        self.joint: dict[tuple[int, int], tuple[np.ndarray, int]] = {}
+        self.both: dict[tuple[int, int], np.ndarray] = {}
+        self.reached: dict[tuple[int, int], list[int]] = {}
         about = columns[0].index(_ABOUT)
         ids, sizes = columns[2][about], np.frombuffer(columns[3][about], np.int64)
         self.ids = np.frombuffer(ids, np.int64, len(sizes))
         self.missing = np.frombuffer(ids, np.bool_, len(sizes), 8 * len(sizes))
         m = _length_part(sizes, block.n_docs, block.n_terms)
-        for a, b, docs, counts, most in zip(*columns):
+        for a, b, docs, counts, reached in zip(*columns):
             if b >= 0:
-                self.joint[a, b] = np.frombuffer(counts, np.int64), most
+                self.both[a, b], self.reached[a, b] = np.frombuffer(docs, np.uint16).astype(np.int64), reached
             elif a >= 0:
-                at = np.cumsum(np.frombuffer(docs, np.int32), dtype=np.int64)
-                tf = np.frombuffer(counts, np.int32).astype(np.int64)
+                at = np.frombuffer(docs, np.uint16).astype(np.int64)
+                tf = np.frombuffer(counts, np.uint16 if len(counts) == len(docs) else np.uint64).astype(np.int64)
                 self.docs[a] = at
                 self.impacts[a] = block.weights[a] * (1_000_000_000 * tf // (1000 * tf + 12 * m[at]))
         self.most = {a: int(x.max()) for a, x in self.impacts.items()}
 
     def pair_lists(self, pairs: dict[int, list[int]]) -> pa.Table:
-        """The documents that hold both terms of a pair, the sums of both impacts, and their maximum."""
+        """The documents that hold both terms of a pair; the greatest joint impact and those that 5, 20, 100 documents reach."""
         rows: list[tuple] = []
         other = np.full(len(self.ids), -1, np.int64)
         for a, partners in pairs.items():
@@ -213,9 +217,9 @@ class Segment:
                     of_a = other[self.docs[b]]
                     both = of_a >= 0
                     if both.any():
-                        joint = of_a[both] + self.impacts[b][both]
-                        docs = self.docs[b][both].astype(np.int32)
-                        rows.append((self.name, a, b, docs.tobytes(), joint.tobytes(), int(joint.max())))
+                        joint = np.sort(of_a[both] + self.impacts[b][both])[::-1]
+                        reached = [int(joint[n - 1]) for n in REACHED_BY if n <= len(joint)]
+                        rows.append((self.name, a, b, self.docs[b][both].astype(np.uint16).tobytes(), b"", reached))
             other[self.docs[a]] = -1
         columns = zip(*rows) if rows else [[]] * len(_LISTS_ARROW)
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _LISTS_ARROW)], schema=_LISTS_ARROW)
@@ -228,14 +232,14 @@ class Segment:
             for b in pairs.get(a, ()):
                 if b not in own:
                     continue
-                joint, most = self.joint.get((a, b), (np.zeros(0, np.int64), 0))
-                n = min(query[a], query[b])
-                # What one of them comes more often than the other counts by its own maximum.
-                both = n * most + (query[a] - n) * self.most[a] + (query[b] - n) * self.most[b] if len(joint) else 0
-                bound = max(min(both, own[a] + own[b]), own[a], own[b])
+                bound, reached = max(own[a], own[b]), self.reached.get((a, b))
+                if reached:
+                    n = min(query[a], query[b])
+                    # What one of them comes more often than the other counts by its own maximum.
+                    joint = n * reached[0] + (query[a] - n) * self.most[a] + (query[b] - n) * self.most[b]
+                    bound = max(bound, min(joint, own[a] + own[b]))
+                    floor = max([floor, *(n * x for of, x in zip(REACHED_BY, reached) if of >= k)])
                 savings.append((own[a] + own[b] - bound, a, b, bound))
-                if len(joint) >= k:
-                    floor = max(floor, n * int(np.partition(joint, -k)[-k]))
         units, free = [], set(own)
         for _, a, b, bound in sorted(savings, reverse=True):
             if a in free and b in free:
@@ -250,9 +254,14 @@ class Segment:
         floor = max(floor, reached, 1)
         left = sum(bound for bound, _ in units)
         score = np.zeros(len(self.ids), np.int64)
-        at = 0
+        at, more = 0, np.zeros(0, np.int64)
         while at < len(units) and left >= floor:
             bound, terms = units[at]
+            alone = max(query[t] * self.most[t] for t in terms)
+            if left - bound + alone < floor:
+                # With one of the two terms a new document cannot get there: only those with both may enter.
+                more = self.both.get((min(terms), max(terms)), more)
+                break
             for t in terms:
                 score[self.docs[t]] += query[t] * self.impacts[t]
             if len(score) >= k:
@@ -260,7 +269,9 @@ class Segment:
             left -= bound
             at += 1
         # What holds only unread terms stays below the floor: from here on, only these can be among the best.
-        docs = np.flatnonzero((score > 0) & (score + left >= floor))
+        open_ = (score > 0) & (score + left >= floor)
+        open_[more] = True
+        docs = np.flatnonzero(open_)
         values = score[docs]
         for bound, terms in units[at:]:
             for t in terms:
@@ -302,7 +313,7 @@ def _lists_of(index: DataFrame, terms: list[str]) -> DataFrame:
         [*((t, a) for a, t in enumerate(terms)), (_DOCUMENTS, _ABOUT)], "term string, a int"
     )
     return index.join(F.broadcast(numbered), "term").select(
-        "segment", "a", F.lit(-1).alias("b"), "docs", "counts", F.lit(0).cast("bigint").alias("most")
+        "segment", "a", F.lit(-1).alias("b"), "docs", "counts", F.lit(None).cast("array<bigint>").alias("reached")
     )
 
 

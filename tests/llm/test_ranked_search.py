@@ -76,7 +76,7 @@ def test_segments_against_scoring_all():
         for with_pairs in (True, False):
             found = [[] for _ in items]
             for n in range(5):
-                lists = [(x["segment"], number[x["term"]], -1, x["docs"], x["counts"], 0) for x in rows if x["segment"] == str(n) and x["term"] in number]
+                lists = [(x["segment"], number[x["term"]], -1, x["docs"], x["counts"], None) for x in rows if x["segment"] == str(n) and x["term"] in number]
                 table = lambda more=(): pa.Table.from_arrays(
                     [pa.array(c, f.type) for c, f in zip(zip(*[*lists, *more]), r._LISTS_ARROW)], schema=r._LISTS_ARROW
                 )
@@ -102,7 +102,7 @@ def test_pair_bounds_hold_and_are_tighter():
     block = r.Block(200, sum(x["terms"] for x in rows if x["term"] == ""), terms, [900, 900, 300, 400, 800])
     block.queries = [{0: 1, 1: 1, 2: 3, 3: 1, 4: 2}]
     block.choose_pairs()
-    lists = [("0", number[x["term"]], -1, x["docs"], x["counts"], 0) for x in rows if x["term"] in number]
+    lists = [("0", number[x["term"]], -1, x["docs"], x["counts"], None) for x in rows if x["term"] in number]
     table = lambda more=(): pa.Table.from_arrays(
         [pa.array(c, f.type) for c, f in zip(zip(*[*lists, *more]), r._LISTS_ARROW)], schema=r._LISTS_ARROW
     )
