@@ -179,6 +179,16 @@ request_posts as (
   from request_chosen qualify rank <= n2)
 """
 
+# Wide topic queries for every nation: other requests, the same steps.
+WIDE = REQUESTS[REQUESTS.index("matched as"):]
+WIDE_REQUESTS = f"""
+requests as (
+  select n_nationkey as request_id, n_nationkey * 3 as uid_lo, 4611686018427387904 as uid_hi,
+         1704067200 + n_nationkey * 7000 as t_lo, 1704067200 + (30 - n_nationkey) * 90001 as t_hi,
+         3 + n_nationkey as n1, 4 as n2
+  from nation),
+{WIDE}"""
+
 PER_CONTACT = """
 select {by} f.user2_id, coalesce(max(f.user2_screen_name), '') as screen_name, coalesce(max(f.user2_desc), '') as description,
        arg_max(f.text, row(f.hits, f.created_at, f.text)) as text, cast(sum(f.hits) as bigint) as phrase_hits,
@@ -283,6 +293,7 @@ ORACLES: dict[str, str] = {
         from impacts where post_id in (select post_id from chosen) qualify rank <= 10""",
     "topic_requests": f"with {TOPICS}, {REQUESTS} select * from request_top",
     "topic_requests_posts": f"with {TOPICS}, {REQUESTS} select * from request_posts",
+    "topic_requests_wide": f"with {TOPICS}, {WIDE_REQUESTS} select * from request_top",
     "rot13_decode": """select doc_id, translate(text, 'abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ',
         'nopqrstuvwxyzabcdefghijklmNOPQRSTUVWXYZABCDEFGHIJKLM') as decoded from documents""",
     "post_json_lines": f"""with {RAW_DOCUMENTS}
@@ -306,6 +317,8 @@ for _route, _key in (
     ("scored_posts_by_tables", "scored_posts"),
     ("word_weight_by_table", "word_weight"),
     ("topic_words_stored", "topic_words"),
+    ("topic_requests_by_cells", "topic_requests"),
+    ("topic_requests_posts_by_cells", "topic_requests_posts"),
     ("topic_posts_stored", "topic_posts"),
 ):
     ORACLES[_route] = ORACLES[_key]

@@ -17,8 +17,10 @@ from postlens.functions.text import (
     strip_urls,
 )
 from postlens.operators import clean, contacts, nesting, payloads, topics
+from postlens.operators.cells import cells_of
 from postlens.operators.dictionaries import drop_stopwords, with_censored_text
-from postlens.plans import contact_query, reports, topic_query, topic_requests
+from postlens.operators.grid import Grid
+from postlens.plans import contact_query, reports, topic_cells, topic_query, topic_requests
 from postlens.plans.contact_jobs import contact_tables
 from postlens.plans.topic_jobs import scored_posts
 from postlens.sources import readers
@@ -29,6 +31,7 @@ EVERYTHING = (0, 2**62, 0, 2**62)
 SOME_RANGE = (10, 60, 1704067200, 1705000000)
 USER, PHRASE, TOP = 8, "the", 10
 N_WORDS, N_POSTS = 20, 10
+GRID = Grid(((3, 15), (6, 18), (9, 21)))
 
 
 def _shown_nulls(df):
@@ -291,6 +294,32 @@ def requested_posts(spark, sf):
     return ranked.withColumn("rank", F.col("rank").cast("bigint"))
 
 
+def _posts_words_cells(spark, sf):
+    posts, words = t.impact_posts(spark, sf), _stored_words(spark, sf)
+    return posts, words, cells_of(posts, words, GRID), GRID
+
+
+def requested_words_by_cells(spark, sf):
+    ranked = topic_cells.request_words_by_cells(
+        t.topic_requests(spark, sf), *_posts_words_cells(spark, sf), censor=t.CENSOR
+    )
+    return ranked.withColumn("rank", F.col("rank").cast("bigint"))
+
+
+def requested_posts_by_cells(spark, sf):
+    ranked = topic_cells.request_posts_by_cells(
+        t.topic_requests(spark, sf), *_posts_words_cells(spark, sf), censor=t.CENSOR
+    )
+    return ranked.withColumn("rank", F.col("rank").cast("bigint"))
+
+
+def wide_requested_words(spark, sf):
+    ranked = topic_cells.request_words_by_cells(
+        t.wide_topic_requests(spark, sf), *_posts_words_cells(spark, sf), censor=t.CENSOR
+    )
+    return ranked.withColumn("rank", F.col("rank").cast("bigint"))
+
+
 def censored_by_table(spark, sf):
     censored = with_censored_text(t.documents(spark, sf).select("doc_id", "text"), _word_table(spark, t.CENSOR))
     return censored.select("doc_id", "censored_text")
@@ -409,6 +438,9 @@ QUERIES: dict[str, Query] = {
     "topic_posts": topic_posts,
     "topic_requests": requested_words,
     "topic_requests_posts": requested_posts,
+    "topic_requests_by_cells": requested_words_by_cells,
+    "topic_requests_posts_by_cells": requested_posts_by_cells,
+    "topic_requests_wide": wide_requested_words,
     "rot13_decode": rot13_decode,
     "contact_report": contact_report,
     "topic_report": topic_report,

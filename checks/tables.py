@@ -205,3 +205,17 @@ def topic_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.lit(5) + F.col("s_nationkey")).cast("string").alias("n1"),
         F.col("s_nationkey").cast("string").alias("n2"),
     )
+
+
+def wide_topic_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One request per nation over most users and times; later nations leave more out at both ends."""
+    key = F.col("n_nationkey").cast("bigint")
+    return table(spark, sf_dir, "nation").select(
+        key.alias("request_id"),
+        (key * 3).alias("uid_lo"),
+        F.lit(2**62).alias("uid_hi"),
+        (F.lit(1704067200) + key * 7000).alias("t_lo"),
+        (F.lit(1704067200) + (30 - key) * 90001).alias("t_hi"),
+        (F.lit(3) + key).cast("string").alias("n1"),
+        F.lit("4").alias("n2"),
+    )

@@ -81,6 +81,14 @@ def _post_weight(variant: str) -> Column:
     return F.log(impact + 1 if variant == "ln_impact_plus_1" else impact)
 
 
+def word_addend(variant: str = VARIANTS[0]) -> Column:
+    """What one word row adds to the weight of its word.
+
+    Decimals add up to the same sum in any order, however large it is.
+    """
+    return (F.col("cnt") / F.col("num_words") * _post_weight(variant)).cast(ADDEND)
+
+
 def word_weight(
     words: DataFrame, by: tuple[str, ...] = (), variant: str = VARIANTS[0]
 ) -> DataFrame:
@@ -89,10 +97,8 @@ def word_weight(
     Word rows are distinct per post already, so the post count is a plain count and both
     values are merged before the shuffle: a common word costs one row per task.
     """
-    # Decimals add up to the same sum in any order, however large it is.
-    addend = (F.col("cnt") / F.col("num_words") * _post_weight(variant)).cast(ADDEND)
     return words.groupBy(*by, "word").agg(
-        F.count("*").alias("posts"), F.sum(addend).cast("double").alias("weight")
+        F.count("*").alias("posts"), F.sum(word_addend(variant)).cast("double").alias("weight")
     )
 
 

@@ -7,8 +7,10 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from postlens.functions.text import lower_words
+from postlens.operators.cells import Cells, coarser_totals, coarser_words, finest_totals, finest_words
 from postlens.operators.clean import clean_topic_posts, dedupe_posts
 from postlens.operators.dictionaries import Words, with_censored_text
+from postlens.operators.grid import Grid
 from postlens.operators.topics import post_words, with_impact
 from postlens.sources.readers import read_posts, read_table, read_words
 from postlens.sources.sinks import cluster, table_path, write_jdbc, write_table
@@ -52,6 +54,33 @@ def run_topic_etl(
     write_table(words, table_path(output_path, "post_words", suffix))
 
 
+def run_topic_cells(
+    spark: SparkSession, posts_path: str, words_path: str, output_path: str, grid: Grid, suffix: str | None = None
+) -> None:
+    """Posts and words to the tables ``cell_totals`` and ``cell_words``, a folder for each level.
+
+    Every level is read back to make the next: it has fewer rows than the words it came from.
+    """
+    totals_path, words_out = (table_path(output_path, name, suffix) for name in ("cell_totals", "cell_words"))
+    totals = finest_totals(read_table(spark, posts_path).select("user_id", "created_at"), grid)
+    words = finest_words(read_table(spark, words_path), grid)
+    for level in range(len(grid.bits)):
+        if level:
+            totals, words = coarser_totals(totals, grid, level), coarser_words(words, grid, level)
+        for df, path in ((totals, totals_path), (words, words_out)):
+            write_table(cluster(df.drop("level"), ["u_cell", "t_cell"]), f"{path}/level={level}")
+        totals, words = (_level(spark, path, level) for path in (totals_path, words_out))
+
+
+def _level(spark: SparkSession, path: str, level: int) -> DataFrame:
+    return read_table(spark, f"{path}/level={level}").withColumn("level", F.lit(level))
+
+
+def read_cells(spark: SparkSession, output_path: str, suffix: str | None = None) -> Cells:
+    """The cells that ``run_topic_cells`` has written."""
+    return Cells(*(read_table(spark, table_path(output_path, name, suffix)) for name in ("cell_totals", "cell_words")))
+
+
 def export_topics(
     scored: DataFrame, url: str, table: str, properties: Mapping[str, str], text_type: str, **options
 ) -> None:

@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from postlens.functions.arguments import whole_number_column
 from postlens.operators.dictionaries import Words, drop_stopwords, with_censored_text
+from postlens.operators.grid import BOX, meet
 from postlens.operators.skew import top_per_group
 from postlens.operators.topics import count_words, explode_counts, scored_words, word_weight
 from postlens.plans.topic_query import best_posts_first, best_words_first, with_shown_word
 
-CELL = ["u_level", "t_level", "u_cell", "t_cell"]
-LEVEL_STEP = 4
-TOP_LEVEL = 63
 WORDS_PER_ARRAY = 10_000
 
 
@@ -26,44 +24,15 @@ def valid_topic_requests(requests: DataFrame) -> DataFrame:
     )
 
 
-def _level(lo: str, hi: str) -> Column:
-    """Cell size, as a power of two, for a range: it then touches one or two cells."""
-    width = F.try_subtract(F.col(hi), F.col(lo))
-    bits = F.when(width == 0, 0).otherwise(F.length(F.bin(width)))
-    stepped = F.ceil(bits / LEVEL_STEP) * LEVEL_STEP
-    return F.least(F.coalesce(stepped, F.lit(TOP_LEVEL)), F.lit(TOP_LEVEL)).cast("int")
-
-
-def _cell(value: str, level: str) -> Column:
-    return F.call_function("shiftright", F.col(value), F.col(level))
-
-
 def match_requests(requests: DataFrame, posts: DataFrame) -> DataFrame:
     """``[request_id, n1, n2, post_id, impact]``: posts of every valid request, a row each.
 
-    Only ids, times and impacts of posts go through the grid; post ids are unique.
-
-    A request picks a cell size to fit its ranges and so lies in one to four cells, however
-    wide it is. A post lies in one cell of each size in use; there are few sizes, at most
-    17 x 17. Requests and posts meet by cell, and the exact ranges are checked then. Request
-    tables of usual size are broadcast by the planner; beyond that, adaptive execution cuts
-    the partition of a crowded cell, as nothing after the join relies on its partitioning.
+    Only ids, times and impacts of posts go through the join; post ids are unique.
     """
-    valid = valid_topic_requests(requests).withColumns(
-        {"u_level": _level("uid_lo", "uid_hi"), "t_level": _level("t_lo", "t_hi")}
-    )
-    for name, level, lo, hi in (("u_cell", "u_level", "uid_lo", "uid_hi"), ("t_cell", "t_level", "t_lo", "t_hi")):
-        valid = valid.withColumn(name, F.explode(F.sequence(_cell(lo, level), _cell(hi, level))))
-    sizes = valid.agg(F.collect_set(F.struct("u_level", "t_level")).alias("sizes")).scalar()
-    placed = (
-        posts.select("post_id", "user_id", "created_at", "impact").withColumn("size", F.explode(sizes))
-        .withColumns({"u_level": F.col("size.u_level"), "t_level": F.col("size.t_level")})
-        .withColumns({"u_cell": _cell("user_id", "u_level"), "t_cell": _cell("created_at", "t_level")})
-        .drop("size")
-    )
-    return placed.join(valid, CELL).where(
-        "user_id between uid_lo and uid_hi and created_at between t_lo and t_hi"
-    ).select("request_id", "n1", "n2", "post_id", "impact")
+    ranges = zip(BOX, ("uid_lo", "uid_hi", "t_lo", "t_hi"))
+    valid = valid_topic_requests(requests).withColumnsRenamed({c: side for side, c in ranges})
+    narrow = posts.select("post_id", "user_id", "created_at", "impact")
+    return meet(valid, narrow, "user_id", "created_at").drop("user_id", "created_at")
 
 
 def _counted(posts: DataFrame) -> DataFrame:
