@@ -260,6 +260,12 @@ ORACLES: dict[str, str] = {
     "contact_nested": f"""with {CONTACTS}
         select user1_id, count(distinct user2_id) as n_contacts, count(*) as n_texts, max(created_at) as latest
         from facts group by 1""",
+    "contact_list": f"""with {CONTACTS},
+        per_contact as (
+          select user1_id, user2_id, coalesce(max(user2_screen_name), '<null>') as screen_name, count(*) as n_texts,
+                 min(created_at) as first_time, max(created_at) as last_time, arg_max(text, row(created_at, text)) as last_text
+          from facts where user1_id = 8 group by 1, 2)
+        select *, row_number() over (order by user2_id) as place from per_contact""",
     "contact_json_roundtrip": f"""with {CONTACTS}
         select user1_id, user2_id, count(*) as n_texts, cast(sum(length(text)) as bigint) as n_chars,
                cast(sum(created_at) as bigint) as sum_times, coalesce(max(user2_screen_name), '') as screen_name,
@@ -286,6 +292,8 @@ ORACLES: dict[str, str] = {
         select w.word, count(*) as posts, round(sum(w.cnt * ln(i.impact + 1) / i.num_words), 6) as weight
         from word_rows w join impacts i using (post_id) group by 1""",
     "topic_words": f"with {TOPICS}, {top_words('u.impact + 1')} select * from top",
+    "word_ranking": f"""with {TOPICS}, {top_words('u.impact + 1')}
+        select row_number() over (order by score desc, word) as rank, word, posts, round(score, 6) as score from ranked""",
     "topic_words_ln": f"with {TOPICS}, {top_words('u.impact', 'impact > 0')} select * from top",
     "topic_posts": f"""with {TOPICS}, {top_words('u.impact + 1')},
         chosen as (select distinct post_id from word_rows where word in (select word from top))
@@ -298,7 +306,10 @@ ORACLES: dict[str, str] = {
         'nopqrstuvwxyzabcdefghijklmNOPQRSTUVWXYZABCDEFGHIJKLM') as decoded from documents""",
     "post_json_lines": f"""with {RAW_DOCUMENTS}
         select post_id, coalesce(text, '<null>') as text, coalesce(reshare_count, -1) as retweet_count
-        from flat where coalesce(reshare_count, 0) not in (7, 8)""",
+        from flat where coalesce(reshare_count, 0) not in (7, 8, 9, 10)""",
+    "rejected_lines": f"""with {RAW_DOCUMENTS}
+        select case coalesce(reshare_count, 0) when 7 then 'no json' when 8 then 'field favorite_count' when 9 then 'blank'
+               when 10 then 'no object' else 'good' end as reason, count(*) as n from flat group by 1""",
     "word_lines": """select lower(translate(c_name, 'abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ',
         'nopqrstuvwxyzabcdefghijklmNOPQRSTUVWXYZABCDEFGHIJKLM')) as word from customer where c_nationkey > 0""",
     "censor_lines": "select lower(c_name) as word, lower(c_mktsegment) as mask from customer where c_nationkey > 0",
@@ -317,12 +328,14 @@ for _route, _key in (
     ("scored_posts_by_tables", "scored_posts"),
     ("word_weight_by_table", "word_weight"),
     ("topic_words_stored", "topic_words"),
+    ("post_range_scan_stored", "post_range_scan"),
     ("topic_requests_by_cells", "topic_requests"),
     ("topic_requests_posts_by_cells", "topic_requests_posts"),
     ("topic_posts_stored", "topic_posts"),
 ):
     ORACLES[_route] = ORACLES[_key]
 
+ORACLES["topic_serving"] = f"select * exclude (censored_text) from ({ORACLES['scored_posts']})"
 ORACLES["contact_report"] = f"""
     select string_agg(screen_name || chr(9) || description || chr(9) || text, chr(10) order by rank) as report
     from ({ORACLES['contact_rank']})"""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -20,10 +21,13 @@ from postlens.operators import clean, contacts, nesting, payloads, topics
 from postlens.operators.cells import cells_of
 from postlens.operators.dictionaries import drop_stopwords, with_censored_text
 from postlens.operators.grid import Grid
+from postlens.operators.skew import top_rows
 from postlens.plans import contact_query, reports, topic_cells, topic_query, topic_requests
 from postlens.plans.contact_jobs import contact_tables
-from postlens.plans.topic_jobs import scored_posts
+from postlens.plans.topic_jobs import scored_posts, serving_posts
 from postlens.sources import readers
+from postlens.sources.sinks import cluster_on_curve, write_table
+from postlens.sources.staging import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -118,17 +122,29 @@ def contact_serving(spark, sf):
     return _rounded(contacts.contact_fact(scored_contacts, t.profiles(all_contacts), heavy))
 
 
-def json_lines(spark, sf):
-    """Raw posts as JSON text and back; some lines are cut short, some hold a word for a number."""
+def _document_lines(spark, sf):
+    """Raw posts as JSON text; some lines are cut short, some hold a word for a number, some are blank or bare."""
     raw = t.raw_document_posts(spark, sf)
     line = F.to_json(F.struct(*raw.columns))
     value = F.when(F.col("retweet_count") == 7, F.substring(line, 1, 60)).when(
         F.col("retweet_count") == 8, F.regexp_replace(line, '"favorite_count":[0-9]+', '"favorite_count":"many"')
-    ).otherwise(line)
-    posts = readers.parse_posts(raw.select(value.alias("value")))
+    ).when(F.col("retweet_count") == 9, "  ").when(F.col("retweet_count") == 10, "[1, 2]").otherwise(line)
+    return raw.select(value.alias("value"))
+
+
+def json_lines(spark, sf):
+    posts = readers.parse_posts(_document_lines(spark, sf))
     return _shown_nulls(posts.select(F.col("id").alias("post_id"), "text", "retweet_count"))
 
 
+def rejected_lines(spark, sf):
+    """How many of the lines above are dropped, by reason, with those that stay."""
+    lines = _document_lines(spark, sf)
+    reasons = readers.rejected_lines(lines).groupBy("reason").agg(F.count("*").alias("n"))
+    good = readers.parse_posts(lines).agg(F.lit("good").alias("reason"), F.count("*").alias("n"))
+    return reasons.unionByName(good)
+
+
 def word_lines(spark, sf):
     lines = t.table(spark, sf, "customer").select(F.when(F.col("c_nationkey") > 0, F.col("c_name")).otherwise("").alias("value"))
     return readers.parse_words(lines, obscured=True)
@@ -203,6 +219,31 @@ def contact_json_roundtrip(spark, sf):
     )
 
 
+def contact_list(spark, sf):
+    """The nested contacts of one user in their order, with the ends of each list of texts."""
+    contact = nesting.contact_list(_nested(spark, sf), USER).select("user1_id", F.posexplode("contacts"))
+    posts = F.col("col.posts")
+    return _shown_nulls(contact.select(
+        "user1_id",
+        (F.col("pos") + 1).cast("bigint").alias("place"),
+        "col.user2_id",
+        F.col("col.user2_screen_name").alias("screen_name"),
+        F.size(posts).cast("bigint").alias("n_texts"),
+        F.get(posts, F.lit(0))["created_at"].alias("first_time"),
+        F.get(posts, F.size(posts) - 1)["created_at"].alias("last_time"),
+        F.get(posts, F.size(posts) - 1)["text"].alias("last_text"),
+    ))
+
+
+def post_range_scan_stored(spark, sf):
+    """The range scan on a written table that lies on a curve over user and time."""
+    posts = t.posts(spark, sf).select("post_id", "user_id", "created_at", "text")
+    path = f"{shared_folder(spark, t.work_folder(spark))}/posts-{uuid.uuid4().hex}"
+    write_table(cluster_on_curve(posts, ["user_id", "created_at"], ["post_id"]), path)
+    chosen = topics.posts_in_range(readers.read_table(spark, path), *SOME_RANGE)
+    return chosen.select("post_id", "user_id", "created_at")
+
+
 def post_range_scan(spark, sf):
     chosen = topics.posts_in_range(t.posts(spark, sf), *SOME_RANGE)
     return chosen.select("post_id", "user_id", "created_at")
@@ -253,11 +294,24 @@ def scored(spark, sf):
     return scored_posts(t.raw_document_posts(spark, sf), t.STOP, t.CENSOR)
 
 
+def serving_posts_(spark, sf):
+    return serving_posts(scored(spark, sf))
+
+
 def word_weight(spark, sf):
     weights = topics.word_weight(topics.post_words(t.impact_posts(spark, sf), words="words"))
     return drop_stopwords(weights, t.STOP).withColumn("weight", F.round("weight", 6))
 
 
+def word_ranking(spark, sf):
+    """Every word with its rank, not only the first ones."""
+    posts = t.impact_posts(spark, sf)
+    weights = drop_stopwords(topics.word_weight(topics.post_words(posts, words="words")), t.STOP)
+    scored_ = topics.scored_words(weights, posts.agg(F.count("*")).scalar())
+    ranked = top_rows(scored_, topic_query.best_words_first(), 10**6, staging_folder=t.work_folder(spark))
+    return ranked.select(F.col("rank").cast("bigint"), "word", "posts", F.round("score", 6).alias("score"))
+
+
 def _topic_words(spark, sf, **options):
     words = topic_query.topic_words(
         t.impact_posts(spark, sf), *EVERYTHING, N_WORDS, t.STOP, t.CENSOR, **options
@@ -423,8 +477,10 @@ QUERIES: dict[str, Query] = {
     "contact_rank": contact_rank,
     "contact_requests": contact_requests,
     "contact_nested": contact_nested,
+    "contact_list": contact_list,
     "contact_json_roundtrip": contact_json_roundtrip,
     "post_range_scan": post_range_scan,
+    "post_range_scan_stored": post_range_scan_stored,
     "strip_urls": stripped_urls,
     "extract_words": extracted_words,
     "word_explode": word_explode,
@@ -432,7 +488,9 @@ QUERIES: dict[str, Query] = {
     "impact_score": impact_score,
     "censor_text": censored_text,
     "scored_posts": scored,
+    "topic_serving": serving_posts_,
     "word_weight": word_weight,
+    "word_ranking": word_ranking,
     "topic_words": topic_words,
     "topic_words_ln": topic_words_ln,
     "topic_posts": topic_posts,
@@ -445,6 +503,7 @@ QUERIES: dict[str, Query] = {
     "contact_report": contact_report,
     "topic_report": topic_report,
     "post_json_lines": json_lines,
+    "rejected_lines": rejected_lines,
     "word_lines": word_lines,
     "censor_lines": censor_lines,
     "censor_text_by_table": censored_by_table,

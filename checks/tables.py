@@ -20,6 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def work_folder(spark: SparkSession) -> str | None:
+    """Where a local session that names no shared folder may keep intermediate tables."""
+    return "/tmp/postlens-shared" if spark.sparkContext.master.startswith("local[") else None
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
@@ -126,9 +131,14 @@ def raw_document_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document as a clean post, with the author and time of its event."""
+    """Every document as a clean post, with the author and time of its event.
+
+    Both tables grow alike, so the join is a shuffled one, whatever the size of the smaller. Texts
+    are cut after it, in as many tasks as there are shuffle partitions and not files.
+    """
     events = table(spark, sf_dir, "events")
-    return documents(spark, sf_dir).join(events, F.col("doc_id") == F.col("event_id")).select(
+    docs = documents(spark, sf_dir).hint("shuffle_hash")
+    return docs.join(events, F.col("doc_id") == F.col("event_id")).select(
         F.col("doc_id").alias("post_id"),
         "user_id",
         F.expr(EPOCH).alias("created_at"),

@@ -85,17 +85,51 @@ def text_segments(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(TOKEN_OR_GAP), F.lit(0))
 
 
+def any_word(words: Collection[str]) -> str:
+    """A pattern for one of some lower-case words, common beginnings written once."""
+    tree: dict = {}
+    for word in words:
+        node = tree
+        for c in word:
+            node = node.setdefault(c, {})
+        node[""] = {}
+
+    def branch(node: dict) -> str:
+        ways = [re.escape(c) + branch(after) for c, after in sorted(node.items()) if c]
+        if not ways:
+            return ""
+        inner = ways[0] if len(ways) == 1 else "|".join(ways)
+        return f"(?:{inner})?+" if "" in node else f"(?:{inner})" if len(ways) > 1 else inner
+
+    return branch(tree)
+
+
+def _token_start_and_rest(words: Collection[str]) -> tuple[str, str]:
+    """Patterns for the first character and for the rest of a token which is one of the words, in any case.
+
+    The first is a plain choice of characters: nearly all places of a text fail there, at little
+    cost. Only then it looks back whether a token starts.
+    """
+    by_first: dict[str, list[str]] = {}
+    for word in words:
+        by_first.setdefault(word[0], []).append(word[1:])
+    ways = "|".join(f"(?<=[{c}{c.upper()}])(?i:{any_word(rest)})" for c, rest in sorted(by_first.items()))
+    first = "".join(sorted({x for c in by_first for x in (c, c.upper())}))
+    return f"([{first}])(?<![A-Za-z0-9].)", f"(?:{ways})(?![A-Za-z0-9])"
+
+
 def censor_text(text: Column, words: Collection[str]) -> Column:
     """Mask every token whose lower-case form is one of ``words``, inside URLs too."""
-    if not words:
+    # Shorter words stay as they are; what holds other characters is no token.
+    masked_words = sorted({w for w in words if len(w) > 2 and re.fullmatch("[a-z0-9]+", w)})
+    if not masked_words:
         return text
-    listed = lambda token: F.lower(token).isin(*words)
-    masked = F.transform(
-        text_segments(text), lambda seg: F.when(listed(seg), mask_word(seg)).otherwise(seg)
-    )
-    # Most texts hold no listed word; they are not taken apart.
-    hit = F.exists(F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0)), listed)
-    return F.when(hit, F.array_join(masked, "")).otherwise(text)
+    shown = text
+    for size in sorted({len(w) for w in masked_words}):
+        start, rest = _token_start_and_rest([w for w in masked_words if len(w) == size])
+        shown = F.regexp_replace(shown, f"{start}(?={rest}).{{{size - 2}}}(.)", f"$1{'*' * (size - 2)}$2")
+    # Most texts hold no listed word; nothing is replaced in them.
+    return F.when(F.rlike(text, F.lit("".join(_token_start_and_rest(masked_words)))), shown).otherwise(text)
 
 
 def _count_bounded(text: Column, pattern: Column, opens: Column, closes: Column) -> Column:

@@ -11,15 +11,15 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, functions as F
 
 from postlens.operators.grid import Grid
-from postlens.operators.topics import VARIANTS, word_addend
+from postlens.operators.topics import ADDENDS, VARIANTS, summed, with_addends
 
 CELL = ("level", "u_cell", "t_cell")
 
 
 class Cells(NamedTuple):
-    """``totals``: ``[level, u_cell, t_cell, posts]``; ``words``: also ``word, weight, best``.
+    """``totals``: ``[level, u_cell, t_cell, posts]``; ``words``: also ``word, weight_high, weight_low, best``.
 
-    ``best`` is the greatest ``(impact, post_id)`` of the cell's posts with the word.
+    The weight is kept in its two summands, so that cells add up exactly. ``best`` is the greatest ``(impact, post_id)`` of the cell's posts with the word.
     """
 
     totals: DataFrame
@@ -37,9 +37,9 @@ def finest_totals(posts: DataFrame, grid: Grid) -> DataFrame:
 
 def finest_words(words: DataFrame, grid: Grid, variant: str = VARIANTS[0]) -> DataFrame:
     """Level 0 from word rows: merged before the shuffle, like all levels above."""
-    return _placed(words, grid).groupBy(*CELL, "word").agg(
+    return _placed(with_addends(words, variant), grid).groupBy(*CELL, "word").agg(
         F.count("*").alias("posts"),
-        F.sum(word_addend(variant)).alias("weight"),
+        *map(summed, ADDENDS),
         F.max(F.struct("impact", "post_id")).alias("best"),
     )
 
@@ -56,8 +56,7 @@ def coarser_totals(totals: DataFrame, grid: Grid, level: int) -> DataFrame:
 
 def coarser_words(words: DataFrame, grid: Grid, level: int) -> DataFrame:
     return _raised(words, grid, level).groupBy(*CELL, "word").agg(
-        F.sum("posts").alias("posts"),
-        F.sum("weight").cast(words.schema["weight"].dataType).alias("weight"),
+        *map(summed, ("posts", *ADDENDS)),
         F.max("best").alias("best"),
     )
 

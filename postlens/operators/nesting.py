@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-KEYS = ("user1_id", "user2_id", "month")
+KEYS = ("user1_id", "month", "chunk")
+# The counterparts of a user are dealt out by hash into this many rows a month.
+CHUNKS = 64
 
 # The columns of the stored format.
 IDS = "array<bigint>"
@@ -22,18 +24,31 @@ JSON_COLUMNS = {
 }
 
 
-def nest_contacts(facts: DataFrame) -> DataFrame:
-    """``[user1_id, user2_id, month, contacts]``: the texts of a user with one counterpart in one
-    calendar month (UTC), nested.
+def nest_contacts(facts: DataFrame, chunks: int = CHUNKS) -> DataFrame:
+    """``[user1_id, month, chunk, contacts]``: the counterparts of a user with their texts, nested.
 
-    The key is the same for every user, however many texts there are, and needs no look at
-    sizes beforehand. ``contacts`` holds the one counterpart of the row, with its texts.
+    A row holds the counterparts of one chunk and what was said in one calendar month (UTC). Which chunk
+    a counterpart is in follows from its id alone, the same for every user and without a look at
+    sizes beforehand. Counterparts stand in the order of their ids, texts in that of time.
     """
     month = F.date_format(F.timestamp_seconds("created_at"), "yyyy-MM").alias("month")
+    chunk = F.pmod(F.xxhash64("user2_id"), F.lit(chunks)).cast("int").alias("chunk")
     counterpart = ["user2_id", "user2_screen_name", "user2_desc", "intimacy_score"]
     posts = F.sort_array(F.collect_list(F.struct("created_at", "text"))).alias("posts")
-    by_month = facts.groupBy("user1_id", *counterpart, month).agg(posts)
-    return by_month.select(*KEYS, F.array(F.struct(*counterpart, "posts")).alias("contacts"))
+    # Dealt out once, by the key of the rows to be made: both groupings find their rows together.
+    dealt = facts.select("*", month, chunk).repartition(*KEYS)
+    by_contact = dealt.groupBy(*KEYS, *counterpart).agg(posts)
+    contact = F.struct(*counterpart, "posts")
+    return by_contact.groupBy(*KEYS).agg(F.sort_array(F.collect_list(contact)).alias("contacts"))
+
+
+def contact_list(nested: DataFrame, user_id: int) -> DataFrame:
+    """``[user1_id, contacts]``: all contacts of one user in one row, put together from the chunks."""
+    own = nested.where(F.col("user1_id") == user_id).select("user1_id", F.inline("contacts"))
+    counterpart = ["user2_id", "user2_screen_name", "user2_desc", "intimacy_score"]
+    posts = F.sort_array(F.flatten(F.collect_list("posts"))).alias("posts")
+    whole = own.groupBy("user1_id", *counterpart).agg(posts)
+    return whole.groupBy("user1_id").agg(F.sort_array(F.collect_list(F.struct(*counterpart, "posts"))).alias("contacts"))
 
 
 def contacts_to_json(nested: DataFrame) -> DataFrame:

@@ -72,7 +72,7 @@ def export_contacts(
     ``text_type`` is the store's type for long text, such as ``clob`` or ``mediumtext``.
     """
     encoded = contacts_to_json(nest_contacts(facts))
-    types = ", ".join(["user1_id bigint", "user2_id bigint", "month varchar(7)"] + [
+    types = ", ".join(["user1_id bigint", "month varchar(7)", "chunk int"] + [
         f"{c} {text_type}" for c in encoded.columns if c not in KEYS
     ])
     write_jdbc(encoded, url, table, properties, types, **options)

@@ -8,7 +8,7 @@ from postlens.functions.arguments import contact_arguments, whole_number_column
 from postlens.functions.scoring import contact_score
 from postlens.functions.text import phrase_count
 from postlens.operators.contacts import contacts_of
-from postlens.operators.skew import heavy_keys, salted_join, top_per_group, top_rows
+from postlens.operators.skew import greatest, heavy_keys, salted_join, top_per_group, top_rows
 from postlens.sources.schema import CONTACT_RANKING
 
 
@@ -95,7 +95,7 @@ def contact_requests(
     by = ("user_id", "phrase", "n_max")
     per_contact = _hits_per_contact(pairs, F.col("phrase"), by)
     ranked = top_per_group(
-        per_contact, ["user_id", "phrase"], _best_first(), F.col("n_max"), ["user2_id"]
+        per_contact, ["user_id", "phrase"], _best_first(), F.col("n_max"), ["user2_id"], most=greatest(valid, "n")
     )
     shown = _with_shown_text(ranked.drop("n_max"), by_user, F.col("phrase"), ("user_id", "phrase"))
     return valid.join(shown, ["user_id", "phrase"]).where("rank <= n").select(

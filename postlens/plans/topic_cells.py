@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from postlens.operators.cells import CELL, Cells, with_cells
 from postlens.operators.dictionaries import Words, drop_stopwords, with_censored_text
 from postlens.operators.grid import BOX, POINTS, Grid, cover, meet
 from postlens.operators.skew import top_per_group
-from postlens.operators.topics import scored_words, word_addend
+from postlens.operators.topics import ADDENDS, scored_words, summed, weight_of_sums, with_addends
 from postlens.plans.topic_query import best_posts_first, best_words_first, with_shown_word
-from postlens.plans.topic_requests import valid_topic_requests
+from postlens.plans.topic_requests import most_asked, valid_topic_requests
 
 
 def covered(requests: DataFrame, posts: DataFrame, cells: Cells, grid: Grid) -> tuple[DataFrame, DataFrame]:
@@ -33,20 +33,17 @@ def _rim_words(rim: DataFrame, words: DataFrame) -> DataFrame:
     return rim.join(words.select("post_id", "word", "cnt", "num_words"), "post_id")
 
 
-def _top_words(whole: DataFrame, rim: DataFrame, words: DataFrame, cells: Cells, stop: Words) -> DataFrame:
+def _top_words(whole: DataFrame, rim: DataFrame, words: DataFrame, cells: Cells, stop: Words, most: int) -> DataFrame:
     own = ["request_id", "n1"]
     totals = whole.select(*own, "cell_posts").unionByName(rim.select(*own, F.lit(1).cast("bigint").alias("cell_posts")))
     totals = totals.groupBy(*own).agg(F.sum("cell_posts").alias("n_posts"))
-    weight = F.col("weight").cast("decimal(38,12)").alias("weight")
-    of_cells = whole.select("request_id", *CELL).join(cells.words, list(CELL)).select("request_id", "word", "posts", weight)
-    addend = word_addend().cast("decimal(38,12)").alias("weight")
-    of_rim = _rim_words(rim, words).select("request_id", "word", F.lit(1).cast("bigint").alias("posts"), addend)
-    weights = of_cells.unionByName(of_rim).groupBy("request_id", "word").agg(
-        F.sum("posts").alias("posts"), F.sum("weight").cast("double").alias("weight")
-    )
+    of_cells = whole.select("request_id", *CELL).join(cells.words, list(CELL)).select("request_id", "word", "posts", *ADDENDS)
+    of_rim = with_addends(_rim_words(rim, words)).withColumn("posts", F.lit(1).cast("bigint")).select(*of_cells.columns)
+    sums = of_cells.unionByName(of_rim).groupBy("request_id", "word").agg(*map(summed, ("posts", *ADDENDS)))
+    weights = sums.select("request_id", "word", "posts", weight_of_sums().alias("weight"))
     known = drop_stopwords(weights, stop).join(totals, "request_id")
     scored = scored_words(known, F.col("n_posts"))
-    return top_per_group(scored, ["request_id"], best_words_first(), F.col("n1"), ["word"])
+    return top_per_group(scored, ["request_id"], best_words_first(), F.col("n1"), ["word"], most=most)
 
 
 def request_words_by_cells(
@@ -57,7 +54,7 @@ def request_words_by_cells(
     ``words`` holds the word rows of ``posts``, ``cells`` what they add up to.
     """
     whole, rim = covered(requests, posts, cells, grid)
-    top = _top_words(whole, rim, words, cells, stop)
+    top = _top_words(whole, rim, words, cells, stop, most_asked(requests)[0])
     return with_shown_word(top, censor).select(
         "request_id", "rank", "word", "shown_word", "posts", F.round("score", 6).alias("score")
     )
@@ -72,7 +69,8 @@ def request_posts_by_cells(
     that comes before all posts of the cells behind.
     """
     whole, rim = covered(requests, posts, cells, grid)
-    top = _top_words(whole, rim, words, cells, stop).select("request_id", "word")
+    most_words, most_posts = most_asked(requests)
+    top = _top_words(whole, rim, words, cells, stop, most_words).select("request_id", "word")
     own = ["request_id", "n2"]
     best = F.max("best").alias("best")
     led = whole.select(*own, *CELL).join(cells.words.select(*CELL, "word", "best"), list(CELL))
@@ -80,18 +78,18 @@ def request_posts_by_cells(
     single = _hits(rim, words, top).withColumns(
         {"level": F.lit(POINTS), "u_cell": F.lit(None).cast("bigint"), "t_cell": F.lit(None).cast("bigint")}
     )
-    first = _first_posts(led.unionByName(single))
+    first = _first_posts(led.unionByName(single), most_posts)
     opened = first.where(F.col("level") > POINTS).select(*own, *CELL)
     placed = with_cells(posts.select("post_id", "user_id", "created_at", "impact"), grid)
     inside = opened.join(placed, list(CELL)).select(*own, "post_id", "impact")
     found = _hits(inside, words, top).unionByName(first.where(F.col("level") == POINTS).select(*own, "post_id", "impact"))
-    ranked = _first_posts(found)
+    ranked = _first_posts(found, most_posts)
     shown = with_censored_text(ranked.join(posts.select("post_id", "text"), "post_id"), censor)
     return shown.select("request_id", "rank", "post_id", "impact", F.col("censored_text").alias("text"))
 
 
-def _first_posts(found: DataFrame) -> DataFrame:
-    return top_per_group(found, ["request_id"], best_posts_first(), F.col("n2"), ["post_id"])
+def _first_posts(found: DataFrame, most: int) -> DataFrame:
+    return top_per_group(found, ["request_id"], best_posts_first(), F.col("n2"), ["post_id"], most=most)
 
 
 def _hits(asked: DataFrame, words: DataFrame, top: DataFrame) -> DataFrame:

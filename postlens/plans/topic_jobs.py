@@ -13,7 +13,8 @@ from postlens.operators.dictionaries import Words, with_censored_text
 from postlens.operators.grid import Grid
 from postlens.operators.topics import post_words, with_impact
 from postlens.sources.readers import read_posts, read_table, read_words
-from postlens.sources.sinks import cluster, table_path, write_jdbc, write_table
+from postlens.sources.sinks import cluster, cluster_on_curve, table_path, write_jdbc, write_table
+from postlens.sources.staging import stage
 
 SCORED_POST = ["post_id", "user_id", "created_at", "text", "censored_text", "impact"]
 
@@ -37,18 +38,19 @@ def run_topic_etl(
     output_path: str,
     suffix: str | None = None,
     censor_obscured: bool = True,
+    staging_folder: str | None = None,
 ) -> None:
     """Posts to the tables ``scored_posts`` and ``post_words``.
 
-    Both are clustered by user and time, the two ranges that queries ask for. Posts are
-    clustered before their texts are worked on; the word rows are made from the finished
-    posts in stored order, so they are clustered already and nothing is shuffled.
+    Both lie on a curve over user and time, the two ranges that queries ask for. Posts are
+    staged once cleaned and clustered before their texts are worked on; the word rows are made from
+    the finished posts in stored order, so they are clustered already and nothing is shuffled.
     """
     stop = read_words(spark, stopwords_path)
     censor = read_words(spark, censor_path, obscured=censor_obscured)
     posts_path = table_path(output_path, "scored_posts", suffix)
     cleaned = dedupe_posts(clean_topic_posts(read_posts(spark, input_path)))
-    clustered = cluster(cleaned, ["user_id", "created_at"], ["post_id"])
+    clustered = cluster_on_curve(stage(cleaned, "posts", staging_folder), ["user_id", "created_at"], ["post_id"])
     write_table(score_posts(clustered, stop, censor), posts_path)
     words = post_words(read_table(spark, posts_path), stop)
     write_table(words, table_path(output_path, "post_words", suffix))
@@ -81,6 +83,11 @@ def read_cells(spark: SparkSession, output_path: str, suffix: str | None = None)
     return Cells(*(read_table(spark, table_path(output_path, name, suffix)) for name in ("cell_totals", "cell_words")))
 
 
+def serving_posts(scored: DataFrame) -> DataFrame:
+    """What the serving table holds of the scored posts: all but the censored text."""
+    return scored.drop("censored_text")
+
+
 def export_topics(
     scored: DataFrame, url: str, table: str, properties: Mapping[str, str], text_type: str, **options
 ) -> None:
@@ -89,4 +96,4 @@ def export_topics(
         "post_id bigint, user_id bigint, created_at bigint, "
         f"text {text_type}, impact bigint"
     )
-    write_jdbc(scored.drop("censored_text"), url, table, properties, types, **options)
+    write_jdbc(serving_posts(scored), url, table, properties, types, **options)

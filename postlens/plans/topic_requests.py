@@ -45,20 +45,26 @@ def _per_request(matched: DataFrame) -> DataFrame:
     return matched.groupBy("request_id", "n1", "n2").agg(F.count("*").alias("n_posts"))
 
 
-def _top_words(matched: DataFrame, counted: DataFrame, stop: Words) -> DataFrame:
+def most_asked(requests: DataFrame) -> tuple[int, int]:
+    """The greatest n1 and n2 of the valid requests: two numbers for the driver."""
+    n1, n2 = valid_topic_requests(requests).agg(F.max("n1"), F.max("n2")).first()
+    return n1 or 0, n2 or 0
+
+
+def _top_words(matched: DataFrame, counted: DataFrame, stop: Words, most: int) -> DataFrame:
     per_request = _per_request(matched)
     with_words = matched.join(counted, "post_id")
     weights = word_weight(explode_counts(with_words), by=("request_id",))
     known = drop_stopwords(weights, stop).join(per_request, "request_id")
     scored = scored_words(known, F.col("n_posts"))
-    return top_per_group(scored, ["request_id"], best_words_first(), F.col("n1"), ["word"])
+    return top_per_group(scored, ["request_id"], best_words_first(), F.col("n1"), ["word"], most=most)
 
 
 def request_words(
     requests: DataFrame, posts: DataFrame, stop: Words = (), censor: Words = ()
 ) -> DataFrame:
     """``[request_id, rank, word, shown_word, posts, score]`` for every request."""
-    top = _top_words(match_requests(requests, posts), _counted(posts), stop)
+    top = _top_words(match_requests(requests, posts), _counted(posts), stop, most_asked(requests)[0])
     return with_shown_word(top, censor).select(
         "request_id", "rank", "word", "shown_word", "posts", F.round("score", 6).alias("score")
     )
@@ -73,9 +79,10 @@ def request_posts(
     are tested whole instead of being exploded and joined again.
     """
     matched, counted = match_requests(requests, posts), _counted(posts)
+    most_words, most_posts = most_asked(requests)
     block = F.floor((F.col("rank") - 1) / WORDS_PER_ARRAY)
     top = (
-        _top_words(matched, counted, stop)
+        _top_words(matched, counted, stop, most_words)
         .groupBy("request_id", block.alias("block"))
         .agg(F.collect_list("word").alias("top_words"))
     )
@@ -86,7 +93,7 @@ def request_posts(
         .groupBy("request_id", "post_id")
         .agg(F.max("impact").alias("impact"), F.max("n2").alias("n2"))
     )
-    ranked = top_per_group(chosen, ["request_id"], best_posts_first(), F.col("n2"), ["post_id"])
+    ranked = top_per_group(chosen, ["request_id"], best_posts_first(), F.col("n2"), ["post_id"], most=most_posts)
     texts = posts.select("post_id", "text")
     if isinstance(censor, DataFrame):
         texts = texts.join(ranked.select("post_id").distinct(), "post_id", "left_semi")

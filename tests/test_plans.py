@@ -58,7 +58,7 @@ def test_contacts_of_a_heavy_user_are_counted_before_they_meet(spark):
         [], "user1_id long, user2_id long, text string, created_at long, intimacy_score double, "
         "user2_screen_name string, user2_desc string",
     )
-    requests = spark.createDataFrame([], "request_id long, user_id string, phrase string, n string")
+    requests = spark.createDataFrame([(1, "2", "the", "5")], "request_id long, user_id string, phrase string, n string")
     plan = plan_of(contact_query.contact_requests(requests, facts))
     # The join is on user and slice, so it does not stand in for the shuffle of the counts.
     assert "partial_sum(hits" in plan
