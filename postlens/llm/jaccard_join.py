@@ -2,10 +2,13 @@
 
 Equal sets are one set. Every set is listed under the shingles of its prefix: rare ones first,
 so many that two similar sets share one. A list is ordered by size and position, and whole
-blocks of it are skipped where sizes, positions, or shingles that no other set has rule out
-the similarity. In each list the set with the fewest shingles of its own leads: its answers
-are computed first, and sets found similar to it take over its class. What is left to look at
-are pairs of sets of different classes.
+blocks of it are skipped where sizes and positions rule out the similarity; inside blocks, shingles
+that no other set has and the parities of hashed shingles do. In each list the set with the
+fewest shingles of its own leads: its answers are computed first, and sets found similar to it
+take over its class. What is left to look at are pairs of sets of different classes. A set's
+answers follow from those of its leader as far as their difference allows: if they share all but
+few shingles, the leader's overlap with a third set bounds its own from both sides. Only pairs
+that stay open are compared in full.
 """
 
 from __future__ import annotations
@@ -27,6 +30,8 @@ WORDS = 3
 SLICES, EACH, HOT_DOCS = 64, 32, 4
 FLUSH = 400_000
 BLOCK = 256
+# The parities of the shingles in each of so many classes go with a set: 64 bytes.
+PARITIES = 512
 
 _U = np.uint64
 
@@ -41,6 +46,17 @@ def needed_overlap(n: np.ndarray, m: np.ndarray, percent: int = PERCENT) -> np.n
     return -(-percent * (n + m) // (100 + percent))
 
 
+def parities(shingles: np.ndarray) -> bytes:
+    """Whether the number of shingles is odd, for each class of their hashes."""
+    odd = np.bincount((shingles % _U(PARITIES)).astype(np.int64), minlength=PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def most_overlap(n: np.ndarray, m: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """What sets of n and m shingles share at most: every parity that differs costs one of them a shingle."""
+    return (n + m - np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)) // 2
+
+
 def _hot_shingles(texts: DataFrame, words: int) -> np.ndarray:
     """Shingles frequent in a bounded sample of the documents."""
     ids = texts.where("id_ is not null").select("id_").withColumn("all_", F.lit(1))
@@ -218,6 +234,18 @@ def _leader_pairs(percent: int):
     return run
 
 
+def _blocks_apart(col: dict, a: slice, b: slice, percent: int) -> bool:
+    """Whether no set of one block of a list can be similar to one of the other.
+
+    What two sets share stands before the common shingle, as far as it is listed, or from it on.
+    """
+    def on(x: slice) -> int:
+        return int((col["n"][x] - col["pos"][x]).max())
+
+    most = min(int(col["rank"][a].max()), int(col["rank"][b].max())) + min(on(a), on(b))
+    return most < int(needed_overlap(col["n"][a].min(), col["n"][b].min(), percent))
+
+
 def _remaining_pairs(percent: int):
     """Pairs of different classes, list by list; blocks whose bounds exclude each other are skipped.
 
@@ -228,8 +256,9 @@ def _remaining_pairs(percent: int):
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         col = {c: frame[c].to_numpy(np.int64) for c in ("token", "k", "class", *_BOUNDS)}
+        odd = np.frombuffer(b"".join(frame["odd"]), np.uint64).reshape(len(frame), -1)
         by = np.lexsort((col["pos"], col["n"], col["token"]))
-        col = {c: v[by] for c, v in col.items()}
+        col, odd = {c: v[by] for c, v in col.items()}, odd[by]
         edges = np.r_[np.flatnonzero(np.r_[True, np.diff(col["token"]) != 0]), len(by)]
         xs, ys = [], []
         for start, stop in zip(edges, edges[1:]):
@@ -241,10 +270,15 @@ def _remaining_pairs(percent: int):
                     # Sizes rise along the list: from here on all sets are too large.
                     if 100 * int(col["n"][a1 - 1]) < percent * int(col["n"][b0]):
                         break
+                    if _blocks_apart(col, slice(a0, a1), slice(b0, b1), percent):
+                        continue
                     x, y = np.meshgrid(np.arange(a0, a1), np.arange(b0, b1), indexing="ij")
                     pick = (x < y) & (col["class"][x] != col["class"][y])
                     x, y = x[pick], y[pick]
                     keep = _possible({c: col[c][x] for c in _BOUNDS}, {c: col[c][y] for c in _BOUNDS}, percent)
+                    x, y = x[keep], y[keep]
+                    n, m = col["n"][x], col["n"][y]
+                    keep = most_overlap(n, m, odd[x], odd[y]) >= needed_overlap(n, m, percent)
                     xs.append(x[keep])
                     ys.append(y[keep])
         if not xs:
@@ -260,24 +294,53 @@ def _remaining_pairs(percent: int):
     return run
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose sets are similar, compared in full."""
+_ANSWER = "a long, b long, n long, m long, overlap long"
+
+
+def _similar(overlap: str, percent: int) -> str:
+    return f"100 * ({overlap}) >= {percent} * (n + m - ({overlap}))"
+
+
+def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``[a, b, n, m, overlap]``: the pairs with both sizes and what they share."""
     left = sets.select(F.col("k").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("k").alias("b"), F.col("shingles").alias("y"))
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            keep = []
+            shared = []
             for x, y in zip(batch["x"], batch["y"]):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                if len(x) > len(y):
-                    x, y = y, x
-                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                overlap = int((y[at] == x).sum())
-                keep.append(100 * overlap >= percent * (len(x) + len(y) - overlap))
-            yield batch.loc[keep, ["a", "b"]]
+                few, many = (x, y) if len(x) <= len(y) else (y, x)
+                at = np.minimum(np.searchsorted(many, few), len(many) - 1)
+                shared.append((len(x), len(y), int((many[at] == few).sum())))
+            n, m, overlap = zip(*shared) if shared else ((), (), ())
+            yield batch[["a", "b"]].assign(n=list(n), m=list(m), overlap=list(overlap))
+
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInPandas(compare, _ANSWER)
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInPandas(compare, _PAIR)
+
+def _derived(pairs: DataFrame, answers: DataFrame, percent: int) -> DataFrame:
+    """``[a, b, linked]``: what follows for some pairs from answers computed before; null where nothing does.
+
+    For a set x close to a leader, with its overlap with a third set y known, |x n y| lies between
+    |leader n y| less what the leader has beyond x, and |leader n y| and what x has beyond the leader.
+    """
+    both = answers.unionByName(answers.select(
+        F.col("b").alias("a"), F.col("a").alias("b"), F.col("m").alias("n"), F.col("n").alias("m"), "overlap"
+    ))
+    # One leader a set: the one it shares most with.
+    lead = both.where(_similar("overlap", percent)).groupBy("a").agg(
+        F.max(F.struct("overlap", F.col("b").alias("leader"), (F.col("m") - F.col("overlap")).alias("gone"), (F.col("n") - F.col("overlap")).alias("new"))).alias("by")
+    ).select(F.col("a").alias("x"), "by.leader", "by.gone", "by.new", (F.col("by.overlap") + F.col("by.new")).alias("n"))
+    known = both.select(F.col("a").alias("leader"), F.col("b").alias("y"), "m", F.col("overlap").alias("held"))
+    asked = pairs.select("a", "b", F.col("a").alias("x"), F.col("b").alias("y")).unionByName(
+        pairs.select("a", "b", F.col("b").alias("x"), F.col("a").alias("y"))
+    )
+    bounds = asked.join(lead, "x").join(known, ["leader", "y"])
+    linked = F.when(F.expr(_similar("held - gone", percent)), True).when(~F.expr(_similar("held + new", percent)), False)
+    found = bounds.select("a", "b", linked.alias("linked")).groupBy("a", "b").agg(F.bool_or("linked").alias("linked"))
+    return pairs.join(found, ["a", "b"], "left").select("a", "b", "linked")
 
 
 def jaccard_classes(
@@ -288,7 +351,8 @@ def jaccard_classes(
     Two documents link when 100 * intersection >= percent * union of their shingle sets. Null
     and empty texts and texts without a word have an empty set and link with nothing; their
     component is their own id. Rows without an id link with nothing and have no component.
-    Rows that repeat an id share a component. The order and number of rows do not matter.
+    Rows that repeat an id are documents of their own: each has the component of its text. The
+    order and number of rows do not matter.
     """
     spark = docs.sparkSession
     texts = docs.select(F.col(id_column).cast("long").alias("id_"), F.col(text_column).cast("string").alias("text_"))
@@ -298,13 +362,15 @@ def jaccard_classes(
         for batch in batches:
             sets = [shingler.set_of(t if isinstance(t, str) else None) for t in batch["text_"]]
             yield pd.DataFrame({
-                "id_": batch["id_"], "n": [len(s) for s in sets], "k": [set_key(s) for s in sets],
+                "id_": batch["id_"], "n": [len(s) for s in sets], "k": [set_key(s) for s in sets], "odd": [parities(s) for s in sets],
             })
 
     # Ids as text, since a batch of numbers with a null becomes one of doubles.
-    described = texts.withColumn("id_", F.col("id_").cast("string")).mapInPandas(describe, "id_ string, n long, k long")
+    described = texts.withColumn("id_", F.col("id_").cast("string")).mapInPandas(describe, "id_ string, n long, k long, odd binary")
     rows = staged(described.withColumn("id_", F.col("id_").cast("long")), "jaccard-rows")
-    classes = rows.where("n > 0 and id_ is not null").groupBy("k").agg(F.min("id_").alias("class"))
+    classes = rows.where("n > 0 and id_ is not null").groupBy("k").agg(
+        F.min("id_").alias("class"), F.first("odd").alias("odd")
+    )
     entries = staged(prefix_lists(texts, words, percent), "jaccard-lists")
     # Of a set's prefix: how many shingles are in a list, and how many of these come before each.
     of_set = Window.partitionBy("k").orderBy("pos")
@@ -322,13 +388,13 @@ def jaccard_classes(
                     out.append((k, found.tobytes()))
             yield pd.DataFrame(out, columns=["k", "shingles"])
 
-    def links_among(pairs: DataFrame) -> DataFrame:
-        """The similar ones of some pairs. Only the sets that are in a pair are made again."""
+    def answers_of(pairs: DataFrame) -> DataFrame:
+        """Some pairs compared. Only the sets that are in a pair are made again."""
         ends = pairs.select(F.explode(F.array("a", "b")).alias("k")).distinct()
         wanted = staged(classes.join(ends, "k").select(F.col("class").alias("id_"), "k"), "jaccard-wanted")
         sets = texts.join(wanted, "id_").select("k", "text_").mapInPandas(fetch, "k long, shingles binary")
-        sets = staged(sets, "jaccard-sets")
-        found = staged(_verify(pairs, sets, percent), "jaccard-links")
+        sets = staged(sets.dropDuplicates(["k"]), "jaccard-sets")
+        found = staged(_compared(pairs, sets), "jaccard-answers")
         discard(wanted, sets)
         return found
 
@@ -339,20 +405,25 @@ def jaccard_classes(
         .applyInPandas(_leader_pairs(percent), _PAIR).distinct(),
         "jaccard-pairs",
     )
-    links = links_among(led)
+    answers = answers_of(led)
+    links = answers.where(_similar("overlap", percent)).select("a", "b")
     joined = components(links, "a", "b")
-    labelled = lists.join(joined.withColumnRenamed("node", "k"), "k", "left").select(
-        segment, "token", "k", *_BOUNDS, F.coalesce("component", "k").alias("class")
+    of_set = classes.select("k", "odd").join(joined.withColumnRenamed("node", "k"), "k", "left").select(
+        "k", "odd", F.coalesce("component", "k").alias("class")
     )
+    labelled = lists.join(of_set, "k").select(segment, "token", "k", *_BOUNDS, "class", "odd")
     rest = (
         labelled.groupBy("segment").applyInPandas(_remaining_pairs(percent), f"{_PAIR}, lists long, need long")
         .groupBy("a", "b").agg(F.sum("lists").alias("lists"), F.max("need").alias("need"))
         .where("lists >= need").select("a", "b")
     )
-    rest = staged(rest.join(led, ["a", "b"], "left_anti"), "jaccard-pairs")
+    rest = staged(_derived(rest.join(led, ["a", "b"], "left_anti"), answers, percent), "jaccard-pairs")
     if not rest.isEmpty():
-        joined = components(links.unionByName(links_among(rest)), "a", "b")
-    discard(entries, led, rest)
+        more = answers_of(rest.where("linked is null").select("a", "b"))
+        found = more.where(_similar("overlap", percent)).unionByName(rest.where("linked"), allowMissingColumns=True)
+        joined = components(links.unionByName(found.select("a", "b")), "a", "b")
+        discard(more)
+    discard(entries, led, rest, answers)
     least = joined.join(classes.withColumnRenamed("k", "node"), "node")
     of_class = least.groupBy("component").agg(F.min("class").alias("least"))
     named = least.join(of_class, "component").select(F.col("node").alias("k"), "least")

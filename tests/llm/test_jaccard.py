@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+import pandas as pd
 import pytest
 
 from postlens.llm import graph, jaccard_join
@@ -75,6 +77,51 @@ def test_appended_and_deleted_passages(spark, monkeypatch, percent, words):
     assert got == _expected(rows, percent, words)
 
 
+def test_parities_bound_the_overlap():
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        pool = rng.integers(0, 1 << 63, 900, dtype=np.uint64)
+        x = np.unique(rng.choice(pool, rng.integers(1, 600)))
+        y = np.unique(rng.choice(pool, rng.integers(1, 600)))
+        odd = [np.frombuffer(jaccard_join.parities(s), np.uint64)[None] for s in (x, y)]
+        most = jaccard_join.most_overlap(np.array([len(x)]), np.array([len(y)]), *odd)[0]
+        assert len(np.intersect1d(x, y)) <= most <= min(len(x), len(y)) + abs(len(x) - len(y))
+
+
+def test_pages_that_share_a_passage_give_no_pairs():
+    """Sets with a long common part but not similar: their number of emitted pairs stays 0."""
+    rng = np.random.default_rng(5)
+    page = rng.integers(0, 1 << 62, 200, dtype=np.uint64)
+    for n in (50, 200):
+        sets = [np.unique(np.r_[page, rng.integers(0, 1 << 62, 250, dtype=np.uint64)]) for _ in range(n)]
+        frame = pd.DataFrame({
+            "token": 1, "k": range(n), "class": range(n), "n": [len(s) for s in sets], "pos": 3, "mark": 5, "rank": 3, "listed": 40,
+            "odd": [jaccard_join.parities(s) for s in sets],
+        })
+        assert len(jaccard_join._remaining_pairs(90)(frame)) == 0
+
+
+def test_answers_derived_from_a_leader(spark):
+    rng = random.Random(7)
+    sets = {i: set(rng.sample(range(140), rng.randint(90, 120))) for i in range(4)}
+    for i in range(4, 40):
+        base = set(sets[i % 4])
+        base -= set(rng.sample(sorted(base), rng.randint(0, 6)))
+        sets[i] = base | {1000 * i + j for j in range(rng.randint(0, 5))}
+    similar = lambda a, b, p: 100 * len(sets[a] & sets[b]) >= p * len(sets[a] | sets[b])
+    answers = [(min(a, b), max(a, b)) for a in range(4) for b in sets if a != b]
+    rows = [(a, b, len(sets[a]), len(sets[b]), len(sets[a] & sets[b])) for a, b in sorted(set(answers))]
+    pairs = [(a, b) for a in range(4, 40) for b in range(a + 1, 40)]
+    for percent in (90, 70):
+        got = jaccard_join._derived(
+            spark.createDataFrame(pairs, "a long, b long"), spark.createDataFrame(rows, jaccard_join._ANSWER), percent
+        ).collect()
+        assert sorted((r["a"], r["b"]) for r in got) == pairs
+        decided = [r for r in got if r["linked"] is not None]
+        assert all(r["linked"] == similar(r["a"], r["b"], percent) for r in decided)
+        assert len(decided) > len(pairs) / 3
+
+
 def test_odd_rows(spark):
     rows = [(None, "a b c d", 1), (7, "a b c d", 2), (7, "a b c d", 3), (3, "a b c d", 4), (7, "x y z u", 5), (9, "x y z u", 6)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, k int")

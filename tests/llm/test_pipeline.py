@@ -41,6 +41,19 @@ def test_stages(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == docs.count()
 
 
-def test_ten_queries_are_registered():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+def test_one_row_of_each_class_stays(spark, tmp_path):
+    a, b, c = ("one two three four five six seven", "eight nine ten eleven twelve thirteen", "x y z")
+    rows = [
+        (1, a), (5, a), (5, b), (9, a), (9, a), (7, c), (7, c), (None, c), (None, b + " more"), (20, None), (21, ""), (None, a + " a b c d e f g"),
+    ]
+    docs = spark.createDataFrame([(*r, 1, "s") for r in rows], "doc_id long, text string, row_number int, component_id string")
+    kept = corpus_pipeline.keep_one_of_near_copies(spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns
+    want = [(1, a), (5, b), (7, c), (None, b + " more"), (20, None), (21, ""), (None, a + " a b c d e f g")]
+    assert sorted(((r[0], r[1]) for r in kept.collect()), key=str) == sorted(want, key=str)
+    assert corpus_pipeline.keep_one_of_near_copies(spark, docs.limit(0), str(tmp_path)).count() == 0
+
+
+def test_all_queries_are_registered():
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
     assert set(ORACLES) <= set(QUERIES)
