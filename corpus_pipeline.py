@@ -20,13 +20,17 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each class of similar documents.
+    """Keep one row of each class of similar documents: that with the smallest id, an id before none.
 
-    Documents without an id have no class and stay.
+    Rows are told apart by a number that is written with them, not by their ids: rows that share an
+    id but not the text belong to classes of their own, rows that repeat id and text count as copies,
+    and rows without an id take part like others. Texts without a word are in no class and stay.
     """
-    classes = jaccard_join.jaccard_classes(docs, percent=NEAR_PERCENT, words=NEAR_WORDS)
-    gone = classes.where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    rows = staged(docs.withColumn("row_", F.monotonically_increasing_id()), "pipeline-rows")
+    classes = jaccard_join.jaccard_classes(rows, id_column="row_", percent=NEAR_PERCENT, words=NEAR_WORDS)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_")
+    first = classes.join(rows.select("row_", "doc_id"), "row_").groupBy("component_id").agg(F.min(order).alias("first"))
+    return rows.join(first.select("first.row_"), "row_", "left_semi").select(*docs.columns)
 
 
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
