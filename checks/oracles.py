@@ -332,6 +332,9 @@ for _route, _key in (
     ("topic_requests_by_cells", "topic_requests"),
     ("topic_requests_posts_by_cells", "topic_requests_posts"),
     ("topic_posts_stored", "topic_posts"),
+    ("topic_posts_by_postings", "topic_posts"),
+    ("contact_scored_merged", "contact_scored"),
+    ("contact_serving_bucketed", "contact_serving"),
 ):
     ORACLES[_route] = ORACLES[_key]
 

@@ -19,11 +19,12 @@ from postlens.functions.text import (
 )
 from postlens.operators import clean, contacts, nesting, payloads, topics
 from postlens.operators.cells import cells_of
+from postlens.operators.contact_state import contact_state, merge_contacts
 from postlens.operators.dictionaries import drop_stopwords, with_censored_text
 from postlens.operators.grid import Grid
 from postlens.operators.skew import top_rows
-from postlens.plans import contact_query, reports, topic_cells, topic_query, topic_requests
-from postlens.plans.contact_jobs import contact_tables
+from postlens.plans import bucketed, contact_query, reports, topic_cells, topic_query, topic_requests
+from postlens.plans.contact_jobs import contact_tables, scored_of_state
 from postlens.plans.topic_jobs import scored_posts, serving_posts
 from postlens.sources import readers
 from postlens.sources.sinks import cluster_on_curve, write_table
@@ -111,6 +112,13 @@ def contact_scored(spark, sf):
     return _rounded(contact_tables(t.raw_event_posts(spark, sf))[1])
 
 
+def contact_scored_merged(spark, sf):
+    """Two parts of the posts, some posts in both: the second is taken into the tables of the first."""
+    raw = t.raw_event_posts(spark, sf)
+    first, second = (clean.clean_contact_posts(raw.where(F.col("id") % 3 != left_out)) for left_out in (0, 1))
+    return _rounded(scored_of_state(merge_contacts(contact_state(first), second)))
+
+
 def latest_profile(spark, sf):
     return _shown_nulls(t.profiles(t.contacts(spark, sf)))
 
@@ -411,6 +419,28 @@ def topic_posts_stored(spark, sf):
     return chosen.withColumn("rank", F.col("rank").cast("bigint"))
 
 
+def topic_posts_by_postings(spark, sf):
+    """The words stored once more by word; the second step reads the parts with top words."""
+    path = f"{shared_folder(spark, t.work_folder(spark))}/postings-{uuid.uuid4().hex}"
+    words = _stored_words(spark, sf)
+    write_table(topic_query.postings(words), path)
+    chosen = topic_query.topic_posts(
+        t.impact_posts(spark, sf), *EVERYTHING, N_WORDS, N_POSTS, (), t.CENSOR, words_table=words,
+        postings=readers.read_table(spark, path),
+    )
+    return chosen.withColumn("rank", F.col("rank").cast("bigint"))
+
+
+def contact_serving_bucketed(spark, sf):
+    """The serving table made and kept in buckets."""
+    out, prefix = f"{shared_folder(spark, t.work_folder(spark))}/buckets-{uuid.uuid4().hex}", f"b{uuid.uuid4().hex}"
+    profiles, scored_contacts = contact_tables(t.raw_event_posts(spark, sf))
+    write_table(profiles, f"{out}/profiles")
+    write_table(scored_contacts, f"{out}/contact_scored")
+    bucketed.run_bucketed_serving(spark, f"{out}/profiles", f"{out}/contact_scored", out, prefix, t.buckets(spark))
+    return _rounded(bucketed.read_bucketed(spark, out, prefix).facts())
+
+
 def rot13_decode(spark, sf):
     return t.documents(spark, sf).select("doc_id", rot13(F.col("text")).alias("decoded"))
 
@@ -470,8 +500,10 @@ QUERIES: dict[str, Query] = {
     "pair_weight": pair_weight,
     "pair_scores": pair_scores,
     "contact_scored": contact_scored,
+    "contact_scored_merged": contact_scored_merged,
     "latest_profile": latest_profile,
     "contact_serving": contact_serving,
+    "contact_serving_bucketed": contact_serving_bucketed,
     "contact_lookup": contact_lookup,
     "phrase_count": phrase_hits,
     "contact_rank": contact_rank,
@@ -512,6 +544,7 @@ QUERIES: dict[str, Query] = {
     "post_words": post_words,
     "topic_words_stored": topic_words_stored,
     "topic_posts_stored": topic_posts_stored,
+    "topic_posts_by_postings": topic_posts_by_postings,
     "frame_payload": framed_payload,
     "audit_payloads": audit_payloads,
     "quarantine_payloads": quarantined_payloads,

@@ -25,6 +25,10 @@ def work_folder(spark: SparkSession) -> str | None:
     return "/tmp/postlens-shared" if spark.sparkContext.master.startswith("local[") else None
 
 
+def buckets(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 

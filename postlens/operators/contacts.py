@@ -60,11 +60,14 @@ def score_contacts(contacts: DataFrame, cut_heavy: bool = True) -> DataFrame:
     row counts to find the heavy pairs: a contact adds 1 or 2. ``cut_heavy=False`` spares
     that where few contacts come in, such as those of one user.
     """
-    weights = pair_weight(contacts)
+    return score_texts(dedupe_contacts(contacts), pair_weight(contacts), cut_heavy)
+
+
+def score_texts(texts: DataFrame, weights: DataFrame, cut_heavy: bool = True) -> DataFrame:
+    """Contact texts with the score of their pair."""
     scores = weights.select(*PAIR, intimacy(F.col("weight")).alias("intimacy_score"))
-    texts = _with_pair(dedupe_contacts(contacts))
     heavy = heavy_keys(weights, PAIR, "weight") if cut_heavy else None
-    return salted_join(texts, scores, PAIR, heavy, spread_by=["text"]).select(
+    return salted_join(_with_pair(texts), scores, PAIR, heavy, spread_by=["text"]).select(
         "user1_id", "user2_id", "text", "created_at", "intimacy_score"
     )
 
@@ -87,7 +90,12 @@ def profiles_seen(contacts: DataFrame) -> DataFrame:
 
 
 def latest_profile(seen: DataFrame) -> DataFrame:
-    """``[id, screen_name, description]``: the latest profile of every user.
+    """``[id, screen_name, description]``: the latest profile of every user."""
+    return latest_seen(seen).drop("created_at")
+
+
+def latest_seen(seen: DataFrame) -> DataFrame:
+    """``[id, screen_name, description, created_at]``: the latest profile with the time it was seen.
 
     Asking for row number 1 lets every task keep one row per user before the shuffle.
     """
@@ -97,7 +105,7 @@ def latest_profile(seen: DataFrame) -> DataFrame:
     return (
         seen.withColumn("rn", F.row_number().over(latest_first))
         .where("rn = 1")
-        .select("id", "screen_name", "description")
+        .select("id", "screen_name", "description", "created_at")
     )
 
 

@@ -7,12 +7,14 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from postlens.operators.clean import clean_contact_posts, dedupe_posts
+from postlens.operators.contact_state import ContactState, contact_state, merge_contacts
 from postlens.operators.contacts import (
     contact_fact,
     latest_profile,
     mirror_contacts,
     profiles_seen,
     score_contacts,
+    score_texts,
 )
 from postlens.operators.nesting import KEYS, contacts_to_json, nest_contacts
 from postlens.operators.skew import heavy_keys
@@ -21,6 +23,10 @@ from postlens.sources.sinks import cluster, table_path, write_jdbc, write_table
 from postlens.sources.staging import stage
 
 
+# The tables of a state, in the order of its fields.
+_STATE = ("state_contacts", "state_weights", "state_texts", "state_profiles")
+
+
 def contact_tables(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(profiles, contact_scored)`` from raw posts, without writing anything."""
     contacts = dedupe_posts(clean_contact_posts(raw))
@@ -45,6 +51,30 @@ def run_contact_etl(
     write_table(score_contacts(contacts), table_path(output_path, "contact_scored", suffix))
 
 
+def run_contact_update(
+    spark: SparkSession, input_path: str, output_path: str, suffix: str, before: str | None = None,
+    staging_folder: str | None = None,
+) -> None:
+    """New posts taken into the tables of an earlier run, ``before``; the result gets a suffix of its own.
+
+    Tables are never changed in place: a run that fails leaves the earlier ones as they are, and is
+    run again. Without ``before`` the posts are the first ones.
+    """
+    fresh = stage(clean_contact_posts(read_posts(spark, input_path)), "contacts", staging_folder)
+    state = merge_contacts(read_contact_state(spark, output_path, before), fresh) if before else contact_state(fresh)
+    for name, table in zip(_STATE, state):
+        write_table(table, table_path(output_path, name, suffix))
+
+
+def read_contact_state(spark: SparkSession, output_path: str, suffix: str) -> ContactState:
+    return ContactState(*(read_table(spark, table_path(output_path, name, suffix)) for name in _STATE))
+
+
+def scored_of_state(state: ContactState) -> DataFrame:
+    """``contact_scored`` as the job over all posts makes it."""
+    return score_texts(state.texts, state.weights)
+
+
 def _heavy(contacts: DataFrame, key: str) -> DataFrame:
     return heavy_keys(contacts.groupBy(key).agg(F.count("*").alias("n")), [key], "n")
 

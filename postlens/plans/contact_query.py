@@ -76,19 +76,20 @@ def valid_contact_requests(requests: DataFrame) -> DataFrame:
 
 
 def contact_requests(
-    requests: DataFrame, facts: DataFrame, heavy: DataFrame | None = None
+    requests: DataFrame, facts: DataFrame, heavy: DataFrame | None = None, cut_heavy: bool = True
 ) -> DataFrame:
     """Ranked contacts for every request of a table.
 
     Requests for the same user and phrase share one computation with the largest n. The
     user with very many texts is cut into slices for the join, and contacts are reduced to
     their counts before any ranking. ``heavy`` names such users, ``[user_id, slices]``; they
-    are counted from the facts where it is not given.
+    are counted from the facts where it is not given. ``cut_heavy=False`` joins by user alone,
+    for facts without such users that lie in buckets of ``user1_id``.
     """
     valid = valid_contact_requests(requests)
     asked = valid.groupBy("user_id", "phrase").agg(F.max("n").alias("n_max"))
     by_user = facts.withColumnRenamed("user1_id", "user_id")
-    if heavy is None:
+    if heavy is None and cut_heavy:
         counts = by_user.groupBy("user_id").agg(F.count("*").alias("n"))
         heavy = heavy_keys(counts, ["user_id"], "n")
     pairs = salted_join(by_user, asked, ["user_id"], heavy, ["user2_id", "text"])

@@ -12,6 +12,7 @@ from postlens.operators.clean import clean_topic_posts, dedupe_posts
 from postlens.operators.dictionaries import Words, with_censored_text
 from postlens.operators.grid import Grid
 from postlens.operators.topics import post_words, with_impact
+from postlens.plans.topic_query import postings
 from postlens.sources.readers import read_posts, read_table, read_words
 from postlens.sources.sinks import cluster, cluster_on_curve, table_path, write_jdbc, write_table
 from postlens.sources.staging import stage
@@ -40,9 +41,9 @@ def run_topic_etl(
     censor_obscured: bool = True,
     staging_folder: str | None = None,
 ) -> None:
-    """Posts to the tables ``scored_posts`` and ``post_words``.
+    """Posts to the tables ``scored_posts``, ``post_words`` and ``word_postings``, the words once more by word.
 
-    Both lie on a curve over user and time, the two ranges that queries ask for. Posts are
+    The first two lie on a curve over user and time, the two ranges that queries ask for. Posts are
     staged once cleaned and clustered before their texts are worked on; the word rows are made from
     the finished posts in stored order, so they are clustered already and nothing is shuffled.
     """
@@ -53,7 +54,9 @@ def run_topic_etl(
     clustered = cluster_on_curve(stage(cleaned, "posts", staging_folder), ["user_id", "created_at"], ["post_id"])
     write_table(score_posts(clustered, stop, censor), posts_path)
     words = post_words(read_table(spark, posts_path), stop)
-    write_table(words, table_path(output_path, "post_words", suffix))
+    words_path = table_path(output_path, "post_words", suffix)
+    write_table(words, words_path)
+    write_table(postings(read_table(spark, words_path)), table_path(output_path, "word_postings", suffix))
 
 
 def run_topic_cells(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, functions as F
 
 from postlens.functions.arguments import topic_arguments
@@ -17,6 +19,16 @@ from postlens.operators.topics import (
     word_weight,
 )
 from postlens.sources.schema import TOPIC_POST_RANKING, TOPIC_WORD_RANKING
+from postlens.sources.sinks import cluster
+
+
+# Up to so many top words go to the reader of postings as a filter; more are joined.
+LISTED_WORDS = 200
+
+
+def postings(words: DataFrame) -> DataFrame:
+    """Word rows laid out by word, then time: the rows of a word stand together, a frequent one in several files."""
+    return cluster(words, ["word", "created_at"], ["post_id"])
 
 
 def best_words_first():
@@ -93,9 +105,12 @@ def topic_posts(
     stop: Words = (),
     censor: Words = (),
     words_table: DataFrame | None = None,
+    postings: DataFrame | None = None,
 ) -> DataFrame:
     """``[rank, post_id, impact, text]``: of the posts that hold one of the first n1 words,
     the first n2 by impact, then the higher id. Only these are censored.
+
+    ``postings`` are the word rows laid out by word: of these only the parts with top words are read.
     """
     arguments = topic_arguments(uid_lo, uid_hi, t_lo, t_hi, n1, n2)
     if arguments is None or arguments[5] == 0:
@@ -103,7 +118,13 @@ def topic_posts(
     span, n_words, n_posts = arguments[:4], arguments[4], arguments[5]
     top = topic_words(posts, *span, n_words, stop, words_table=words_table).select("word")
     chosen = posts_in_range(posts, *span)
-    if words_table is None:
+    if postings is not None:
+        rows = posts_in_range(postings, *span)
+        if n_words <= LISTED_WORDS:
+            # At most so many words come to the driver; single comparisons reach the row groups' statistics.
+            listed = [r["word"] for r in top.collect()]
+            rows = rows.where(functools.reduce(lambda a, b: a | b, (F.col("word") == w for w in listed), F.lit(False)))
+    elif words_table is None:
         rows = post_words(_with_words(chosen), words="words")
     else:
         rows = posts_in_range(words_table, *span)
