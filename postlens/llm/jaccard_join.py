@@ -417,7 +417,10 @@ def jaccard_classes(
         .groupBy("a", "b").agg(F.sum("lists").alias("lists"), F.max("need").alias("need"))
         .where("lists >= need").select("a", "b")
     )
-    rest = staged(_derived(rest.join(led, ["a", "b"], "left_anti"), answers, percent), "jaccard-pairs")
+    # Read several times below: written once.
+    open_ = staged(rest.join(led, ["a", "b"], "left_anti"), "jaccard-pairs")
+    rest = staged(_derived(open_, answers, percent), "jaccard-pairs")
+    discard(open_)
     if not rest.isEmpty():
         more = answers_of(rest.where("linked is null").select("a", "b"))
         found = more.where(_similar("overlap", percent)).unionByName(rest.where("linked"), allowMissingColumns=True)
