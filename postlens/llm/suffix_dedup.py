@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from postlens.llm.common import bounded_sample, partitions, read_table, staged, work_folder
 from postlens.llm.shingles import mix
-from postlens.llm.suffix_sort import Spill, sorted_suffixes
+from postlens.llm.suffix_sort import CAP, Spill, sorted_suffixes
 
 LENGTH = 100
 GRAM = 16
@@ -386,8 +386,11 @@ def dedup_passages(
     text; rows that repeat both are one document and get the same answer. Null and empty texts
     are empty and nothing is removed from them. The hash is that of the bytes
     that remain; ``kept_text`` is null without ``texts``, and leaves out parts of characters,
-    as passages are bytes.
+    as passages are bytes. A ``length`` below ``GRAM`` or beyond ``CAP``, up to which prefixes are
+    told apart, is refused.
     """
+    if not GRAM <= length <= CAP:
+        raise ValueError(f"passages must have {GRAM} to {CAP} bytes")
     spark = docs.sparkSession
     data = F.coalesce(F.col(text_column).cast("string"), F.lit("")).cast("binary")
     rest = F.to_json(F.struct(*carry)) if carry else F.lit(None).cast("string")

@@ -90,3 +90,19 @@ def test_ids_that_are_null_or_repeated_and_other_columns(spark):
     assert by == [(1, 8, 0), (2, 5, size), (2, 6, size), (99, 7, size)]
     assert {r["kept_text"] for r in got if r["doc_id"] == 1} == {"new " + long}
     assert dedup.dedup_passages(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("length", [15, 201, 300])
+def test_lengths_that_cannot_be_told_apart_are_refused(spark, length):
+    docs = spark.createDataFrame([(1, "x" * 900)], "doc_id long, text string")
+    with pytest.raises(ValueError, match="passages"):
+        dedup.dedup_passages(docs, length=length)
+
+
+def test_longest_passages(spark):
+    rng = random.Random(8)
+    shared = "".join(rng.choice("abcd ") for _ in range(450))
+    rows = [(1, "q" * 30 + shared), (2, shared + "z" * 40), (3, shared[:199])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["n_removed"] for r in dedup.dedup_passages(docs, length=200).collect()}
+    assert got == {1: 0, 2: 450, 3: 0}
