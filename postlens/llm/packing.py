@@ -30,9 +30,9 @@ TOKENIZER = "word_bpe_49k.json"
 
 SHARD_PIECES = (1000, 250)  # by level: first all pieces, then those of bins left too empty
 ISLANDS = 3
-ROUNDS = 2
-POPULATION = 4
-GENERATIONS = 6
+ROUNDS = 3
+POPULATION = 12
+GENERATIONS = 200  # islands stop before where no solution can have fewer bins
 FULL_SHARE = 0.985  # bins filled less than this are taken apart after the first level
 
 _MAX_WORDS, _MAX_RUNS = 700_000, 300_000

@@ -70,3 +70,25 @@ def test_improves_on_best_fit():
     first = []
     packing.best_fit(first, [], list(range(len(lengths))), lengths, 100)
     assert len(packing.evolve(lengths, [], 100, 1, generations=50)) <= len(first)
+
+
+def _hard_lengths(n=600):
+    return np.random.default_rng(4).integers(1300, 1501, n).tolist()
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_evolution_needs_fewer_bins_than_best_fit(seed):
+    lengths, first = _hard_lengths(), []
+    packing.best_fit(first, [], list(range(len(lengths))), lengths, packing.CAPACITY)
+    assert len(packing.evolve(lengths, [], packing.CAPACITY, seed)) < len(first)
+
+
+def test_islands_need_fewer_bins_than_one_generation(spark):
+    lengths, first = _hard_lengths(), []
+    packing.best_fit(first, [], list(range(len(lengths))), lengths, packing.CAPACITY)
+    pieces = spark.createDataFrame(list(enumerate(lengths)), "uid long, length long")
+    bins = [
+        {r["sequence_id"] for r in packing._pack_level(pieces, 1000, 0, packing.CAPACITY, islands, rounds).collect()}
+        for islands, rounds in ((packing.ISLANDS, packing.ROUNDS), (1, 1))
+    ]
+    assert len(bins[0]) < len(bins[1]) < len(first)
