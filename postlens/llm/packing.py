@@ -268,14 +268,32 @@ def _evolve_islands(state: DataFrame, capacity: int, islands: int, last: bool) -
     return state.groupBy("shard", "island").applyInPandas(run, _STATE)
 
 
+def _best_fits(pieces: DataFrame, capacity: int) -> DataFrame:
+    """``_STATE`` with the best-fit solution of each shard, and whether one with fewer bins may exist."""
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("uid")
+        lengths, found = frame["length"].tolist(), []
+        best_fit(found, [], list(range(len(lengths))), lengths, capacity)
+        bins = np.zeros(len(lengths), np.int32)
+        for n, members in enumerate(found):
+            bins[members] = n
+        return frame.assign(island=np.int32(0), origin=np.int32(0), bin=bins, open=len(found) > -(-sum(lengths) // capacity))
+
+    return pieces.groupBy("shard").applyInPandas(run, f"{_STATE}, open boolean")
+
+
 def _pack_level(pieces: DataFrame, shard_pieces: int, level: int, capacity: int, islands: int, rounds: int) -> DataFrame:
-    """``[uid, length, bin]`` with bins unique over all shards of the level."""
+    """``[uid, length, bin]`` with bins unique over all shards of the level.
+
+    Every island starts from best fit; shards where that cannot be bettered need no islands.
+    """
     n = pieces.count()
     shards = max(1, -(-n // shard_pieces))
-    state = pieces.select(
-        F.pmod(F.xxhash64(F.lit(level), "uid"), F.lit(shards)).alias("shard"),
-        F.explode(F.sequence(F.lit(0), F.lit(islands - 1))).alias("island"),
-        F.lit(0).alias("origin"), "uid", "length", F.lit(-1).alias("bin"),
+    dealt = pieces.select(F.pmod(F.xxhash64(F.lit(level), "uid"), F.lit(shards)).alias("shard"), "uid", "length")
+    fitted = staged(_best_fits(dealt, capacity), f"packing-fit-{level}")
+    state = fitted.where("open").select(
+        "shard", F.explode(F.sequence(F.lit(0), F.lit(islands - 1))).alias("island"), "origin", "uid", "length", "bin"
     )
     for r in range(rounds):
         state = _evolve_islands(state, capacity, islands, last=r == rounds - 1)
@@ -286,9 +304,9 @@ def _pack_level(pieces: DataFrame, shard_pieces: int, level: int, capacity: int,
         .groupBy("shard").agg(F.min(F.struct("bins", "island")).alias("won"))
         .select("shard", F.col("won.island").alias("island"))
     )
-    return state.join(best, ["shard", "island"]).select(
-        "uid", "length", ((F.col("shard") * 2 + level) * (1 << 24) + F.col("bin")).alias("sequence_id")
-    )
+    columns = ["shard", "uid", "length", "bin"]
+    placed = fitted.where("not open").select(*columns).unionByName(state.join(best, ["shard", "island"]).select(*columns))
+    return placed.select("uid", "length", ((F.col("shard") * 2 + level) * (1 << 24) + F.col("bin")).alias("sequence_id"))
 
 
 def pack(
