@@ -22,7 +22,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from postlens.llm.common import read_table, staged
+from postlens.llm.common import partitions, read_table, staged
 
 CAPACITY = 4096
 END_ID = 1
@@ -154,28 +154,34 @@ def token_pieces(
 Solution = list[list[int]]  # bins, as lists of indexes into the lengths
 
 
+def fills_of(bins: Solution, lengths: list[int]) -> list[int]:
+    return [sum(map(lengths.__getitem__, b)) for b in bins]
+
+
 def best_fit(bins: Solution, fills: list[int], items: list[int], lengths: list[int], capacity: int) -> None:
-    """Put items, longest first, each into the fullest bin that has room."""
+    """Put items, longest first, each into the fullest bin that has room; ``fills`` follow."""
     room = sorted((capacity - fill, b) for b, fill in enumerate(fills))
     for item in sorted(items, key=lambda i: (-lengths[i], i)):
         at = bisect_left(room, (lengths[item], -1))
         if at == len(room):
             bins.append([item])
+            fills.append(lengths[item])
             insort(room, (capacity - lengths[item], len(bins) - 1))
         else:
             left, b = room.pop(at)
             bins[b].append(item)
+            fills[b] += lengths[item]
             insort(room, (left - lengths[item], b))
 
 
-def fitness(bins: Solution, lengths: list[int], capacity: int) -> tuple[int, float]:
-    """Smaller is better: the number of bins, then how evenly room is spread over them."""
-    return len(bins), -sum((sum(lengths[i] for i in b) / capacity) ** 2 for b in bins)
+def fitness(bins: Solution, lengths: list[int], capacity: int) -> tuple[int, int]:
+    """Smaller is better: the number of bins, then how unevenly they are filled."""
+    return len(bins), -sum(f * f for f in fills_of(bins, lengths))
 
 
 def crossover(a: Solution, b: Solution, lengths: list[int], capacity: int, rng: np.random.Generator) -> Solution:
     """``a`` with some of the best-filled bins of ``b``."""
-    fills = np.array([sum(lengths[i] for i in x) for x in b])
+    fills = np.array(fills_of(b, lengths))
     best = np.argsort(-fills, kind="stable")[: max(1, len(b) // 2)]
     injected = [b[i] for i in best[rng.random(len(best)) < 0.5]] or [b[best[0]]]
     taken = {i for x in injected for i in x}
@@ -185,20 +191,20 @@ def crossover(a: Solution, b: Solution, lengths: list[int], capacity: int, rng:
             child.append(list(x))
         else:
             displaced += [i for i in x if i not in taken]
-    best_fit(child, [sum(lengths[i] for i in x) for x in child], displaced, lengths, capacity)
+    best_fit(child, fills_of(child, lengths), displaced, lengths, capacity)
     return child
 
 
 def mutate(a: Solution, lengths: list[int], capacity: int, rng: np.random.Generator) -> Solution:
     """``a`` with its emptiest bin and a few others taken apart and fitted again."""
-    fills = [sum(lengths[i] for i in x) for x in a]
+    fills = fills_of(a, lengths)
     gone = {int(np.argmin(fills)), *rng.integers(0, len(a), size=3).tolist()}
-    child = [list(x) for n, x in enumerate(a) if n not in gone]
+    child, fills = [list(x) for n, x in enumerate(a) if n not in gone], [f for n, f in enumerate(fills) if n not in gone]
     freed = [i for n in gone for i in a[n]]
     rng.shuffle(freed)
     order = freed[: len(freed) // 2]
-    best_fit(child, [sum(lengths[i] for i in x) for x in child], order, lengths, capacity)
-    best_fit(child, [sum(lengths[i] for i in x) for x in child], freed[len(freed) // 2 :], lengths, capacity)
+    best_fit(child, fills, order, lengths, capacity)
+    best_fit(child, fills, freed[len(freed) // 2 :], lengths, capacity)
     return child
 
 
@@ -217,7 +223,7 @@ def evolve(
             held = set(first)
             best_fit(bins, [], first, lengths, capacity)
             rest = [i for i in range(len(lengths)) if i not in held]
-            best_fit(bins, [sum(lengths[i] for i in x) for x in bins], rest, lengths, capacity)
+            best_fit(bins, fills_of(bins, lengths), rest, lengths, capacity)
         else:
             best_fit(bins, [], list(range(len(lengths))), lengths, capacity)
         members.append(bins)
@@ -265,7 +271,9 @@ def _evolve_islands(state: DataFrame, capacity: int, islands: int, last: bool) -
             return own
         return pd.concat([own, own.assign(island=np.int32((island + 1) % islands))])
 
-    return state.groupBy("shard", "island").applyInPandas(run, _STATE)
+    # Few rows but much work: not to be joined into few tasks.
+    dealt = state.repartition(partitions(state.sparkSession), "shard", "island")
+    return dealt.groupBy("shard", "island").applyInPandas(run, _STATE)
 
 
 def _best_fits(pieces: DataFrame, capacity: int) -> DataFrame:
