@@ -20,6 +20,8 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from postlens.llm.common import partitions, read_table, staged
@@ -35,10 +37,14 @@ POPULATION = 12
 GENERATIONS = 200  # islands stop before where no solution can have fewer bins
 FULL_SHARE = 0.985  # bins filled less than this are taken apart after the first level
 
-_MAX_WORDS, _MAX_RUNS = 700_000, 300_000
+BATCH_BYTES = 4_000_000  # texts encoded at a time; a longer one alone
+
+_MAX_WORDS, _MAX_RUNS = 250_000, 250_000
 _IDS = [struct.Struct(f"<{n}I") for n in range(16)]
-# Words that need no normalisation but lower case, with punctuation after them.
-_PLAIN_WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:]*)")
+# Words of these characters need no normalisation but lower case. The pattern by
+# which the tokenizer cuts a word into runs, for these characters.
+_PLAIN_WORD = re.compile(r"(?!.*<\|)[!-~À-ÖØ-öø-ÿ]+")
+_RUN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^0-9a-zß-öø-ÿ]+")
 
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -52,12 +58,13 @@ def _byte_symbols() -> dict[int, str]:
 
 
 class WordEncoder:
-    """Token ids of a text as little-endian unsigned 32-bit integers, word by word.
+    """Token ids of texts as little-endian unsigned 32-bit integers, word by word.
 
     Right for tokenizers that drop white space and never join across it: then the ids of a
-    text are those of its words in order, and frequent words are looked up. Plain words go to
-    the tokenizer's model directly, if that gives the same ids on a trial; all others go
-    through the whole tokenizer. With ``by_word=False`` whole texts do.
+    text are those of its words in order. The different words of some texts are encoded once
+    and put back in their places; frequent ones are kept. Plain words go to the tokenizer's
+    model in runs, if that gives the same ids on a trial; all others go through the whole
+    tokenizer. With ``by_word=False`` whole texts do.
     """
 
     def __init__(self, path: str | None = None, by_word: bool = True):
@@ -72,48 +79,58 @@ class WordEncoder:
         self.model = self.tokenizer.model
         self.by_word = by_word
         self.known: dict[str, bytes] = {"": b""}
-        self.runs: dict[str, bytes] = {"": b""}
+        self.runs: dict[str, bytes] = {}
         self.symbols = str.maketrans({chr(b): s for b, s in _byte_symbols().items()})
-        trial = ["the", "Überall", "naïve", "tiontionhethereré", "ß", "Q"]
-        self.direct = all(self._run(w.lower()) == self._encode([w])[0] for w in trial)
-        self.runs = {"": b""}
+        trial = ["the", "Überall", "naïve", "tiontionhethereré", "ß", "Q", "It's", "x''d", "a10b--?!c", "(é7&&&", "'S9", "<a>|"]
+        self.direct = all(self._plain(w) == self._encode(w) for w in trial)
+        self.runs = {}
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        got = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.asarray(e.ids, dtype="<u4").tobytes() for e in got]
+    def _encode(self, text: str) -> bytes:
+        got = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        return np.asarray(got[0].ids, dtype="<u4").tobytes()
 
     def _run(self, run: str) -> bytes:
-        """Ids of a run of lower-case letters."""
+        """Ids of a run of plain characters that the tokenizer does not cut."""
         ids = self.runs.get(run)
         if ids is None:
-            symbols = run.encode().decode("latin-1").translate(self.symbols)
+            symbols = run if run.isascii() else run.encode().decode("latin-1").translate(self.symbols)
             found = [t.id for t in self.model.tokenize(symbols)]
             ids = _IDS[len(found)].pack(*found) if len(found) < len(_IDS) else struct.pack(f"<{len(found)}I", *found)
             if len(self.runs) < _MAX_RUNS:
                 self.runs[run] = ids
         return ids
 
+    def _plain(self, word: str) -> bytes:
+        return b"".join(map(self._run, _RUN.findall(word.lower())))
+
     def _word(self, word: str) -> bytes:
-        plain = _PLAIN_WORD.fullmatch(word) if self.direct else None
-        if plain:
-            end = plain.group(2)
-            ids = self._run(plain.group(1).lower())
-            if end:
-                if end not in self.known:
-                    self.known[end] = self._encode([end])[0]
-                ids += self.known[end]
-        else:
-            ids = self._encode([word])[0]
-        if len(self.known) < _MAX_WORDS:
-            self.known[word] = ids
+        ids = self.known.get(word)
+        if ids is None:
+            ids = self._plain(word) if self.direct and _PLAIN_WORD.fullmatch(word) else self._encode(word)
+            if len(self.known) < _MAX_WORDS:
+                self.known[word] = ids
         return ids
 
-    def ids(self, text: str) -> bytes:
+    def ids_of(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of every text (null: none)."""
         if not self.by_word:
-            return self._encode([text])[0]
-        words = text.replace("\n", " ").replace("\r", " ").replace("\t", " ").split(" ")
-        known, word_ids = self.known, self._word
-        return b"".join([known[w] if w in known else word_ids(w) for w in words])
+            return [np.frombuffer(self._encode(t or ""), "<u4") for t in texts.to_pylist()]
+        # Any white space within these words is left to the tokenizer.
+        lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        words = lists.flatten().dictionary_encode()
+        found = [self._word(w) for w in words.dictionary.to_numpy(zero_copy_only=False)]
+        ids = np.frombuffer(b"".join(found), "<u4")
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        which = words.indices.to_numpy(zero_copy_only=False)
+        size = sizes[which]
+        ends = np.cumsum(size)
+        first = (np.cumsum(sizes) - sizes)[which]
+        held = ids[np.repeat(first - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
+        bounds = np.r_[0, ends][np.r_[0, np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))]]
+        return [held[a:b] for a, b in zip(bounds, bounds[1:])]
+
+    def ids(self, text: str) -> bytes:
+        return self.ids_of(pa.array([text], pa.string()))[0].tobytes()
 
 
 @lru_cache(maxsize=2)
@@ -122,6 +139,16 @@ def _encoder(path: str | None, by_word: bool) -> WordEncoder:
     return WordEncoder(path, by_word)
 
 
+def _by_size(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch, some ``BATCH_BYTES`` of text at a time."""
+    size = pc.fill_null(pc.binary_length(batch.column("text_")), 0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(size, dtype=np.int64) // BATCH_BYTES
+    edges = np.r_[0, np.flatnonzero(np.diff(part)) + 1, len(part)]
+    for a, b in zip(edges, edges[1:]):
+        if b > a:
+            yield batch.slice(a, b - a)
+
+
 def token_pieces(
     docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = None, end_id: int = END_ID, by_word: bool = True
 ) -> DataFrame:
@@ -131,22 +158,30 @@ def token_pieces(
     one piece. Only documents of more than ``capacity`` tokens are cut.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer, by_word)
-        end = np.asarray([end_id], dtype="<u4").tobytes()
-        for batch in batches:
-            out: list[tuple] = []
-            for doc_id, text in zip(batch["id_"], batch["text_"]):
-                ids = encoder.ids(text) + end if isinstance(text, str) and text else end
-                for n, at in enumerate(range(0, len(ids), 4 * capacity)):
-                    piece = ids[at : at + 4 * capacity]
-                    out.append((doc_id, n, at // 4, len(piece) // 4, zlib.crc32(piece)))
-            yield pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-
-    # Ids as text, since a batch of numbers with a null becomes one of doubles.
-    rows = docs.select(F.col("doc_id").cast("long").cast("string").alias("id_"), F.col("text").alias("text_"))
-    pieces = rows.mapInPandas(run, PIECE_SCHEMA.replace("doc_id long", "doc_id string"))
-    return pieces.withColumn("doc_id", F.col("doc_id").cast("long"))
+        end = np.array([end_id], "<u4")
+        for batch in (part for whole in batches for part in _by_size(whole)):
+            row, piece, start, length, crc = [], [], [], [], []
+            for r, found in enumerate(encoder.ids_of(batch.column("text_"))):
+                ids = np.concatenate([found, end])
+                for n, at in enumerate(range(0, len(ids), capacity)):
+                    part = ids[at : at + capacity]
+                    row.append(r)
+                    piece.append(n)
+                    start.append(at)
+                    length.append(len(part))
+                    crc.append(zlib.crc32(part))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("id_").take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()),
+                    pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64()),
+                ],
+                names=["doc_id", "piece", "start", "length", "ids_crc32"],
+            )
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("id_"), F.col("text").cast("string").alias("text_"))
+    return rows.mapInArrow(run, PIECE_SCHEMA)
 
 
 # --- one shard -------------------------------------------------------------------------

@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -20,10 +21,29 @@ def test_words_give_the_ids_of_the_text():
     encoder, tokenizer = packing.WordEncoder(), Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER))
     assert encoder.direct
     texts = ["The  quick,\tbrown\nfox! don't Straße ÉCOLE naïve", "a<|endoftext|>b İstanbul ΣΑΣ. e\u0301 x\u00a0y 12 ½ \x1c z", "", " ", "…—¿!?.,,", "日本語 テキスト"]
+    texts += ["Unglichß ßüver, it's DON'T 'S9 x''d a10b--?!c (é7&&& <a>| 16.183.68.211", "a\x0bb\x0cc\x85d\u2028e\u3000f  \n"]
     for text in texts:
         assert np.frombuffer(encoder.ids(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_texts_together_give_the_ids_of_each():
+    encoder, tokenizer = packing.WordEncoder(), Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER))
+    rng = random.Random(7)
+    signs = [chr(c) for c in range(0x20, 0x180)] + list("''''sStTdDmMlLrRvVeE<||>  ") + ["\u0301", "İ", "Σ", "\x1c", "\x85"]
+    texts = [None, "", " "] + ["".join(rng.choices(signs, k=rng.randint(0, 40))) for _ in range(3000)] + ["end ", None]
+    got = encoder.ids_of(pa.array(texts))
+    assert [g.tolist() for g in got] == [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert encoder.ids_of(pa.array([], pa.string())) == []
+
+
+def test_batches_are_cut_by_size(monkeypatch):
+    monkeypatch.setattr(packing, "BATCH_BYTES", 10)
+    texts = ["abc", None, "x" * 50, "", "abcdef", "abcdef"]
+    parts = list(packing._by_size(pa.RecordBatch.from_arrays([pa.array(texts)], names=["text_"])))
+    assert [t for p in parts for t in p.column(0).to_pylist()] == texts and len(parts) > 2
+    assert list(packing._by_size(pa.RecordBatch.from_arrays([pa.array([], pa.string())], names=["text_"]))) == []
+
+
 def test_pack(spark):
     rng = random.Random(2)
     rows = [(i, " ".join(rng.choice(["the", "cat", "sat", "überall"]) for _ in range(rng.randint(0, 90)))) for i in range(150)]
