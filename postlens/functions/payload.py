@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from postlens.functions.text import bind
+
 # Fixed value: the length is stored in one signed byte.
 MAX_LENGTH = 127
 
@@ -30,8 +32,12 @@ def first_bad_position(payload: Column) -> Column:
     """Index of the first character whose parity bit is wrong or missing; null if none.
 
     Characters are counted from 0 and up to the stored length. A payload that is null, or has
-    no length, is bad at position 0.
+    no length, is bad at position 0. The payload is computed once, not at every position.
     """
+    return bind(payload, _first_bad)
+
+
+def _first_bad(payload: Column) -> Column:
     length = F.get(payload, F.lit(0))
 
     def is_bad(i: Column) -> Column:
@@ -44,9 +50,13 @@ def first_bad_position(payload: Column) -> Column:
 
 def payload_text(payload: Column) -> Column:
     """The text of a framed payload; null where a parity bit is wrong."""
+    return bind(payload, _text)
+
+
+def _text(payload: Column) -> Column:
     length = F.get(payload, F.lit(0))
     chars = F.transform(
         F.sequence(F.lit(0), length - 1), lambda i: F.char(F.get(payload, 2 * i + 1))
     )
     text = F.when(length > 0, F.array_join(chars, "")).otherwise(F.lit(""))
-    return F.when(first_bad_position(payload).isNull(), text)
+    return F.when(_first_bad(payload).isNull(), text)

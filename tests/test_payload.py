@@ -31,3 +31,11 @@ def test_audit(spark):
     assert {r[0]: (r[1], r[2]) for r in audit_payloads(df).collect()} == {"a": (1, 1), "b": (2, 1), "c": (0, 2)}
     assert sorted((r["id"], r["first_bad"]) for r in quarantine_payloads(df).collect()) == [(2, 1), (3, 1), (6, 0), (7, 0)]
     assert [r[0] for r in df.orderBy("id").select(payload_text(F.col("payload"))).collect()] == ["Te", None, None, "", "", None, None]
+
+
+def test_a_payload_is_computed_once_per_row(spark):
+    framed = frame_payload(F.col("s"))
+    df = spark.createDataFrame([("Test",)], "s string")
+    for checked in (first_bad_position(framed), payload_text(framed)):
+        plan = df.select(checked.alias("x"))._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("split(") == 1
