@@ -24,3 +24,12 @@ def contact_score(intimacy_score: Column, phrase_hits: Column) -> Column:
 
 def topic_score(posts_in_range: Column, posts_with_word: Column, weight: Column) -> Column:
     return F.log(posts_in_range / posts_with_word) * weight
+
+
+def rounded(value: Column, places: int) -> Column:
+    """``value`` to so many places, in doubles throughout as SQL engines round: scaled, rounded, scaled back.
+
+    Spark's own ``round`` goes through the decimal text; halves of the last place may then fall the other way.
+    """
+    scale = 10.0**places
+    return F.round(value * scale) / scale

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from postlens.functions.posts import impact_score
-from postlens.functions.scoring import topic_score
+from postlens.functions.scoring import rounded, topic_score
 from postlens.functions.text import extract_words, lower_words, word_counts
 from postlens.operators.dictionaries import (
     Words,
@@ -21,7 +21,7 @@ from postlens.operators.dictionaries import (
 
 CARRIED = ("post_id", "user_id", "created_at", "impact")
 ADDENDS = ("weight_high", "weight_low")
-HIGH, LOW = float(1 << 16), float(1 << 40)
+HIGH, LOW = float(1 << 20), float(1 << 46)
 VARIANTS = ("ln_impact_plus_1", "ln_impact")
 
 
@@ -85,7 +85,7 @@ def _post_weight(variant: str) -> Column:
 def with_addends(words: DataFrame, variant: str = VARIANTS[0]) -> DataFrame:
     """Word rows with what each adds to the weight of its word, as two whole numbers.
 
-    ``weight_high`` counts steps of 2**-16, ``weight_low`` steps of 2**-40 beyond. Whole numbers add
+    ``weight_high`` counts steps of 2**-20, ``weight_low`` steps of 2**-46 beyond. Whole numbers add
     up to the same sum in any order, and fast; 64 bits hold the sums of 10**11 posts.
     """
     steps = words.withColumn("steps", F.col("cnt") / F.col("num_words") * _post_weight(variant) * HIGH)
@@ -126,4 +126,4 @@ def usable_posts(posts: DataFrame, variant: str) -> DataFrame:
 def scored_words(weights: DataFrame, posts_in_range: Column) -> DataFrame:
     """Add ``score``, to 9 places."""
     score = topic_score(posts_in_range, F.col("posts"), F.col("weight"))
-    return weights.withColumn("score", F.round(score, 9))
+    return weights.withColumn("score", rounded(score, 9))

@@ -7,6 +7,7 @@ import functools
 from pyspark.sql import DataFrame, functions as F
 
 from postlens.functions.arguments import topic_arguments
+from postlens.functions.scoring import rounded
 from postlens.functions.text import lower_words, mask_word
 from postlens.operators.dictionaries import Words, drop_stopwords, normal_words, with_censored_text
 from postlens.operators.skew import top_rows
@@ -90,7 +91,7 @@ def topic_words(
     weights = drop_stopwords(word_weight(rows, variant=variant), stop)
     top = top_rows(scored_words(weights, number_of_posts), best_words_first(), limit)
     return with_shown_word(top, censor).select(
-        "rank", "word", "shown_word", "posts", F.round("score", 6).alias("score")
+        "rank", "word", "shown_word", "posts", rounded(F.col("score"), 6).alias("score")
     )
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from postlens.functions.arguments import whole_number_column
+from postlens.functions.scoring import rounded
 from postlens.operators.dictionaries import Words, drop_stopwords, with_censored_text
 from postlens.operators.grid import BOX, meet
 from postlens.operators.skew import top_per_group
@@ -66,7 +67,7 @@ def request_words(
     """``[request_id, rank, word, shown_word, posts, score]`` for every request."""
     top = _top_words(match_requests(requests, posts), _counted(posts), stop, most_asked(requests)[0])
     return with_shown_word(top, censor).select(
-        "request_id", "rank", "word", "shown_word", "posts", F.round("score", 6).alias("score")
+        "request_id", "rank", "word", "shown_word", "posts", rounded(F.col("score"), 6).alias("score")
     )
 
 

@@ -1,10 +1,13 @@
 """Rankings of whole tables and of groups."""
 
+import math
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from checks import queries
+from postlens.functions.scoring import rounded
 from postlens.operators.skew import ONE_TASK, ranked_by_range, top_per_group, top_rows
 from test_plans import plan_of
 
@@ -70,3 +73,21 @@ def test_groups_are_cut_before_the_shuffle(spark):
     plan = plan_of(top_per_group(df, ["g"], order(), F.col("n"), ["word"], most=20))
     assert plan.count("WindowGroupLimit") == 2 and plan.count("Exchange") == 1
     assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
+
+
+def test_scores_are_rounded_in_doubles(spark):
+    """As SQL rounds: 1.0000005 is below its decimal text, so scaled it does not reach the half."""
+    values = [0.5113695, 1.0000005, -2.5, 4.0858455, 16.7613665, 1.0385875]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = [r[0] for r in df.select(rounded(F.col("v"), 6)).collect()]
+    assert got == [math.copysign(math.floor(abs(v) * 1e6 + 0.5), v) / 1e6 for v in values]
+
+
+def test_word_ranking_has_every_word(spark, monkeypatch):
+    """The ranking asks for no number of words, so it leaves none out however many there are."""
+    posts = spark.createDataFrame([(1, [f"w{i}" for i in range(300)], 5), (2, ["w1", "x"], 7)], "post_id long, words array<string>, impact long")
+    monkeypatch.setattr(queries.t, "impact_posts", lambda spark, sf: posts)
+    asked = []
+    monkeypatch.setattr(queries, "ranked_by_range", lambda *a, **k: asked.append((a[3:], k)) or ranked_by_range(*a, **k), raising=False)
+    assert queries.word_ranking(spark, "").count() == 301
+    assert asked and "n" not in asked[0][1] and len(asked[0][0]) < 2
