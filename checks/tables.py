@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from postlens.functions.text import lower_words
 from postlens.operators import contacts as contact_ops
 from postlens.operators.clean import clean_contact_posts
+from postlens.operators.texts import number_texts
 from postlens.operators.topics import with_impact
 
 STOP = (
@@ -167,6 +168,11 @@ def contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_contact_posts(raw_event_posts(spark, sf_dir))
 
 
+def numbered_contacts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The contacts with numbers for their texts, and the texts."""
+    return number_texts(contacts(spark, sf_dir), work_folder(spark))
+
+
 def profiles(of_contacts: DataFrame) -> DataFrame:
     return contact_ops.latest_profile(contact_ops.profiles_seen(of_contacts))
 

@@ -18,6 +18,7 @@ from postlens.operators.contacts import (
 )
 from postlens.operators.nesting import KEYS, contacts_to_json, nest_contacts
 from postlens.operators.skew import heavy_keys
+from postlens.operators.texts import number_texts, with_texts
 from postlens.sources.readers import read_posts, read_table
 from postlens.sources.sinks import cluster, table_path, write_jdbc, write_table
 from postlens.sources.staging import stage
@@ -27,10 +28,17 @@ from postlens.sources.staging import stage
 _STATE = ("state_contacts", "state_weights", "state_texts", "state_profiles")
 
 
-def contact_tables(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(profiles, contact_scored)`` from raw posts, without writing anything."""
-    contacts = dedupe_posts(clean_contact_posts(raw))
-    return latest_profile(profiles_seen(contacts)), score_contacts(contacts)
+def numbered_contact_tables(raw: DataFrame, staging_folder: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(profiles, contact_scored, texts)`` from raw posts, the scored contacts with numbers for texts."""
+    numbered, texts = number_texts(clean_contact_posts(raw), staging_folder)
+    contacts = stage(dedupe_posts(numbered), "contacts", staging_folder)
+    return latest_profile(profiles_seen(contacts)), score_contacts(contacts), texts
+
+
+def contact_tables(raw: DataFrame, staging_folder: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """``(profiles, contact_scored)`` from raw posts; only staged tables are written."""
+    profiles, scored, texts = numbered_contact_tables(raw, staging_folder)
+    return profiles, with_texts(scored, texts)
 
 
 def run_contact_etl(
@@ -43,12 +51,12 @@ def run_contact_etl(
     """Posts to the tables ``profiles`` and ``contact_scored``.
 
     The cleaned contacts feed three aggregations, each with its own columns, so they are
-    staged as a table instead of being cleaned, or cached whole, three times.
+    staged as a table instead of being cleaned, or cached whole, three times. Their texts are
+    staged once each, and meet the scored contacts at the end.
     """
-    cleaned = dedupe_posts(clean_contact_posts(read_posts(spark, input_path)))
-    contacts = stage(cleaned, "contacts", staging_folder)
-    write_table(latest_profile(profiles_seen(contacts)), table_path(output_path, "profiles", suffix))
-    write_table(score_contacts(contacts), table_path(output_path, "contact_scored", suffix))
+    profiles, scored = contact_tables(read_posts(spark, input_path), staging_folder)
+    write_table(profiles, table_path(output_path, "profiles", suffix))
+    write_table(scored, table_path(output_path, "contact_scored", suffix))
 
 
 def run_contact_update(
