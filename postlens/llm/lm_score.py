@@ -4,8 +4,8 @@ Counts of words and word pairs are quantised to levels of a geometric scale. The
 an n-gram once for every level up to its own, so its level is found by probing level after
 level until one is missing. Workers get the filter by broadcast; its size follows the corpus.
 The probability of a word is a mixture of the word's own and that after the word before it;
-the mixture weights are fitted on a bounded sample of training documents, each without its
-own counts.
+the mixture weights are fitted on all training documents, each without its own counts; tasks add
+up the likelihood of every weight on trial, and only these sums come together.
 
 Counting moves packed arrays of (hash, count) instead of rows: n-grams are counted in each
 task first, and dealt into segments by their hash. An n-gram's bits all lie in its segment, so
@@ -22,7 +22,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from postlens.llm.common import bounded_sample, fold, read_table, staged
+from postlens.llm.common import fold, read_table, staged
 from postlens.llm.shingles import mix, word_hashes
 
 BASE = 1.5  # ratio of the counts of two levels
@@ -32,7 +32,6 @@ MIN_BITS = 1 << 20
 FREQUENT_WORDS = 1 << 17  # words whose exact counts, for base scores, are broadcast, 16 bytes each
 SEGMENT_BYTES = 4 << 20  # of text for each segment of n-grams
 MIN_SEGMENTS = 16
-SAMPLE_SLICES, SAMPLE_EACH = 32, 32  # documents on which the mixture is fitted: at most 1024
 FLUSH_TOKENS = 3_000_000
 MIXES = np.array([0.0, 0.01, 0.03, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 0.95])
 HISTORY_LEVELS = 32
@@ -314,15 +313,12 @@ def train(docs: DataFrame, may_learn: Column) -> tuple[Model, DataFrame]:
                 likely[:, n] += np.bincount(step, np.log(share * after + (1 - share) * single), minlength=HISTORY_LEVELS)
         yield pd.DataFrame([(s, n, likely[s, n]) for s in range(HISTORY_LEVELS) for n in range(len(MIXES))], columns=["step", "n", "likely"])
 
-    ids = rows.where("id_ is not null").select("id_").withColumn("all_", F.lit(1))
-    chosen = bounded_sample(ids, "all_", "id_", SAMPLE_SLICES, SAMPLE_EACH).select("id_").distinct()
-    # At most SAMPLE_SLICES * SAMPLE_EACH ids.
-    sample = rows.join(F.broadcast(chosen), "id_", "left_semi").select("text_")
-    sums = sample.mapInPandas(trial, "step int, n int, likely double").groupBy("step", "n").agg(F.sum("likely").alias("likely"))
+    sums = rows.select("text_").mapInPandas(trial, "step int, n int, likely double").groupBy("step", "n").agg(F.sum("likely").alias("likely"))
     likely = np.zeros((HISTORY_LEVELS, len(MIXES)))
     for r in sums.collect():
         likely[r["step"], r["n"]] = r["likely"]
-    mixes = np.array([MIXES[np.argmax(likely[s])] for s in range(HISTORY_LEVELS)])
+    # Rounded, as the order in which tasks are added up must not decide between equals.
+    mixes = MIXES[np.argmax(np.round(likely, 6), axis=1)]
     return Model(tokens, types, segments, model.filter, model.frequent, model.frequent_counts, mixes), counted
 
 

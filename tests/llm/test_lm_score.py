@@ -129,3 +129,18 @@ def test_score_against_the_mixture_of_exact_counts(spark):
     )
     right = sum(abs(s - want) < 1e-6 for s in got.values())
     assert right >= 0.9 * len(rows)
+
+
+def test_the_mixture_is_fitted_on_all_training_documents(spark):
+    """A long document decides the weights of its levels, wherever a sample would look."""
+    rng = random.Random(11)
+    rows = [(i, " ".join(f"v{rng.randrange(40)}" for _ in range(5))) for i in range(2500)]
+    for i in (1, 2, 3, 5, 8):
+        rows[i] = (i, " ".join(f"v{rng.randrange(40)}" if rng.random() < 0.2 else "v1 v2 v3 v4" for _ in range(2500)))
+    model, _ = lm.train(spark.createDataFrame(rows, "doc_id long, text string"), F.lit(True))
+    tokens = [lm.token_hashes(text) for _, text in rows]
+    single, after, step = model.parts(np.concatenate(tokens), np.cumsum([len(t) for t in tokens]), own=True)
+    for s in range(lm.HISTORY_LEVELS):
+        at = step == s
+        likely = [np.log(x * after[at] + (1 - x) * single[at]).sum() for x in lm.MIXES]
+        assert model.mixes[s] == lm.MIXES[np.argmax(np.round(likely, 6))]
