@@ -40,13 +40,13 @@ def post_lines(posts: DataFrame, *by: str) -> DataFrame:
     return posts.groupBy(*by).agg(_in_rank_order(line, "\n").alias("lines"))
 
 
-def topic_report(posts: DataFrame, uid_lo, uid_hi, t_lo, t_hi, n1, n2, **options) -> DataFrame:
-    """One row ``[report]``: the word line, then the post lines; empty without posts."""
+def topic_report(posts: DataFrame, uid_lo, uid_hi, t_lo, t_hi, n1, n2, staging_folder: str | None = None, **options) -> DataFrame:
+    """One row ``[report]``: the word line, then the post lines; empty without posts. Staged as in ``topic_posts``."""
     arguments = topic_arguments(uid_lo, uid_hi, t_lo, t_hi, n1, n2)
     if arguments is None:
         return posts.sparkSession.createDataFrame([("",)], "report string")
     words = topic_words(posts, *arguments[:5], **options)
-    chosen = topic_posts(posts, *arguments, **options)
+    chosen = topic_posts(posts, *arguments, staging_folder=staging_folder, **options)
     found = posts_in_range(posts, *arguments[:4]).agg(F.count("*").alias("n")).scalar()
     report = F.concat(F.col("line"), F.lit("\n"), post_lines(chosen).scalar())
     return word_line(words).select(F.when(found > 0, report).otherwise("").alias("report"))

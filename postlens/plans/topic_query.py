@@ -13,6 +13,8 @@ from postlens.operators.dictionaries import Words, drop_stopwords, normal_words,
 from postlens.operators.skew import top_rows
 from postlens.operators.topics import (
     VARIANTS,
+    count_words,
+    explode_counts,
     post_words,
     posts_in_range,
     scored_words,
@@ -21,6 +23,7 @@ from postlens.operators.topics import (
 )
 from postlens.sources.schema import TOPIC_POST_RANKING, TOPIC_WORD_RANKING
 from postlens.sources.sinks import cluster
+from postlens.sources.staging import stage
 
 
 # Up to so many top words go to the reader of postings as a filter; more are joined.
@@ -107,26 +110,30 @@ def topic_posts(
     censor: Words = (),
     words_table: DataFrame | None = None,
     postings: DataFrame | None = None,
+    staging_folder: str | None = None,
 ) -> DataFrame:
     """``[rank, post_id, impact, text]``: of the posts that hold one of the first n1 words,
     the first n2 by impact, then the higher id. Only these are censored.
 
+    Without ``words_table`` the counted words of the posts are staged, so that texts are cut once;
+    ``spark.checkpoint.dir`` or ``staging_folder`` must be set then.
     ``postings`` are the word rows laid out by word: of these only the parts with top words are read.
     """
     arguments = topic_arguments(uid_lo, uid_hi, t_lo, t_hi, n1, n2)
     if arguments is None or arguments[5] == 0:
         return posts.sparkSession.createDataFrame([], TOPIC_POST_RANKING)
     span, n_words, n_posts = arguments[:4], arguments[4], arguments[5]
-    top = topic_words(posts, *span, n_words, stop, words_table=words_table).select("word")
     chosen = posts_in_range(posts, *span)
+    if words_table is None:
+        counted = stage(count_words(_with_words(chosen), "words"), "counted", staging_folder)
+        words_table = explode_counts(counted)
+    top = topic_words(posts, *span, n_words, stop, words_table=words_table).select("word")
     if postings is not None:
         rows = posts_in_range(postings, *span)
         if n_words <= LISTED_WORDS:
             # At most so many words come to the driver; single comparisons reach the row groups' statistics.
             listed = [r["word"] for r in top.collect()]
             rows = rows.where(functools.reduce(lambda a, b: a | b, (F.col("word") == w for w in listed), F.lit(False)))
-    elif words_table is None:
-        rows = post_words(_with_words(chosen), words="words")
     else:
         rows = posts_in_range(words_table, *span)
     # Ranked on ids; then the texts of the winners alone are fetched.

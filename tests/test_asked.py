@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from postlens.operators import asked, cells, topics
-from postlens.plans import topic_cells, topic_requests
+from postlens.plans import topic_cells, topic_query, topic_requests
 from test_cells import GRID, POST, REQUEST
 from test_plans import plan_of
 from test_topics import CENSOR, REQUESTS, STOP, make_posts, plain
@@ -73,3 +73,8 @@ def test_lists_are_cut_into_blocks(spark):
     rows = asked.with_askers(spark.createDataFrame([(7, "x"), (8, "y")], "post_id long, text string"), pairs, "post_id")
     got = rows.orderBy("block").collect()
     assert [(r["post_id"], r["block"], len(r["asked"])) for r in got] == [(7, 0, 64), (7, 1, 64), (7, 2, 1)]
+
+
+def test_topic_posts_cut_texts_once(spark, posts):
+    """The words of the range are staged: neither the ranking of words nor that of posts cuts texts again."""
+    assert "regexp_extract_all" not in plan_of(topic_query.topic_posts(posts, 0, 40, 0, 5000, 3, 3, STOP))
