@@ -30,6 +30,8 @@ WORDS = 3
 SLICES, EACH, HOT_DOCS = 64, 32, 4
 FLUSH = 400_000
 BLOCK = 256
+# A bitmap of so many rows, and so many shingles of sets that a task keeps: both move work only.
+MAP_BITS, HELD = 1 << 24, 1 << 21
 # The parities of the shingles in each of so many classes go with a set: 64 bytes.
 PARITIES = 512
 
@@ -111,31 +113,57 @@ def _segment_blobs(tokens, owner, place, keys, sizes, marks, segments: int) -> l
     cuts = np.flatnonzero(np.diff(segment)) + 1
     out = []
     for a, b in zip(np.r_[0, cuts], np.r_[cuts, len(tokens)]):
-        own, index = np.unique(owner[a:b], return_inverse=True)
+        own = owner[a:b]
         out.append((int(segment[a]), b"".join((
-            np.array([len(own), b - a], np.int64).tobytes(), keys[own].tobytes(), sizes[own].tobytes(),
-            tokens[a:b].tobytes(), index.astype(np.int32).tobytes(), place[a:b].astype(np.int32).tobytes(), marks[own].tobytes(),
+            tokens[a:b].tobytes(), keys[own].tobytes(), sizes[own].astype(np.int32).tobytes(),
+            place[a:b].astype(np.int32).tobytes(), marks[own].tobytes(),
         ))))
     return out
 
 
-def _read_blob(blob: bytes):
-    n, size = np.frombuffer(blob, np.int64, 2)
-    at = 16
-    keys = np.frombuffer(blob, np.int64, n, at)
-    sizes = np.frombuffer(blob, np.int64, n, at + 8 * n)
-    at += 16 * n
-    tokens = np.frombuffer(blob, np.int64, size, at)
-    index = np.frombuffer(blob, np.int32, size, at + 8 * size)
-    place = np.frombuffer(blob, np.int32, size, at + 12 * size)
-    marks = np.frombuffer(blob, np.uint16, n, at + 16 * size)
-    return tokens, keys[index], sizes[index], place, marks[index]
+# An entry takes as many bytes in few segments as in many: what is sent follows the entries alone.
+_FIELDS = (np.int64, np.int64, np.int32, np.int32, np.uint16)
+
+
+def _read_blob(blob: bytes) -> list[np.ndarray]:
+    """Token, set, size, place and end mark of the entries."""
+    widths = [np.dtype(kind).itemsize for kind in _FIELDS]
+    size = len(blob) // sum(widths)
+    return [np.frombuffer(blob, kind, size, size * sum(widths[:i])) for i, kind in enumerate(_FIELDS)]
+
+
+def least_lists(n: np.ndarray, m: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """So many lists similar sets share at least.
+
+    Of the two prefixes one ends first in the common order, and what the sets share beyond that
+    prefix is no more than the rest of its set.
+    """
+    rest = np.maximum(n - prefix_length(n, percent), m - prefix_length(m, percent))
+    return needed_overlap(n, m, percent) - rest
+
+
+def _company(token: np.ndarray, n: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Whether the list of an entry holds another set of a size that a similar set may have, and
+    how many lists the entry's set shares with any of these, if similar, at least.
+
+    Entries are ordered by token and size. The farther the size, the fewer the lists: but for
+    rounding, at most 2 here, those of the least and the greatest fitting size bound the others.
+    """
+    n = n.astype(np.int64)
+    group = np.cumsum(np.r_[True, np.diff(token) != 0]) << 32
+    low = np.searchsorted(group + n, group - (-percent * n // 100))
+    high = np.searchsorted(group + n, group + 100 * n // percent, side="right") - 1
+    return high > low, np.minimum(least_lists(n, n[low], percent), least_lists(n, n[high], percent)) - 2
 
 
 def prefix_lists(texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """``[token, k, n, pos, mark]``: the index lists with more than one set, a row per entry.
+    """``[token, k, n, pos, mark, rank, listed]``: the index lists, a row per entry.
 
-    Entries travel packed, by segments of the tokens; a task sends equal sets once.
+    With an entry come the number of its set's entries and how many of these stand before it.
+    Left out are entries without another set of a fitting size in their list, and those whose set
+    has fewer entries than it must share with any such set. Similar sets lose none: a shingle in
+    the prefixes of both is listed for both. Entries travel packed, by segments of the tokens; a
+    task sends equal sets once.
     """
     hot = _hot_shingles(texts, words)
     segments = 2 * partitions(texts.sparkSession)
@@ -178,23 +206,26 @@ def prefix_lists(texts: DataFrame, words: int, percent: int) -> DataFrame:
         by = np.lexsort((k, token))
         token, k, n, place, mark = token[by], k[by], n[by], place[by], mark[by]
         new = np.r_[True, (np.diff(token) != 0) | (np.diff(k) != 0)]  # equal sets of several tasks
-        token, k, n, place, mark = token[new], k[new], n[new], place[new], mark[new]
-        starts = np.r_[True, np.diff(token) != 0]
-        length = np.diff(np.r_[np.flatnonzero(starts), len(token)])
-        keep = np.repeat(length, length) > 1
+        by = np.flatnonzero(new)
+        by = by[np.lexsort((n[by], token[by]))]
+        any_, least = _company(token[by], n[by], percent)
+        by, least = by[any_], least[any_]
         return pd.DataFrame({
-            "token": token[keep], "k": k[keep], "n": n[keep].astype(np.int32), "pos": place[keep], "mark": mark[keep].astype(np.int32),
+            "token": token[by], "k": k[by], "n": n[by], "pos": place[by], "mark": mark[by].astype(np.int32), "least": least.astype(np.int32),
         })
 
     blobs = texts.where("id_ is not null and text_ is not null").select("text_").mapInPandas(index, "segment long, blob binary")
-    return blobs.groupBy("segment").applyInPandas(lists, "token long, k long, n int, pos int, mark int")
+    entries = blobs.groupBy("segment").applyInPandas(lists, "token long, k long, n int, pos int, mark int, least int")
+    before = Window.partitionBy("k").orderBy("pos")
+    listed = F.count("*").over(before.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).cast("int")
+    entries = entries.withColumn("listed", listed).where("least <= listed").drop("least")
+    return entries.withColumn("listed", listed).withColumn("rank", F.row_number().over(before) - 1)
 
 
 def _possible(a: dict, b: dict, percent: int) -> np.ndarray:
     """Whether the bounds allow the pairs to be similar.
 
-    A prefix shingle that no other set has in its prefix may still lie beyond the prefix of the
-    other set. It is surely not shared if it stands before the common one, or anywhere in the
+    A prefix shingle that is in no list may still lie beyond the prefix of the other set. It is surely not shared if it stands before the common one, or anywhere in the
     prefix that ends first. So of the shingles before the common one at most the listed ones
     can be shared, and in the prefix that ends first this holds of those after it, too.
     """
@@ -249,9 +280,7 @@ def _blocks_apart(col: dict, a: slice, b: slice, percent: int) -> bool:
 def _remaining_pairs(percent: int):
     """Pairs of different classes, list by list; blocks whose bounds exclude each other are skipped.
 
-    With each pair come the lists that it shares here, and how many it must share in all: of
-    the two prefixes one ends first in the common order, and what the sets share beyond that
-    prefix is no more than the rest of its set.
+    With each pair come the lists that it shares here, and how many it must share in all.
     """
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
@@ -285,10 +314,9 @@ def _remaining_pairs(percent: int):
             return pd.DataFrame({"a": [], "b": [], "lists": [], "need": []}, dtype=np.int64)
         at, other = np.concatenate(xs), np.concatenate(ys)
         x, y, n, m = col["k"][at], col["k"][other], col["n"][at], col["n"][other]
-        rest = np.maximum(n - prefix_length(n, percent), m - prefix_length(m, percent))
         ends = np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1)
         pairs, first, lists = np.unique(ends, axis=0, return_index=True, return_counts=True)
-        need = (needed_overlap(n, m, percent) - rest)[first]
+        need = least_lists(n, m, percent)[first]
         return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1], "lists": lists, "need": need})
 
     return run
@@ -301,23 +329,61 @@ def _similar(overlap: str, percent: int) -> str:
     return f"100 * ({overlap}) >= {percent} * (n + m - ({overlap}))"
 
 
-def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``[a, b, n, m, overlap]``: the pairs with both sizes and what they share."""
-    left = sets.select(F.col("k").alias("a"), F.col("shingles").alias("x"))
-    right = sets.select(F.col("k").alias("b"), F.col("shingles").alias("y"))
+def _wanted(texts: DataFrame, ends: DataFrame) -> DataFrame:
+    """The texts of the rows that ``ends`` names by id and hash, and few others, each once.
+
+    A bitmap of MAP_BITS hashed rows sorts most texts out before they move. Its size is fixed: the
+    more rows are wanted, the more others pass, at worst all.
+    """
+    def place(id_: str, h: str):
+        return F.pmod(F.xxhash64(id_, h), F.lit(MAP_BITS))
+
+    bit = ends.select(place("id_", "h").alias("bit"))
+    held = bit.groupBy(F.shiftright("bit", 6).alias("cell")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits"))
+    found = texts.withColumn("bit", place("id_", "h")).withColumn("cell", F.shiftright("bit", 6)).join(F.broadcast(held), "cell")
+    found = found.where(F.expr("bits & shiftleft(1L, cast(bit & 63 as int)) <> 0"))
+    return found.select("id_", "h", "text_").dropDuplicates(["id_", "h"])
+
+
+def _compared(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """``[a, b, n, m, overlap]``: the pairs with both sizes and what they share.
+
+    Pairs come with the rows ``a_`` and ``b_`` (id, hash) that have the sets. Texts travel, which
+    are shorter than their sets; these are made again where both meet.
+    """
+    ends = pairs.select(F.explode(F.array("a_", "b_")).alias("row")).select("row.id_", "row.h")
+    wanted = _wanted(texts, ends)
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        shingler, made, size = Shingler(words), {}, 0
+
+        def set_of(k: int, text: str) -> np.ndarray:
+            nonlocal size
+            if k not in made:
+                if size > HELD:
+                    made.clear()
+                    size = 0
+                made[k] = shingler.set_of(text)
+                size += len(made[k])
+            return made[k]
+
         for batch in batches:
             shared = []
-            for x, y in zip(batch["x"], batch["y"]):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            for a, b, x, y in zip(batch["a"], batch["b"], batch["x"], batch["y"]):
+                x, y = set_of(a, x), set_of(b, y)
                 few, many = (x, y) if len(x) <= len(y) else (y, x)
                 at = np.minimum(np.searchsorted(many, few), len(many) - 1)
                 shared.append((len(x), len(y), int((many[at] == few).sum())))
             n, m, overlap = zip(*shared) if shared else ((), (), ())
             yield batch[["a", "b"]].assign(n=list(n), m=list(m), overlap=list(overlap))
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInPandas(compare, _ANSWER)
+    left = wanted.select(F.col("id_").alias("a_id"), F.col("h").alias("a_h"), F.col("text_").alias("x"))
+    right = wanted.select(F.col("id_").alias("b_id"), F.col("h").alias("b_h"), F.col("text_").alias("y"))
+    asked = pairs.select(
+        "a", "b", F.col("a_.id_").alias("a_id"), F.col("a_.h").alias("a_h"), F.col("b_.id_").alias("b_id"), F.col("b_.h").alias("b_h")
+    )
+    both = asked.join(left, ["a_id", "a_h"]).join(right, ["b_id", "b_h"])
+    return both.select("a", "b", "x", "y").mapInPandas(compare, _ANSWER)
 
 
 def _derived(pairs: DataFrame, answers: DataFrame, percent: int) -> DataFrame:
@@ -356,46 +422,35 @@ def jaccard_classes(
     """
     spark = docs.sparkSession
     texts = docs.select(F.col(id_column).cast("long").alias("id_"), F.col(text_column).cast("string").alias("text_"))
+    # Rows may share an id: the hash of the text tells them apart.
+    texts = texts.withColumn("h", F.xxhash64("text_"))
 
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler = Shingler(words)
         for batch in batches:
             sets = [shingler.set_of(t if isinstance(t, str) else None) for t in batch["text_"]]
             yield pd.DataFrame({
-                "id_": batch["id_"], "n": [len(s) for s in sets], "k": [set_key(s) for s in sets], "odd": [parities(s) for s in sets],
+                "id_": batch["id_"], "h": batch["h"], "n": [len(s) for s in sets], "k": [set_key(s) for s in sets],
+                "odd": [parities(s) for s in sets],
             })
 
     # Ids as text, since a batch of numbers with a null becomes one of doubles.
-    described = texts.withColumn("id_", F.col("id_").cast("string")).mapInPandas(describe, "id_ string, n long, k long, odd binary")
-    rows = staged(described.withColumn("id_", F.col("id_").cast("long")), "jaccard-rows")
-    classes = rows.where("n > 0 and id_ is not null").groupBy("k").agg(
-        F.min("id_").alias("class"), F.first("odd").alias("odd")
+    described = texts.withColumn("id_", F.col("id_").cast("string")).mapInPandas(
+        describe, "id_ string, h long, n long, k long, odd binary"
     )
-    entries = staged(prefix_lists(texts, words, percent), "jaccard-lists")
-    # Of a set's prefix: how many shingles are in a list, and how many of these come before each.
-    of_set = Window.partitionBy("k").orderBy("pos")
-    lists = entries.withColumn("rank", F.row_number().over(of_set) - 1).withColumn(
-        "listed", F.count("*").over(of_set.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).cast("int")
+    rows = staged(described.withColumn("id_", F.col("id_").cast("long")), "jaccard-rows")
+    sets = rows.where("n > 0 and id_ is not null").groupBy("k").agg(
+        F.min(F.struct("id_", "h")).alias("row"), F.first("odd").alias("odd")
     )
-
-    def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingler = Shingler(words)
-        for batch in batches:
-            out = []
-            for k, text in zip(batch["k"], batch["text_"]):
-                found = shingler.set_of(text)
-                if set_key(found) == k:  # rows may share an id
-                    out.append((k, found.tobytes()))
-            yield pd.DataFrame(out, columns=["k", "shingles"])
+    classes = sets.select("k", F.col("row.id_").alias("class"))
+    lists = staged(prefix_lists(texts, words, percent), "jaccard-lists")
 
     def answers_of(pairs: DataFrame) -> DataFrame:
         """Some pairs compared. Only the sets that are in a pair are made again."""
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("k")).distinct()
-        wanted = staged(classes.join(ends, "k").select(F.col("class").alias("id_"), "k"), "jaccard-wanted")
-        sets = texts.join(wanted, "id_").select("k", "text_").mapInPandas(fetch, "k long, shingles binary")
-        sets = staged(sets.dropDuplicates(["k"]), "jaccard-sets")
-        found = staged(_compared(pairs, sets), "jaccard-answers")
-        discard(wanted, sets)
+        first, second = (sets.select(F.col("k").alias(c), F.col("row").alias(f"{c}_")) for c in "ab")
+        wanted = staged(pairs.select("a", "b").join(first, "a").join(second, "b"), "jaccard-wanted")
+        found = staged(_compared(wanted, texts, words), "jaccard-answers")
+        discard(wanted)
         return found
 
     segments = partitions(spark)
@@ -408,7 +463,7 @@ def jaccard_classes(
     answers = answers_of(led)
     links = answers.where(_similar("overlap", percent)).select("a", "b")
     joined = components(links, "a", "b")
-    of_set = classes.select("k", "odd").join(joined.withColumnRenamed("node", "k"), "k", "left").select(
+    of_set = sets.select("k", "odd").join(joined.withColumnRenamed("node", "k"), "k", "left").select(
         "k", "odd", F.coalesce("component", "k").alias("class")
     )
     labelled = lists.join(of_set, "k").select(segment, "token", "k", *_BOUNDS, "class", "odd")
@@ -426,7 +481,7 @@ def jaccard_classes(
         found = more.where(_similar("overlap", percent)).unionByName(rest.where("linked"), allowMissingColumns=True)
         joined = components(links.unionByName(found.select("a", "b")), "a", "b")
         discard(more)
-    discard(entries, led, rest, answers)
+    discard(lists, led, rest, answers)
     least = joined.join(classes.withColumnRenamed("k", "node"), "node")
     of_class = least.groupBy("component").agg(F.min("class").alias("least"))
     named = least.join(of_class, "component").select(F.col("node").alias("k"), "least")

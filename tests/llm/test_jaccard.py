@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from postlens.llm import graph, jaccard_join
 from postlens.llm.shingles import Shingler
@@ -101,6 +102,73 @@ def test_pages_that_share_a_passage_give_no_pairs():
         assert len(jaccard_join._remaining_pairs(90)(frame)) == 0
 
 
+def test_lists_hold_no_entry_that_can_give_no_pair(spark):
+    """Texts that share a shingle now and then, as more texts share more of them, make no entries."""
+    rng = random.Random(9)
+    prose = lambda n: [f"u{rng.randrange(10**9)}" for _ in range(n)]
+    common = [prose(3) for _ in range(60)]
+    # Sizes fit in the second half, but similar sets of them share many lists, not one or two.
+    rows = [(i, " ".join(prose(30 + 4 * i) + common[i % 20])) for i in range(60)]
+    rows += [(100 + i, " ".join(common[20 + i % 40] + prose(200))) for i in range(80)]
+    base = prose(200)
+    rows += [(200, " ".join(base)), (201, " ".join(base[:-2]))]
+    texts = spark.createDataFrame(rows, "id_ long, text_ string").repartition(4)
+    got = jaccard_join.prefix_lists(texts, 3, 90).collect()
+    sizes = {len(Shingler(3).set_of(t)) for i, t in rows if i in (200, 201)}
+    assert {r["n"] for r in got} == sizes and len({r["k"] for r in got}) == 2
+    assert all(r["listed"] * 2 == len(got) and 0 <= r["rank"] < r["listed"] for r in got)
+
+
+@pytest.mark.parametrize("percent", [60, 80, 90])
+def test_fewest_lists_of_an_entry(percent):
+    rng = np.random.default_rng(6)
+    for _ in range(40):
+        token, n = np.sort(rng.integers(-3, 4, 40)), rng.integers(1, 60, 40)
+        by = np.lexsort((n, token))
+        token, n = token[by], n[by]
+        company, least = jaccard_join._company(token, n.astype(np.int32), percent)
+        for i in range(40):
+            fits = (token == token[i]) & (100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i])) & (np.arange(40) != i)
+            assert company[i] == fits.any()
+            if fits.any():
+                assert least[i] <= jaccard_join.least_lists(n[i], n[fits], percent).min()
+
+
+@pytest.mark.parametrize("percent, words", [(60, 1), (75, 2)])
+def test_texts_of_few_words(spark, percent, words):
+    """Most shingles are in many sets, so most sets of a fitting size share lists."""
+    rng = random.Random(10)
+    rows = [(i, " ".join(f"v{rng.randrange(25)}" for _ in range(rng.randint(2, 40)))) for i in range(160)]
+    rows += [(200 + i, rows[i][1] + " " + " ".join(f"w{rng.randrange(99)}" for _ in range(i % 9))) for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.jaccard_classes(docs, percent=percent, words=words).collect()}
+    assert got == _expected(rows, percent, words)
+
+
+def test_only_wanted_texts_move(spark, monkeypatch):
+    rows = [(i % 1500, f"text {i} of many") for i in range(3000)] + [(7, "text 7 of many")] * 3
+    texts = spark.createDataFrame(rows, "id_ long, text_ string").withColumn("h", F.xxhash64("text_")).repartition(4)
+    ends = texts.where("id_ % 100 = 7")
+    wanted = sorted((r["id_"], r["text_"]) for r in ends.select("id_", "text_").distinct().collect())
+    assert sorted((r["id_"], r["text_"]) for r in jaccard_join._wanted(texts, ends).collect()) == wanted
+    monkeypatch.setattr(jaccard_join, "MAP_BITS", 64)  # too small: others pass, none is lost
+    found = [(r["id_"], r["text_"]) for r in jaccard_join._wanted(texts, ends).collect()]
+    assert set(wanted) <= set(found) and len(found) == len(set(found))
+
+
+def test_pairs_are_compared_once(spark, monkeypatch):
+    """Rows that repeat id and text, ids with several texts, and sets made again."""
+    monkeypatch.setattr(jaccard_join, "HELD", 0)
+    rows = [(1, "a b c d e f"), (1, "a b c d e f"), (1, "x y z"), (2, "a b c d e f g"), (2, "x y z"), (3, "A b c d e q")]
+    texts = spark.createDataFrame(rows, "id_ long, text_ string").withColumn("h", F.xxhash64("text_"))
+    row = {(r["id_"], r["text_"]): (r["id_"], r["h"]) for r in texts.collect()}
+    x, y, z = row[1, "a b c d e f"], row[2, "a b c d e f g"], row[3, "A b c d e q"]
+    pairs = spark.createDataFrame(
+        [(1, 2, x, y), (1, 3, x, z), (2, 3, y, z)], "a long, b long, a_ struct<id_: long, h: long>, b_ struct<id_: long, h: long>"
+    )
+    assert sorted(map(tuple, jaccard_join._compared(pairs, texts, 3).collect())) == [(1, 2, 4, 5, 4), (1, 3, 4, 4, 3), (2, 3, 5, 4, 3)]
+
+
 def test_answers_derived_from_a_leader(spark):
     rng = random.Random(7)
     sets = {i: set(rng.sample(range(140), rng.randint(90, 120))) for i in range(4)}
