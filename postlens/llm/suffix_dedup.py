@@ -347,24 +347,6 @@ _RESULT = "id_ long, u_ long, n_bytes long, n_removed long, n_spans long, kept_s
 _COLUMNS = [c.split()[0] for c in _RESULT.split(", ")]
 
 
-_STEP = (
-    "kind int, segment int, id_ long, u_ long, rest_ string, data_ binary, gone array<binary>, places binary, "
-    "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string"
-)
-
-
-def _step(kind: int, columns: list[str], rows: list[tuple]) -> pd.DataFrame:
-    """Rows of one kind, with the columns of all kinds."""
-    frame = pd.DataFrame({c: pd.Series([r[n] for r in rows], dtype=object) for n, c in enumerate(columns)})
-    frame["kind"] = kind
-    out = pd.DataFrame(index=frame.index)
-    for column in _STEP.split(", "):
-        name, kind_of = column.split(" ")
-        values = frame[name] if name in frame else pd.Series([None] * len(frame), dtype=object)
-        out[name] = values.astype("Int64") if kind_of in ("int", "long") else values
-    return out
-
-
 def _result(doc_id, u, rest, data: bytes, blobs: list[bytes], length: int, texts: bool) -> tuple:
     covered = _covered(len(data), blobs, length) if blobs else np.zeros(len(data), bool)
     kept = np.frombuffer(data, np.uint8)[~covered].tobytes()
@@ -413,7 +395,7 @@ def dedup_passages(
         _decide, "id_ long, u_ long, segment int, gone binary, asked binary"
     )
     # What is known of a document: one item per segment at most, and per batch that it came in.
-    known = (
+    found = (
         decided.withColumn("copy", F.lit(False))
         .unionByName(copies.select("id_", "u_", F.lit(None).cast("int").alias("segment"), F.lit(None).cast("binary").alias("gone"), F.lit(None).cast("binary").alias("asked"), F.lit(True).alias("copy")))
         .groupBy("id_", "u_")
@@ -422,53 +404,53 @@ def dedup_passages(
             F.collect_list(F.when(F.col("asked").isNotNull(), F.struct("segment", "asked"))).alias("asked"),
         )
     )
+    # Read twice below, and written once: no text is in it.
+    known = staged(found, "passages")
     # Repeated rows of id and text are one document here.
     joined = (
         all_texts.withColumn("id_", F.coalesce("id_", F.lit(NO_ID)))
         .join(known, ["id_", "u_"], "left").select("id_", "u_", "rest_", "data_", "copy", "gone", "asked")
     )
 
-    def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Documents that are decided, and, where strings are to be sorted, the strings and the text."""
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """The strings that are to be sorted, by segment."""
         for batch in batches:
-            done, waiting, out = [], [], []
-            for doc_id, u, rest, data, copy, gone, asked in batch.itertuples(index=False):
-                if copy is not None and copy == True:  # noqa: E712
-                    whole = np.array([[0, len(data) - length + 1]], np.int32).tobytes()
-                    done.append(_result(doc_id, u, rest, data, [whole], length, texts))
-                elif asked is None or not len(asked):
-                    done.append(_result(doc_id, u, rest, data, [] if gone is None else list(gone), length, texts))
-                else:
-                    waiting.append((doc_id, u, rest, data, list(gone)))
-                    by_segment: dict[int, list[bytes]] = {}
-                    for item in asked:
-                        by_segment.setdefault(item["segment"], []).append(item["asked"])
-                    for segment, blobs in by_segment.items():
-                        pairs = np.concatenate([np.frombuffer(b, np.int32).reshape(-1, 2) for b in blobs]).astype(np.int64)
-                        pairs[:, 1] += length - 1  # from windows to bytes
-                        strings = b"".join(data[a : a + n] + b"\xff" for a, n in pairs.tolist())
-                        out.append((segment, doc_id, u, pairs.tobytes(), strings))
-            yield _step(0, ["id_", "u_", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", "rest_"], done)
-            yield _step(1, ["id_", "u_", "rest_", "data_", "gone"], waiting)
-            yield _step(2, ["segment", "id_", "u_", "places", "data_"], out)
-
-    step = staged(joined.mapInPandas(apply, _STEP), "passages")
+            out = []
+            for doc_id, u, _, data, _, _, asked in batch.itertuples(index=False):
+                by_segment: dict[int, list[bytes]] = {}
+                for item in asked:
+                    by_segment.setdefault(item["segment"], []).append(item["asked"])
+                for segment, blobs in by_segment.items():
+                    pairs = np.concatenate([np.frombuffer(b, np.int32).reshape(-1, 2) for b in blobs]).astype(np.int64)
+                    pairs[:, 1] += length - 1  # from windows to bytes
+                    strings = b"".join(data[a : a + n] + b"\xff" for a, n in pairs.tolist())
+                    out.append((segment, doc_id, u, pairs.tobytes(), strings))
+            yield pd.DataFrame(out, columns=["segment", "id_", "u_", "places", "data_"])
+
+    # All columns go into ``cut``, also those it does not use: the texts are then dealt out just as for
+    # the join below, which reads the same exchange, so that they move once and are not written.
+    strings = joined.where("not copy and size(asked) > 0").mapInPandas(
+        cut, "segment int, id_ long, u_ long, places binary, data_ binary"
+    )
     folder = work_folder(spark, "sort")
     sorted_out = (
-        step.where("kind = 2").select("segment", "id_", "u_", "places", "data_")
-        .groupBy("segment").applyInPandas(_sort_shard(length, folder, queue_bytes, base), "id_ long, u_ long, gone binary")
+        strings.groupBy("segment").applyInPandas(_sort_shard(length, folder, queue_bytes, base), "id_ long, u_ long, gone binary")
         .groupBy("id_", "u_").agg(F.collect_list("gone").alias("more"))
     )
-    waiting = step.where("kind = 1").select("id_", "u_", "rest_", "data_", "gone").join(sorted_out, ["id_", "u_"], "left").select("id_", "u_", "rest_", "data_", "gone", "more")
+    complete = joined.drop("asked").join(sorted_out, ["id_", "u_"], "left").select("id_", "u_", "rest_", "data_", "copy", "gone", "more")
 
     def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame([
-                _result(doc_id, u, rest, data, list(gone) + ([] if more is None else list(more)), length, texts)
-                for doc_id, u, rest, data, gone, more in batch.itertuples(index=False)
-            ], columns=_COLUMNS)
+            out = []
+            for doc_id, u, rest, data, copy, gone, more in batch.itertuples(index=False):
+                if copy is not None and copy == True:  # noqa: E712
+                    blobs = [np.array([[0, len(data) - length + 1]], np.int32).tobytes()]
+                else:
+                    blobs = [blob for part in (gone, more) if part is not None for blob in part]
+                out.append(_result(doc_id, u, rest, data, blobs, length, texts))
+            yield pd.DataFrame(out, columns=_COLUMNS)
 
-    results = step.where("kind = 0").select(*_COLUMNS).unionByName(waiting.mapInPandas(finish, _RESULT))
+    results = complete.mapInPandas(finish, _RESULT)
     carried = F.from_json("rest_", docs.select(*carry).schema) if carry else F.lit(None)
     return results.withColumn("rest_", carried).select(
         F.when(F.col("id_") != NO_ID, F.col("id_")).alias(id_column), "n_bytes", "n_removed", "n_spans", "kept_sha256",

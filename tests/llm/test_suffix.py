@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -106,3 +107,25 @@ def test_longest_passages(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r["doc_id"]: r["n_removed"] for r in dedup.dedup_passages(docs, length=200).collect()}
     assert got == {1: 0, 2: 450, 3: 0}
+
+
+@pytest.mark.parametrize("texts, carry", [(True, ["lang"]), (False, [])])
+def test_texts_move_once_and_are_not_written(spark, tmp_path, monkeypatch, texts, carry):
+    rng = random.Random(9)
+    random_text = lambda n: "".join(chr(rng.randint(33, 126)) for _ in range(n))
+    passages = [random_text(150) for _ in range(4)]
+    rows = [(i, random_text(2000) + passages[i // 30] * (i % 10 == 0) + random_text(i % 7), "x") for i in range(100)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(str(tmp_path / "docs"))
+    monkeypatch.setattr(dedup, "work_folder", lambda _, name: str(tmp_path / name))
+    monkeypatch.setattr("postlens.llm.common.work_folder", lambda _, name: str(tmp_path / name))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = dedup.dedup_passages(spark.read.parquet(str(tmp_path / "docs")), texts=texts, carry=carry)
+        assert {r["doc_id"]: r["kept_sha256"] for r in got.collect()} == {k: v[3] for k, v in _expected([r[:2] for r in rows], dedup.LENGTH).items()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    written = sum(f.stat().st_size for f in (tmp_path / "passages").iterdir())
+    assert written < 0.1 * sum(len(r[1]) for r in rows)
+    plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan parquet [doc_id#") == 1 and "ReusedExchange" in plan
