@@ -1,6 +1,7 @@
 """Language-model scores: exact base scores, the filter against exact counts."""
 
 import math
+import pickle
 import random
 import re
 import zlib
@@ -144,3 +145,65 @@ def test_the_mixture_is_fitted_on_all_training_documents(spark):
         at = step == s
         likely = [np.log(x * after[at] + (1 - x) * single[at]).sum() for x in lm.MIXES]
         assert model.mixes[s] == lm.MIXES[np.argmax(np.round(likely, 6))]
+
+
+def test_no_process_holds_the_whole_filter(spark, monkeypatch):
+    """Scores from many pieces and homes are those of the whole filter, which is nowhere made."""
+    rng = random.Random(17)
+    words = [f"w{int(rng.paretovariate(0.6))}" for _ in range(4000)]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(rng.randint(0, 60)))) for i in range(150)]
+    rows += [(3, rows[3][1]), (3, "other text"), (None, rows[5][1]), (None, None), (160, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    held = fold(F.coalesce(F.col("doc_id"), F.lit(-1)), 7) == 2
+    sent, context = [], type(spark.sparkContext)
+    send = context.broadcast
+    monkeypatch.setattr(lm, "FLUSH_TOKENS", 400)
+    monkeypatch.setattr(lm, "SEGMENT_BYTES", 60)
+    monkeypatch.setattr(lm.frequent_words, "__defaults__", (16,))
+    with monkeypatch.context() as m:
+        m.setattr(lm, "build_filter", lambda *_: pytest.fail("the filter is gathered"))
+        m.setattr(context, "broadcast", lambda self, value: sent.append(len(pickle.dumps(value))) or send(self, value))
+        model, counted = lm.train(docs, ~held)
+        got = [(r["doc_id"], r["n_tokens"], round(r["score"], 9)) for r in lm.score(docs, model, counted).collect()]
+    assert model.segments > 128 and counted.count() > 32
+    assert max(sent) < 10_000  # the least filter has 131,072 bytes
+    tokens = [lm.token_hashes(text) for _, text in rows]
+    ends = np.cumsum([len(t) for t in tokens])
+    scores = np.add.reduceat(_log10(model, *model.parts(np.concatenate(tokens), ends)), np.r_[0, ends[:-1]])
+    key = lambda r: (r[0] is None, r[0] or 0, *r[1:])
+    assert sorted(got, key=key) == sorted(((i, len(t), pytest.approx(x, abs=2e-9)) for (i, _), t, x in zip(rows, tokens, scores)), key=lambda r: (r[0] is None, r[0] or 0, r[1], r[2].expected))
+    learned = [t for (i, _), t in zip(rows, tokens) if zlib.crc32(str(-1 if i is None else i).encode()) % 7 != 2]
+    single, after, step = model.parts(np.concatenate(learned), np.cumsum([len(t) for t in learned]), own=True)
+    for s in range(lm.HISTORY_LEVELS):
+        likely = [np.log(x * after[step == s] + (1 - x) * single[step == s]).sum() for x in lm.MIXES]
+        assert model.mixes[s] == lm.MIXES[np.argmax(np.round(likely, 6))]
+
+
+def _log10(model, single, after, step):
+    share = model.mixes[step]
+    return np.log10(share * after + (1 - share) * single)
+
+
+def test_other_documents_than_those_learned_from(spark):
+    """They ask for themselves, and get what the whole filter holds."""
+    docs = spark.createDataFrame([(i, f"a b c d{i} a b") for i in range(40)], "doc_id long, text string")
+    model, counted = lm.train(docs, F.lit(True))
+    texts = ["a b new", "c d1 a", None, "new newer a b c"]
+    got = lm.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model, counted)
+    got = {r["doc_id"]: (r["n_tokens"], r["n_known"], r["score"]) for r in got.collect()}
+    for i, known in enumerate((3, 4, 1, 4)):
+        tokens = lm.token_hashes(texts[i])
+        want = _log10(model, *model.parts(tokens, np.array([len(tokens)]))).sum()
+        assert got[i] == (len(tokens), known, pytest.approx(want, abs=1e-9))
+
+
+def test_places_keep_hashes_and_their_segments():
+    hashes = np.r_[np.random.default_rng(1).integers(0, 2**64, 3000, dtype=np.uint64), np.array([0, 2**64 - 1], np.uint64)]
+    for segments in (1, 16, 17, 3001):
+        places = lm.places_of(hashes, segments)
+        assert (lm.hashes_at(places, segments) == hashes).all()
+        assert (np.diff((hashes % np.uint64(segments)).astype(int)[np.argsort(places)]) >= 0).all()
+        ordered = np.sort(places)
+        assert (lm._unpack_sorted(lm._pack_sorted(ordered)) == ordered).all()
+    for values in ([], [0], [5, 300, 0], [2**63]):
+        assert lm._unpack(lm._pack(np.array(values, np.uint64))).tolist() == values
