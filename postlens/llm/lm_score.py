@@ -132,6 +132,17 @@ class Filter:
         return _MEANS[self.levels(hashes)]
 
 
+def _staged_alone(df: DataFrame, name: str) -> DataFrame:
+    """``staged``, for what only this write reads: Spark deletes its shuffles at the write's end."""
+    conf, setting = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(setting, None)
+    conf.set(setting, "true")
+    try:
+        return staged(df, name)
+    finally:
+        conf.unset(setting) if before is None else conf.set(setting, before)
+
+
 # --- packed arrays ---------------------------------------------------------------------
 
 def _pack(values: np.ndarray) -> bytes:
@@ -571,10 +582,10 @@ def train(docs: DataFrame, may_learn: Column) -> tuple[Model, DataFrame]:
     size = rows.agg(F.sum(F.when(F.col("may_"), F.octet_length("text_")))).first()[0] or 0
     segments = max(MIN_SEGMENTS, -(-size // SEGMENT_BYTES))
     pieces = staged(cut_texts(rows), "lm-pieces")
-    counted = staged(sum_ngrams(ask_ngrams(pieces, segments), segments), "ngrams")
+    counted = _staged_alone(sum_ngrams(ask_ngrams(pieces, segments), segments), "ngrams")
     tokens, types, entries = (x or 0 for x in counted.agg(*(F.sum(c) for c in ("tokens", "types", "entries"))).first())
     frequent = frequent_words(counted, segments)
-    found = staged(look_up(pieces, counted, segments, entries, tokens, types, frequent, fit=True), "lm-levels")
+    found = _staged_alone(look_up(pieces, counted, segments, entries, tokens, types, frequent, fit=True), "lm-levels")
     discard(pieces)
     likely = np.zeros(HISTORY_LEVELS * len(MIXES))
     for r in found.select(F.posexplode("likely").alias("n", "likely")).groupBy("n").agg(F.sum("likely").alias("likely")).collect():
@@ -595,7 +606,7 @@ def score(docs: DataFrame, model: Model, counted: DataFrame) -> DataFrame:
         pieces = staged(cut_texts(_rows(docs, F.lit(False))), "lm-pieces")
         told = counted.select("home", F.lit(-1).cast("long").alias("piece"), "words", "pairs", "counts")
         asked = sum_ngrams(ask_ngrams(pieces, model.segments).unionByName(told), model.segments)
-        found = staged(
+        found = _staged_alone(
             look_up(pieces, asked, model.segments, model.entries, model.tokens, model.types, model.frequent, fit=False), "lm-levels"
         )
         discard(pieces)

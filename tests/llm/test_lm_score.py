@@ -1,9 +1,11 @@
 """Language-model scores: exact base scores, the filter against exact counts."""
 
+import glob
 import math
 import pickle
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -207,3 +209,21 @@ def test_places_keep_hashes_and_their_segments():
         assert (lm._unpack_sorted(lm._pack_sorted(ordered)) == ordered).all()
     for values in ([], [0], [5, 300, 0], [2**63]):
         assert lm._unpack(lm._pack(np.array(values, np.uint64))).tolist() == values
+
+
+def test_shuffles_of_staged_tables_go_with_their_write(spark):
+    setting, env = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", spark._jvm.org.apache.spark.SparkEnv.get()
+    folders, before = list(env.blockManager().diskBlockManager().localDirsString()), spark.conf.get(setting, None)
+    files = lambda: {f for d in folders for f in glob.glob(f"{d}/**/shuffle_*.data", recursive=True)}
+    had = files()
+    dealt = spark.range(5000).repartition(3, "id")
+    alone = lm._staged_alone(dealt, "alone")
+    assert spark.conf.get(setting, None) == before
+    until = time.monotonic() + 20  # they are deleted aside
+    while files() - had and time.monotonic() < until:
+        time.sleep(0.2)
+    assert not files() - had
+    assert alone.count() == 5000
+    had |= files()
+    lm.staged(dealt, "kept")
+    assert files() - had
